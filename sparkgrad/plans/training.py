@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from sparkgrad.functions import columns as C
 from sparkgrad.functions.blocks import to_matrix
@@ -23,7 +24,7 @@ from sparkgrad.operators.update import sgd_update
 from sparkgrad.plans.forward import forward_block
 from sparkgrad.plans.network import Network, State, image_outputs, pack_models
 from sparkgrad.session import scratch_path
-from sparkgrad.sources.schemas import BIAS_KEY, PARAMS
+from sparkgrad.sources.schemas import BIAS_KEY, INT, PARAMS
 
 
 @dataclass(frozen=True)
@@ -61,7 +62,8 @@ class ParamStore:
 
     def history(self) -> DataFrame:
         """All versions as (iter, layer, out, in, w)."""
-        df = self.spark.read.option("basePath", self.path).schema(PARAMS.add("iter", "int")).parquet(self.path)
+        versioned = StructType([*PARAMS.fields, StructField("iter", INT)])
+        df = self.spark.read.option("basePath", self.path).schema(versioned).parquet(self.path)
         return df.select("iter", "layer", "out", "in", "w")
 
 
@@ -165,7 +167,7 @@ def split_batches(images: DataFrame, n_batches: int, path: str | None = None, fi
     dealt = images.withColumn("batch", F.pmod(F.col("id"), F.lit(n_batches)).cast("int")).withColumn(
         "_file", F.pmod(F.monotonically_increasing_id(), F.lit(files)))
     dealt.repartition("batch", "_file").drop("_file").write.partitionBy("batch").parquet(path)
-    whole = spark.read.schema(images.schema.add("batch", "int")).parquet(path)
+    whole = spark.read.schema(StructType([*images.schema.fields, StructField("batch", INT)])).parquet(path)
     return [whole.where(F.col("batch") == k).drop("batch") for k in range(n_batches)]
 
 
