@@ -55,11 +55,13 @@ def main() -> None:
         "block_forward_x50": lambda: sink(score(replicas, state, "block")),
         "array_forward_lineitem": lambda: sink(score(lines, line_state, "array")),
         "block_forward_lineitem": lambda: sink(score(lines, line_state, "block")),
+        "columns_forward_lineitem": lambda: sink(score(lines, line_state)),
         "train_10_steps_array": lambda: steps(images, state, 10, "array"),
         "train_10_steps_block": lambda: steps(images, state, 10, "block"),
         "train_2_steps_x50_array": lambda: steps(replicas, state, 2, "array"),
         "train_2_steps_x50_block": lambda: steps(replicas, state, 2, "block"),
         "train_2_steps_lineitem_array": lambda: steps(lines, line_state, 2, "array"),
+        "train_2_steps_lineitem_columns": lambda: steps(lines, line_state, 2, None),
         "train_2_steps_lineitem_block": lambda: steps(lines, line_state, 2, "block"),
     }
     chosen = sys.argv[1:] or list(runs)

@@ -1,4 +1,4 @@
-"""Complete forward passes and predictions in the three forms."""
+"""Complete forward passes and predictions in every form."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from sparkgrad.functions.blocks import activate, list_array, to_matrix
 from sparkgrad.operators.layers import dense_packed
 from sparkgrad.operators.reshape import array_to_rows, to_long
 from sparkgrad.plans.network import Network, State, activations
+from sparkgrad.plans.unrolled import score_unrolled
 
 
 def score(images: DataFrame, state: State, engine: str | None = None) -> DataFrame:
@@ -20,8 +21,10 @@ def score(images: DataFrame, state: State, engine: str | None = None) -> DataFra
     engine = engine or state.net.engine
     if engine == "array":
         return activations(images, state).select("id", "label", "p")
+    if engine == "columns":
+        return score_unrolled(images, state)
     if engine == "block":
-        return score_blocks(images, state)
+        return score_blocks(images, state).select("id", "label", "p")
     return score_long(images, state)
 
 
@@ -41,7 +44,7 @@ def score_long(images: DataFrame, state: State) -> DataFrame:
 
 
 def score_blocks(images: DataFrame, state: State) -> DataFrame:
-    """One pair of matrix products per Arrow batch; map-only."""
+    """(id, label, a, p) by one pair of matrix products per Arrow batch; map-only."""
     sc = images.sparkSession.sparkContext
     net, shipped = state.net, sc.broadcast(state.arrays())  # size checked by arrays()
 
@@ -49,11 +52,12 @@ def score_blocks(images: DataFrame, state: State) -> DataFrame:
         m = shipped.value
         for batch in batches:
             x, known = to_matrix(batch.column(2), net.n_in)
-            _, p = forward_block(net, m, x)
+            a, p = forward_block(net, m, x)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), list_array(p, known)], names=["id", "label", "p"])
+                [batch.column(0), batch.column(1), list_array(a, known), list_array(p, known)],
+                names=["id", "label", "a", "p"])
 
-    return images.select("id", "label", "x").mapInArrow(run, "id long, label int, p array<double>")
+    return images.select("id", "label", "x").mapInArrow(run, "id long, label int, a array<double>, p array<double>")
 
 
 def forward_block(net: Network, m: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

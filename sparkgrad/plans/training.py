@@ -22,8 +22,9 @@ from sparkgrad.functions.blocks import to_matrix
 from sparkgrad.operators.gradients import delta_body, gradient_sums, mean_gradients
 from sparkgrad.operators.update import sgd_update
 from sparkgrad.plans.forward import forward_block
-from sparkgrad.plans.network import Network, State, image_outputs, pack_models
-from sparkgrad.session import scratch_path
+from sparkgrad.plans.network import Network, State, image_outputs, matrices, pack_models
+from sparkgrad.plans.unrolled import MAX_UNROLLED_PARAMS, unrolled_deltas
+from sparkgrad.session import MAX_BROADCAST_PARAMS, scratch_path
 from sparkgrad.sources.schemas import BIAS_KEY, INT, PARAMS
 
 
@@ -84,8 +85,13 @@ def deltas(images: DataFrame, state: State, opts: Options, back: State | None =
 
 def gradients(images: DataFrame, state: State, opts: Options, engine: str | None = None) -> DataFrame:
     """Mean gradient of every parameter: rows (layer, out, in, g)."""
-    if (engine or state.net.engine) == "block":
+    engine = engine or state.net.engine
+    if engine == "block":
         return mean_gradients(block_sums(images, state, opts))
+    if engine == "columns":
+        targets = {"m": opts.target} if opts.target else None
+        rows = unrolled_deltas(images, state.net, {"m": state.arrays()}, targets, opts.delta)
+        return mean_gradients(gradient_sums(rows, state.net, None, opts.mask_hidden_bias))
     return mean_gradients(gradient_sums(deltas(images, state, opts), state.net, None, opts.mask_hidden_bias))
 
 
@@ -177,33 +183,54 @@ def one_by_one(images: DataFrame, ids: Iterable[int]) -> Iterator[DataFrame]:
         yield images.where(F.col("id") == i)
 
 
-def sweep_step(images: DataFrame, params: DataFrame, variants: DataFrame, net: Network) -> DataFrame:
+def sweep_step(images: DataFrame, params: DataFrame, variants: DataFrame, net: Network, models: int) -> DataFrame:
     """One step of all variants in one scan: next parameters (variant, layer, out, in, w).
 
-    ``params`` is keyed by variant, ``variants`` has (variant, lr, clip, target). All
-    models form one row of bounded size; each image is paired with them by a generator,
-    and the gradient sums carry the variant key.
+    ``params`` is keyed by variant, ``variants`` has (variant, lr, clip, target). Few
+    small models run as columns side by side. Otherwise all models form one row of
+    bounded size, a generator pairs each image with them, and the gradient sums carry
+    the variant key.
     """
+    if models * net.n_params <= MAX_UNROLLED_PARAMS:
+        sums = _unrolled_sweep(images, params, variants, net)
+    elif models * net.n_params <= MAX_BROADCAST_PARAMS:
+        sums = _generated_sweep(images, params, variants, net)
+    else:
+        raise ValueError("sweep too large for one scan; split the variants")
+    g = mean_gradients(sums, ["variant"])
+    rated = params.join(F.broadcast(variants.select("variant", "lr", "clip")), "variant")  # one row per variant
+    moved = sgd_update(rated, g, "lr", by=["variant"], clip="clip", clip_layers=(2,), update_bias=False)
+    return moved.select("variant", "layer", "out", "in", "w")
+
+
+def _unrolled_sweep(images: DataFrame, params: DataFrame, variants: DataFrame, net: Network) -> DataFrame:
+    names = {r["variant"]: (f"v{i}", r["target"]) for i, r in enumerate(variants.orderBy("variant").collect())}
+    rows = params.toPandas()  # at most MAX_UNROLLED_PARAMS rows
+    models = {m: matrices(net, rows[rows["variant"] == name]) for name, (m, _) in names.items()}
+    rows = unrolled_deltas(images, net, models, {m: tuple(t) for m, t in names.values()})
+    sums = gradient_sums(rows, net, ["model"])
+    named = " ".join(f"WHEN '{m}' THEN '{name}'" for name, (m, _) in names.items())
+    return sums.withColumn("variant", F.expr(f"CASE model {named} END")).drop("model")
+
+
+def _generated_sweep(images: DataFrame, params: DataFrame, variants: DataFrame, net: Network) -> DataFrame:
     models = pack_models(params, net, "variant").join(variants.select("variant", "target"), "variant")
     packed = models.agg(F.array_sort(F.collect_list(F.struct("variant", "m", "target"))).alias("models"))
     each = images.where(C.has_value("x")).select("x").withColumn("models", packed.scalar()).selectExpr(
         "x", "explode(models) AS one").selectExpr("x", "one.variant", "one.m", "one.target")
     d = each.selectExpr("variant", f"{image_outputs(net, delta_body(net))} AS s").select("variant", "s.*")
-    g = mean_gradients(gradient_sums(d, net, ["variant"]), ["variant"])
-    rated = params.join(F.broadcast(variants.select("variant", "lr", "clip")), "variant")  # one row per variant
-    moved = sgd_update(rated, g, "lr", by=["variant"], clip="clip", clip_layers=(2,), update_bias=False)
-    return moved.select("variant", "layer", "out", "in", "w")
+    return gradient_sums(d, net, ["variant"])
 
 
 def sweep(images: DataFrame, state: State, variants: DataFrame, steps: int, path: str | None = None) -> DataFrame:
     """Train all variants from one start; the last parameters, keyed by variant."""
     spark = images.sparkSession
     path = path or scratch_path(spark, "sweep")
-    params = state.params.withColumn("variant", F.explode(F.lit(_names(variants))))
+    names = _names(variants)
+    params = state.params.withColumn("variant", F.explode(F.lit(names))).select("variant", "layer", "out", "in", "w")
     for k in range(steps):
         out = f"{path}/iter={k + 1}"
-        sweep_step(images, params.select("variant", "layer", "out", "in", "w"), variants, state.net).write.mode(
-            "overwrite").parquet(out)
+        sweep_step(images, params, variants, state.net, len(names)).write.mode("overwrite").parquet(out)
         params = spark.read.schema("variant string, layer int, out int, `in` int, w double").parquet(out)
     return params
 
