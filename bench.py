@@ -18,11 +18,12 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from sparkgrad import catalog  # noqa: E402
 from sparkgrad.catalog.forward import DIGITS, LINES  # noqa: E402
+from sparkgrad.catalog.sigmoid import TARGET, seed_state  # noqa: E402
 from sparkgrad.plans.forward import score  # noqa: E402
 from sparkgrad.plans.network import State  # noqa: E402
 from sparkgrad.plans.training import Options, ParamStore, train  # noqa: E402
 from sparkgrad.session import build_session, materialize  # noqa: E402
-from sparkgrad.sources.readers import embedding_images, lineitem_features  # noqa: E402
+from sparkgrad.sources.readers import embedding_images, lineitem_features, lineitem_pairs  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -40,6 +41,7 @@ def main() -> None:
     images, state = embedding_images(spark, SF_DIR), State.pattern(spark, DIGITS)
     copies = images.select("id", "label", F.explode(F.sequence(F.lit(0), F.lit(49))).alias("c"), "x").drop("c")
     replicas = materialize(copies.repartition(int(CPUS) * 2), "replicas")
+    pairs, pair_state = lineitem_pairs(spark, SF_DIR), seed_state(spark)
     lines, line_state = lineitem_features(spark, SF_DIR), State.pattern(spark, LINES)
 
     def steps(data, start, count, engine):
@@ -53,15 +55,14 @@ def main() -> None:
         "long_forward_x50": lambda: sink(score(replicas, state, "long")),
         "array_forward_x50": lambda: sink(score(replicas, state, "array")),
         "block_forward_x50": lambda: sink(score(replicas, state, "block")),
-        "array_forward_lineitem": lambda: sink(score(lines, line_state, "array")),
         "block_forward_lineitem": lambda: sink(score(lines, line_state, "block")),
-        "columns_forward_lineitem": lambda: sink(score(lines, line_state)),
+        "columns_forward_pairs": lambda: sink(score(pairs, pair_state)),
+        "train_2_steps_pairs": lambda: sink(train([pairs] * 2, pair_state, ParamStore(spark), Options(
+            lr=0.5, target=TARGET, clip=1.0, update_bias=False)).params),
         "train_10_steps_array": lambda: steps(images, state, 10, "array"),
         "train_10_steps_block": lambda: steps(images, state, 10, "block"),
         "train_2_steps_x50_array": lambda: steps(replicas, state, 2, "array"),
         "train_2_steps_x50_block": lambda: steps(replicas, state, 2, "block"),
-        "train_2_steps_lineitem_array": lambda: steps(lines, line_state, 2, "array"),
-        "train_2_steps_lineitem_columns": lambda: steps(lines, line_state, 2, None),
         "train_2_steps_lineitem_block": lambda: steps(lines, line_state, 2, "block"),
     }
     chosen = sys.argv[1:] or list(runs)

@@ -42,12 +42,13 @@ def gradient_sums(deltas: DataFrame, net, by: list[str] | None = None, mask_hidd
     width = max(net.n_hidden, net.n_out)
     blocks, cols = -(-width // _WIDE), min(width, _WIDE)
     rows = deltas.selectExpr(*by, "d1", "d2", "e", "posexplode(concat(array(1D), x, array(1D), a)) AS (pos, v)")
+    first = "d1" if mask_hidden_bias else "CASE WHEN pos = 0 THEN e ELSE d1 END"
+    # One short expression per sum: long generated methods are not compiled by the JIT.
+    rows = rows.selectExpr(*by, "pos", "v", f"CASE WHEN pos <= {net.n_in} THEN {first} ELSE d2 END AS d")
     if blocks > 1:
         rows = rows.selectExpr("*", f"explode(sequence(0, {blocks - 1})) AS blk")
     at = [f"blk * {_WIDE} + {k}" if blocks > 1 else str(k) for k in range(cols)]
-    first = "d1" if mask_hidden_bias else "CASE WHEN pos = 0 THEN e ELSE d1 END"
-    sums = [F.expr(f"sum(v * CASE WHEN pos <= {net.n_in} THEN get({first}, {i}) ELSE get(d2, {i}) END) AS s{k}")
-            for k, i in enumerate(at)]
+    sums = [F.expr(f"sum(v * get(d, {i})) AS s{k}") for k, i in enumerate(at)]
     grouped = rows.groupBy(*by, "pos", *(["blk"] if blocks > 1 else [])).agg(*sums, F.count(F.lit(1)).alias("n"))
     flat = grouped.selectExpr(
         *by, "n", "pos", *(["blk"] if blocks > 1 else []),

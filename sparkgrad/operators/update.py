@@ -35,8 +35,12 @@ def checked_source(source: DataFrame, keys: list[str]) -> DataFrame:
 
 def sgd_update(params: DataFrame, gradients: DataFrame, lr: str | float, *, by: list[str] | None = None,
                clip: str | float | None = None, clip_layers: tuple[int, ...] = (1, 2),
-               update_bias: bool = True) -> DataFrame:
-    """w - lr * g per parameter row; parameters without a gradient stay as they are."""
+               update_bias: bool = True, small: bool = False) -> DataFrame:
+    """w - lr * g per parameter row; parameters without a gradient stay as they are.
+
+    ``small`` says that the caller has checked the parameter count against the
+    broadcast limit.
+    """
     keys = [*(by or []), "layer", "out", "in"]
     rate = lr if isinstance(lr, str) else f"{float(lr)!r}D"
     limited = "g" if clip is None else (
@@ -44,7 +48,8 @@ def sgd_update(params: DataFrame, gradients: DataFrame, lr: str | float, *, by:
     moved = f"w - {rate} * coalesce({limited}, 0D)"
     if not update_bias:
         moved = f"CASE WHEN `in` >= 0 THEN {moved} ELSE w END"
-    return params.join(gradients.select(*keys, "g"), keys, "left").withColumn("w", F.expr(moved)).select(*params.columns)
+    g = gradients.select(*keys, "g")
+    return params.join(F.broadcast(g) if small else g, keys, "left").withColumn("w", F.expr(moved)).select(*params.columns)
 
 
 def array_update(packed: DataFrame, gradients: DataFrame, key: str, lr: float) -> DataFrame:

@@ -3,7 +3,7 @@
 Four physical forms of the same layers:
 
 * ``columns`` - every unit a column, every weight a literal, all generated code;
-  for networks of up to a few hundred parameters;
+  for networks of a few dozen parameters;
 * ``block``   - one NumPy matrix product per Arrow batch, map-only; the default;
 * ``array``   - array expressions, map-only, no Python worker, but interpreted;
 * ``long``    - one row per pixel, join with the weights and grouped sums; one shuffle

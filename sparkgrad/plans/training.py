@@ -140,7 +140,8 @@ def output_deltas(net: Network, opts: Options, p: np.ndarray, label: np.ndarray)
 
 def step(images: DataFrame, state: State, store: ParamStore, opts: Options, engine: str | None = None) -> State:
     """One gradient step on a batch: one job that writes the next version."""
-    bound = {"clip": opts.clip, "clip_layers": opts.clip_layers, "update_bias": opts.update_bias}
+    bound = {"clip": opts.clip, "clip_layers": opts.clip_layers, "update_bias": opts.update_bias,
+             "small": state.fits_broadcast}
     if opts.hidden_error_weights == "old":
         g = gradients(images, state, opts, engine)
         return store.save(state.net, sgd_update(state.params, g, opts.lr, **bound), state.iteration + 1)
@@ -199,7 +200,8 @@ def sweep_step(images: DataFrame, params: DataFrame, variants: DataFrame, net: N
         raise ValueError("sweep too large for one scan; split the variants")
     g = mean_gradients(sums, ["variant"])
     rated = params.join(F.broadcast(variants.select("variant", "lr", "clip")), "variant")  # one row per variant
-    moved = sgd_update(rated, g, "lr", by=["variant"], clip="clip", clip_layers=(2,), update_bias=False)
+    moved = sgd_update(rated, g, "lr", by=["variant"], clip="clip", clip_layers=(2,), update_bias=False,
+                       small=True)
     return moved.select("variant", "layer", "out", "in", "w")
 
 
