@@ -1,5 +1,7 @@
 """Deltas, gradients and single updates of the digit net."""
 
+from pyspark.sql import functions as F
+
 from sparkgrad.catalog import sqltext
 from sparkgrad.catalog.forward import DIGITS, digits
 from sparkgrad.catalog.registry import query, r6
@@ -111,7 +113,5 @@ SELECT j AS neuron, round(avg(a), 6) + 0e0 AS mean_activation, round(max(a), 6)
 def staged_activations(spark, sf_dir):
     """A staging table between two queries: written once, read by the second."""
     staged = materialize(activations(*digits(spark, sf_dir)).select("id", "a"), "stage")
-    return staged.selectExpr("posexplode(a) AS (neuron, a)").groupBy("neuron").agg(
-        {"a": "avg"}).selectExpr("neuron", "round(`avg(a)`, 6) AS mean_activation").join(
-        staged.selectExpr("posexplode(a) AS (neuron, a)").groupBy("neuron").agg({"a": "max"}).selectExpr(
-            "neuron", "round(`max(a)`, 6) AS max_activation"), "neuron")
+    units = staged.selectExpr("posexplode(a) AS (neuron, a)").groupBy("neuron")
+    return units.agg(F.round(F.avg("a"), 6).alias("mean_activation"), F.round(F.max("a"), 6).alias("max_activation"))

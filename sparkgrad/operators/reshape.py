@@ -15,21 +15,22 @@ def unpivot_pixels(wide: DataFrame, keep: list[str], skip: tuple[str, ...] = ("i
     """Wide pixel columns to rows (keep.., pixel, pixel_id, pixel_value), NULLs dropped.
 
     One generator over an array of the pixel columns: each wide row is read once and
-    nothing is shuffled, whatever the number of columns.
+    nothing is shuffled, whatever the number of columns. The pixel numbers are known
+    from the column names, so no text is parsed per row.
     """
     pixels = [c for c in wide.columns if c not in keep and c not in skip]
     names = F.array(*[F.lit(c) for c in pixels])
+    numbers = F.array(*[F.lit(int(c.lstrip("pixel"))) for c in pixels])
     values = F.array(*[F.col(c).cast("double") for c in pixels])
     return (
         wide.select(*keep, F.posexplode(values).alias("_at", "pixel_value"))
         .where(F.col("pixel_value").isNotNull())
-        .select(*keep, names[F.col("_at")].alias("pixel"), "pixel_value")
-        .withColumn("pixel_id", pixel_number(F.col("pixel")))
+        .select(*keep, names[F.col("_at")].alias("pixel"), "pixel_value", numbers[F.col("_at")].alias("pixel_id"))
     )
 
 
 def pixel_number(name: Column) -> Column:
-    """``pixel17`` to 17: strips the leading letters p, i, x, e, l."""
+    """``pixel17`` to 17 for names that come as data: strips leading letters p, i, x, e, l."""
     return F.ltrim(name, F.lit("pixel")).cast("int")
 
 

@@ -163,14 +163,16 @@ def train(batches: Iterable[DataFrame], state: State, store: ParamStore, opts: O
     return state
 
 
-def split_batches(images: DataFrame, n_batches: int, path: str | None = None, files: int = 8) -> list[DataFrame]:
+def split_batches(images: DataFrame, n_batches: int, path: str | None = None, files: int | None = None) -> list[DataFrame]:
     """Write the images once as ``batch=k`` folders, so that a step reads its batch only.
 
-    Rows are dealt to ``files`` writers per batch by row number, so a batch that holds
-    a third of the rows is still written by many tasks.
+    Rows of a scan are dealt by row number to ``files`` writers per batch (by default
+    the session's shuffle partitions shared out), so a batch or an id that holds a
+    third of all rows is still written by many tasks.
     """
     spark = images.sparkSession
     path = path or scratch_path(spark, "batches")
+    files = files or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // n_batches)
     dealt = images.withColumn("batch", F.pmod(F.col("id"), F.lit(n_batches)).cast("int")).withColumn(
         "_file", F.pmod(F.monotonically_increasing_id(), F.lit(files)))
     dealt.repartition("batch", "_file").drop("_file").write.partitionBy("batch").parquet(path)

@@ -30,6 +30,11 @@ def test_csv_declared_and_inferred(spark):
         (1, "pixel0", 0, 0.5), (2, "pixel0", 0, 1.0), (2, "pixel1", 1, 3.25)]
 
 
+def test_pixel_number(spark):
+    names = spark.createDataFrame([("pixel0",), ("pixel783",), ("42",)], "pixel string")
+    assert [r[0] for r in names.select(reshape.pixel_number(F.col("pixel"))).collect()] == [0, 783, 42]
+
+
 def test_scan_ids_are_dense_over_many_files(spark):
     path = scratch_path(spark, "files")
     spark.range(5000).repartition(13).write.parquet(path)
