@@ -111,7 +111,9 @@ def ratio_to_report(df: DataFrame, value: str, by: list[str] | None = None) -> D
     """
     aggs = [F.max(value).alias("max_value"), F.sum(value).alias("total_value")]
     if by:
-        with_totals = df.join(df.groupBy(*by).agg(*aggs), by)
+        sums = df.groupBy(*by).agg(*aggs).withColumnsRenamed({c: f"_{c}" for c in by})
+        same = [df[c].eqNullSafe(sums[f"_{c}"]) for c in by]  # NULL is a group of its own
+        with_totals = df.join(sums, same).drop(*[f"_{c}" for c in by])
     else:
         totals = df.agg(*aggs).select(F.struct("max_value", "total_value").alias("_t"))
         with_totals = df.withColumn("_t", totals.scalar()).select("*", "_t.*").drop("_t")

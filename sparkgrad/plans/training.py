@@ -23,7 +23,7 @@ from sparkgrad.operators.gradients import delta_body, gradient_sums, mean_gradie
 from sparkgrad.operators.update import sgd_update
 from sparkgrad.plans.forward import forward_block
 from sparkgrad.plans.network import Network, State, image_outputs, matrices, pack_models
-from sparkgrad.plans.unrolled import MAX_UNROLLED_PARAMS, unrolled_deltas
+from sparkgrad.plans.unrolled import MAX_UNROLLED_PARAMS, unrolled_sums
 from sparkgrad.session import MAX_BROADCAST_PARAMS, scratch_path
 from sparkgrad.sources.schemas import BIAS_KEY, INT, PARAMS
 
@@ -90,8 +90,8 @@ def gradients(images: DataFrame, state: State, opts: Options, engine: str | None
         return mean_gradients(block_sums(images, state, opts))
     if engine == "columns":
         targets = {"m": opts.target} if opts.target else None
-        rows = unrolled_deltas(images, state.net, {"m": state.arrays()}, targets, opts.delta)
-        return mean_gradients(gradient_sums(rows, state.net, None, opts.mask_hidden_bias))
+        return mean_gradients(unrolled_sums(images, state.net, {"m": state.arrays()}, targets, opts.delta,
+                                            opts.mask_hidden_bias))
     return mean_gradients(gradient_sums(deltas(images, state, opts), state.net, None, opts.mask_hidden_bias))
 
 
@@ -211,8 +211,7 @@ def _unrolled_sweep(images: DataFrame, params: DataFrame, variants: DataFrame, n
     names = {r["variant"]: (f"v{i}", r["target"]) for i, r in enumerate(variants.orderBy("variant").collect())}
     rows = params.toPandas()  # at most MAX_UNROLLED_PARAMS rows
     models = {m: matrices(net, rows[rows["variant"] == name]) for name, (m, _) in names.items()}
-    rows = unrolled_deltas(images, net, models, {m: tuple(t) for m, t in names.values()})
-    sums = gradient_sums(rows, net, ["model"])
+    sums = unrolled_sums(images, net, models, {m: tuple(t) for m, t in names.values()})
     named = " ".join(f"WHEN '{m}' THEN '{name}'" for name, (m, _) in names.items())
     return sums.withColumn("variant", F.expr(f"CASE model {named} END")).drop("model")
 

@@ -12,14 +12,18 @@ from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sparkgrad.functions import columns as C
+from sparkgrad.sources.schemas import BIAS_KEY
 
 # Over all models of a scan. Beyond this the generated method outgrows the 8,000
 # bytecodes the JVM still compiles, and a step gets slower than the block form
 # (138 parameters: over 30 s per step on 600,000 rows, block 3 s).
 MAX_UNROLLED_PARAMS = 64
 
+_SLOTS = 64
+
 def literal(value: float) -> str:
     value = float(value)
     return f"{value!r}D" if math.isfinite(value) else f"CAST('{value}' AS DOUBLE)"
@@ -54,12 +58,13 @@ def score_unrolled(images: DataFrame, state) -> DataFrame:
     return df.selectExpr("id", "label", f"CASE WHEN known THEN {p} ELSE array_repeat(CAST(NULL AS DOUBLE), {net.n_out}) END AS p")
 
 
-def unrolled_deltas(images: DataFrame, net, models: dict[str, dict[str, np.ndarray]],
-                    targets: dict[str, tuple[float, ...]] | None = None, delta: str = "sq2") -> DataFrame:
-    """(model, x, a, d2, e, d1): activations and deltas of every image under every model.
+def unrolled_sums(images: DataFrame, net, models: dict[str, dict[str, np.ndarray]],
+                  targets: dict[str, tuple[float, ...]] | None = None, delta: str = "sq2",
+                  mask_hidden_bias: bool = True) -> DataFrame:
+    """Gradient sums of all models in one scan: rows (model, layer, out, in, g_sum, n).
 
-    The units are computed as columns of one row and packed into arrays at the end, in
-    the form the grouped gradient sums take.
+    Each parameter is one running sum, so a task sends one row through the shuffle. The
+    rows meet in a fixed number of groups before the last addition.
     """
     js, ks = range(net.n_hidden), range(net.n_out)
     df = unit_columns(images.select("label", "x"), net, models).where("known")
@@ -73,15 +78,21 @@ def unrolled_deltas(images: DataFrame, net, models: dict[str, dict[str, np.ndarr
     slope = "CASE WHEN {m}a{j} > 0D THEN {m}err{j} ELSE 0D END" if net.hidden == "relu" else "{m}a{j} * (1D - {m}a{j}) * {m}err{j}"
     df = _add(df, [f"{slope.format(m=m, j=j)} AS {m}h{j}" for m in models for j in js])
 
-    def packed(prefix: str, n: int) -> str:
-        return f"array({', '.join(f'{prefix}{i}' for i in range(n))})"
-
-    each = [f"struct('{m}' AS model, {packed(f'{m}a', net.n_hidden)} AS a, {packed(f'{m}d', net.n_out)} AS d2, "
-            f"{packed(f'{m}err', net.n_hidden)} AS e, {packed(f'{m}h', net.n_hidden)} AS d1)" for m in models]
-    if len(models) == 1:
-        return df.selectExpr(f"{packed('x', net.n_in)} AS x", f"{each[0]} AS one").select("x", "one.*")
-    rows = df.selectExpr(f"{packed('x', net.n_in)} AS x", f"inline(array({', '.join(each)}))")
-    return rows.select("model", "x", "a", "d2", "e", "d1")
+    sums, cells = [], []
+    for m in models:
+        for layer, outs, n_in, d, v in ((1, js, net.n_in, f"{m}h", "x"), (2, ks, net.n_hidden, f"{m}d", f"{m}a")):
+            for out in outs:
+                for at in range(BIAS_KEY, n_in):
+                    term = f"{d}{out} * {v}{at}"
+                    if at == BIAS_KEY:
+                        term = f"{m}err{out}" if layer == 1 and not mask_hidden_bias else f"{d}{out}"
+                    cells.append(f"struct('{m}' AS model, {layer} AS layer, {out} AS out, {at} AS `in`, s{len(sums)} AS g_sum)")
+                    sums.append(f"sum({term}) AS s{len(sums)}")
+    grouped = df.withColumn("slot", F.pmod(F.spark_partition_id(), F.lit(_SLOTS))).groupBy("slot").agg(
+        *[F.expr(s) for s in sums], F.count(F.lit(1)).alias("n"))
+    whole = grouped.agg(*[F.expr(f"sum(s{i}) AS s{i}") for i in range(len(sums))], F.sum("n").alias("n"))
+    return whole.where("n > 0").selectExpr("n", f"inline(array({', '.join(cells)}))").select(
+        "model", "layer", "out", "in", "g_sum", "n")
 
 
 def _add(df: DataFrame, expressions: list[str]) -> DataFrame:

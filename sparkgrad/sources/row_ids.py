@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkgrad.session import MAX_BROADCAST_PARAMS
@@ -50,33 +48,38 @@ def assign_row_ids_by(df: DataFrame, key: str, name: str = "id", buckets: int |
     buckets = buckets or min(4096, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     fractions = [i / buckets for i in range(1, buckets)]
     borders = sorted(df.approxQuantile(key, fractions, 0.25 / buckets)) if fractions else []
-    dealt = (
-        df.withColumn("_lo", _borders_before(borders, F.col(key).cast("double"), strict=True))
-        .withColumn("_hi", _borders_before(borders, F.col(key).cast("double"), strict=False))
-        .withColumn("_mid", F.monotonically_increasing_id())
-    )
+    dealt = df.withColumn("_lo", F.expr(_borders_below(borders, key, "<"))).withColumn("_mid", F.monotonically_increasing_id())
+    if len(set(borders)) < len(borders):  # some value fills several quantiles
+        upto = _borders_below(borders, key, "<=")
+        dealt = dealt.withColumn("_hi", F.expr(f"CASE WHEN get({_array(borders)}, _lo) = `{key}` THEN {upto} ELSE _lo END"))
+    else:
+        dealt = dealt.withColumn("_hi", F.col("_lo"))
     span = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1))
-    bucketed = dealt.withColumn("_bucket", F.col("_lo") + F.pmod(F.col("_mid"), span).cast("int"))
+    bucket = F.col("_lo") + F.pmod(F.col("_mid"), span).cast("int")
+    before_all = -F.lit(1) - F.pmod(F.col("_mid"), F.lit(buckets)).cast("int")  # NULL keys come first, dealt as well
+    bucketed = dealt.withColumn("_bucket", F.when(F.col(key).isNull(), before_all).otherwise(bucket))
     counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     inside = Window.partitionBy("_bucket").orderBy(key, "_mid")
     return (
         bucketed.withColumn("_rn", F.row_number().over(inside))
-        .join(F.broadcast(_offsets(counts, "_bucket")), "_bucket")  # at most `buckets` rows
+        .join(F.broadcast(_offsets(counts, "_bucket")), "_bucket")  # at most 2 * `buckets` rows
         .withColumn(name, F.col("_before") + F.col("_rn"))
         .drop("_lo", "_hi", "_mid", "_bucket", "_rn", "_before")
     )
 
 
-def _borders_before(borders: list[float], key: Column, strict: bool) -> Column:
-    """How many sorted borders lie below ``key``, looked up in two short steps."""
-    if not borders:
-        return F.lit(0)
-    step = max(1, math.isqrt(len(borders)))
-    every = F.array(*[F.lit(float(b)) for b in borders])
-    chunk_ends = F.array(*[F.lit(float(borders[i])) for i in range(step - 1, len(borders), step)])
-    passed = (lambda b: b < key) if strict else (lambda b: b <= key)
-    full = F.size(F.filter(chunk_ends, passed)) * F.lit(step)
-    return (full + F.size(F.filter(F.slice(every, full + F.lit(1), F.lit(step)), passed))).cast("int")
+def _array(borders: list[float]) -> str:
+    return f"array({', '.join(f'{float(b)!r}D' for b in borders)})" if borders else "CAST(array() AS ARRAY<DOUBLE>)"
+
+
+def _borders_below(borders: list[float], key: str, less: str) -> str:
+    """How many sorted borders lie below the key: a search by halves, as an expression."""
+    n = len(borders)
+    steps = [1 << i for i in reversed(range(n.bit_length()))]
+    if not steps:
+        return "0"
+    probe = f"at + step <= {n} AND element_at({_array(borders)}, at + step) {less} `{key}`"
+    return f"aggregate(array({', '.join(map(str, steps))}), 0, (at, step) -> CASE WHEN {probe} THEN at + step ELSE at END)"
 
 
 def _offsets(counts: DataFrame, key: str) -> DataFrame:

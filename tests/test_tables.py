@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from sparkgrad.catalog.forward import DIGITS
 from sparkgrad.functions import columns as C
 from sparkgrad.functions.keyed_random import keyed_uniform
-from sparkgrad.operators import reports, reshape, update
+from sparkgrad.operators import layers, reports, reshape, update
 from sparkgrad.plans.forward import score
 from sparkgrad.plans.network import State
 from sparkgrad.plans.training import Options, gradients
@@ -55,6 +55,24 @@ def test_ordered_ids_with_a_hot_key(spark, buckets):
     assert len({r["v"] for r in rows}) == 6000
 
 
+def test_ordered_ids_with_many_null_keys(spark):
+    path = scratch_path(spark, "nulls")
+    spark.range(900).selectExpr("CASE WHEN id % 3 > 0 THEN id % 7 END AS k").repartition(4).write.parquet(path)
+    rows = row_ids.assign_row_ids_by(spark.read.parquet(path), "k", "n", 8).collect()
+    assert sorted(r["n"] for r in rows) == list(range(1, 901))
+    assert {r["n"] for r in rows if r["k"] is None} == set(range(1, 301))
+    keys = [r["k"] for r in sorted(rows, key=lambda r: r["n"])][300:]
+    assert keys == sorted(keys)
+
+
+def test_shares_keep_null_groups(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0), (None, 15.0)], "g string, v double")
+    rows = layers.ratio_to_report(df, "v", ["g"])
+    assert rows.columns == ["g", "v", "max_value", "total_value", "ratio"]
+    assert {(r["g"], r["v"], r["ratio"]) for r in rows.collect()} == {
+        ("a", 1.0, 0.25), ("a", 3.0, 0.75), (None, 5.0, 0.25), (None, 15.0, 0.75)}
+
+
 def test_update_from(spark):
     target = spark.createDataFrame([(1, 10.0), (2, 20.0), (3, 30.0)], "k int, w double")
     source = spark.createDataFrame([(1, 11.0, 1), (1, 12.0, 2), (3, None, 1), (9, 1.0, 1)], "k int, v double, at int")

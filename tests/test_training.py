@@ -74,9 +74,9 @@ def test_image_order_does_not_matter(spark, images):
 
 def test_versions_are_kept_and_replaced(spark, images):
     store = ParamStore(spark)
-    end = train([images] * 2, State.pattern(spark, NET), store, Options(lr=0.5))
+    end = params(train([images] * 2, State.pattern(spark, NET), store, Options(lr=0.5)))
     again = training.step(images, store.load(NET, 1), store, Options(lr=0.5))  # step 2 runs again
-    assert params(again) == pytest.approx(params(end), abs=1e-12)
+    assert params(again) == pytest.approx(end, abs=1e-12)
     history = store.history().groupBy("iter").count().orderBy("iter").collect()
     assert [(r["iter"], r["count"]) for r in history] == [(k, NET.n_params) for k in range(3)]
 
