@@ -10,7 +10,8 @@ from sparkgrad.catalog.registry import query, r6
 from sparkgrad.catalog.sigmoid import TARGET, pairs, sql_steps
 from sparkgrad.operators import reports
 from sparkgrad.plans import training
-from sparkgrad.plans.network import State, activations
+from sparkgrad.plans.forward import unit_values
+from sparkgrad.plans.network import State
 from sparkgrad.plans.training import Options, ParamStore, train
 from sparkgrad.sources import readers
 
@@ -103,7 +104,7 @@ def _mean_by_iteration(spark, sf_dir, column):
     """(iter, unit, value): mean of an activation array over all examples, per version."""
     examples, net, store = _pair_run(spark, sf_dir)
     parts = [
-        activations(examples, store.load(net, n)).selectExpr(f"posexplode({column}) AS (unit, value)")
+        unit_values(examples, store.load(net, n)).selectExpr(f"posexplode({column}) AS (unit, value)")
         .groupBy("unit").agg(F.avg("value").alias("value")).selectExpr(f"{n} AS iter", "unit", "value")
         for n in range(3)]
     return reduce(lambda a, b: a.unionByName(b), parts)

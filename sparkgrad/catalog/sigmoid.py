@@ -4,7 +4,8 @@ from sparkgrad.catalog import sqltext
 from sparkgrad.catalog.registry import query, r6
 from sparkgrad.operators import gradients as G
 from sparkgrad.operators import init, reports
-from sparkgrad.plans.network import Network, State, activations
+from sparkgrad.plans.forward import unit_values
+from sparkgrad.plans.network import Network, State
 from sparkgrad.plans.training import Options, deltas, sweep
 from sparkgrad.sources import readers
 
@@ -49,14 +50,14 @@ _BACK = _FORWARD + "," + sqltext.backward(0, "sigmoid", "sigmoid", targets=TARGE
 @query("sigmoid_layer", _FORWARD + """
 SELECT l_orderkey AS id, j + 1 AS hidden, round(a, 6) AS hidden_value FROM h_0 JOIN lines USING (rid)""")
 def sigmoid_layer(spark, sf_dir):
-    rows = activations(*pairs(spark, sf_dir)).selectExpr("id", "posexplode(a) AS (j, hidden_value)")
+    rows = unit_values(*pairs(spark, sf_dir)).selectExpr("id", "posexplode(a) AS (j, hidden_value)")
     return rows.selectExpr("id", "j + 1 AS hidden", *r6("hidden_value"))
 
 
 @query("seed_weights", _FORWARD + """
 SELECT l_orderkey AS id, k + 1 AS output_node, round(p, 6) AS predicted_value FROM p_0 JOIN lines USING (rid)""")
 def seed_weights(spark, sf_dir):
-    rows = activations(*pairs(spark, sf_dir)).selectExpr("id", "posexplode(p) AS (k, predicted_value)")
+    rows = unit_values(*pairs(spark, sf_dir)).selectExpr("id", "posexplode(p) AS (k, predicted_value)")
     return rows.selectExpr("id", "k + 1 AS output_node", *r6("predicted_value"))
 
 

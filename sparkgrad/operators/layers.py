@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkgrad.functions import columns as C
-from sparkgrad.operators.reshape import array_to_rows, rows_to_array
+from sparkgrad.operators.reshape import rows_to_array
 from sparkgrad.session import MAX_BROADCAST_PARAMS
 
 _WIDE = 64  # running sums per aggregate row

@@ -19,13 +19,19 @@ from sparkgrad.plans.unrolled import score_unrolled
 def score(images: DataFrame, state: State, engine: str | None = None) -> DataFrame:
     """(id, label, p ARRAY<DOUBLE>) for every image, in the form that suits the shape."""
     engine = engine or state.net.engine
-    if engine == "array":
-        return activations(images, state).select("id", "label", "p")
+    if engine == "long":
+        return score_long(images, state)
+    return unit_values(images, state, engine).select("id", "label", "p")
+
+
+def unit_values(images: DataFrame, state: State, engine: str | None = None) -> DataFrame:
+    """(id, label, a, p): hidden activations and outputs of every image; map-only."""
+    engine = engine or state.net.engine
     if engine == "columns":
         return score_unrolled(images, state)
     if engine == "block":
-        return score_blocks(images, state).select("id", "label", "p")
-    return score_long(images, state)
+        return score_blocks(images, state)
+    return activations(images, state).select("id", "label", "a", "p")
 
 
 def score_long(images: DataFrame, state: State) -> DataFrame:

@@ -51,11 +51,15 @@ def unit_columns(images: DataFrame, net, models: dict[str, dict[str, np.ndarray]
 
 
 def score_unrolled(images: DataFrame, state) -> DataFrame:
-    """(id, label, p) in generated code; map-only."""
+    """(id, label, a, p) in generated code; map-only."""
     net = state.net
     df = unit_columns(images.select("id", "label", "x"), net, {"m": state.arrays()})
-    p = f"array({', '.join(f'mp{k}' for k in range(net.n_out))})"
-    return df.selectExpr("id", "label", f"CASE WHEN known THEN {p} ELSE array_repeat(CAST(NULL AS DOUBLE), {net.n_out}) END AS p")
+
+    def packed(prefix: str, n: int) -> str:
+        units = ", ".join(f"{prefix}{i}" for i in range(n))
+        return f"CASE WHEN known THEN array({units}) ELSE array_repeat(CAST(NULL AS DOUBLE), {n}) END"
+
+    return df.selectExpr("id", "label", f"{packed('ma', net.n_hidden)} AS a", f"{packed('mp', net.n_out)} AS p")
 
 
 def unrolled_sums(images: DataFrame, net, models: dict[str, dict[str, np.ndarray]],

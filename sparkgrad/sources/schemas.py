@@ -19,13 +19,6 @@ PREDICTION_LOG = T.StructType([
     T.StructField("prediction", INT),
 ])
 
-OUTPUT_LOG = T.StructType([
-    T.StructField("iter", INT, False),
-    T.StructField("output", INT, False),
-    T.StructField("predicted_value", DOUBLE),
-    T.StructField("actual_value", DOUBLE),
-])
-
 
 def image_schema(n_pixels: int, with_id: bool = True) -> T.StructType:
     """Wide image table: (id,) label, pixel0 .. pixel{n-1}."""
