@@ -11,7 +11,9 @@ from sparkgrad.llm.mixing import op8_mixing
 from sparkgrad.llm.quality_rules import OP7_SQL, op7_quality_rules
 from sparkgrad.llm.sharding import op1_sharding
 from sparkgrad.llm.simhash import op2_simhash
+from sparkgrad.llm.suffix_dedup import op9_suffix_dedup
 
 QUERIES = {q.__name__: q for q in (
-    op1_sharding, op2_simhash, op3_embedding_pairs, op4_line_crf, op5_html_blocks, op6_bpe, op7_quality_rules, op8_mixing, op10_language_id)}
+    op1_sharding, op2_simhash, op3_embedding_pairs, op4_line_crf, op5_html_blocks, op6_bpe, op7_quality_rules, op8_mixing,
+    op9_suffix_dedup, op10_language_id)}
 SQL = {"op7_quality_rules": OP7_SQL}
