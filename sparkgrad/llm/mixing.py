@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkgrad.llm.text import let, n_words, read, unit
+from sparkgrad.llm.text import free_name, let, n_words, read, unit
 from sparkgrad.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -136,13 +136,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_copies: int =
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix with the input's columns; one taken three times is there three times."""
     key, text, source = (options.get(c, d) for c, d in (("key", "doc_id"), ("text", "text"), ("source", "source")))
-    taken = mix(docs, **options).where("copies > 0").select(
-        F.col("source").alias("_mix_source"), F.col("id").alias("_mix_id"), F.col("size").alias("_mix_size"),
-        F.col("copies").cast("int").alias("_mix_copies"))
-    on = (F.col(key).eqNullSafe(F.col("_mix_id")) & F.col(source).eqNullSafe(F.col("_mix_source"))
-          & (n_words(F.col(text)) == F.col("_mix_size")))
+    taken = mix(docs, **options).where("copies > 0").select("source", "id", "size", F.col("copies").cast("int").alias("copies"))
+    on = (docs[key].eqNullSafe(taken["id"]) & docs[source].eqNullSafe(taken["source"]) & (n_words(docs[text]) == taken["size"]))
+    copy = free_name(docs.columns, "copy")
     return docs.join(taken, on).select(*[docs[c] for c in docs.columns], F.explode(
-        F.sequence(F.lit(1), F.col("_mix_copies"))).alias("_mix_copy")).drop("_mix_copy")
+        F.sequence(F.lit(1), taken["copies"])).alias(copy)).drop(copy)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkgrad.llm.text import WHITE, let, read, words
+from sparkgrad.llm.text import WHITE, free_name, let, read, words
 
 SYMBOLS = "#*$%&|<>"
 WIDTH = 8
@@ -135,13 +135,6 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES,
         m.alias("counts"), failed.alias("base_failed"), (~failed & verdict(m, rules)).alias("kept")))))
 
 
-def free_name(columns: list[str], name: str) -> str:
-    taken = {c.lower() for c in columns}
-    while name.lower() in taken:
-        name = "_" + name
-    return name
-
-
 def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows that pass, with the input's columns."""
     into = free_name(docs.columns, "_judged")

@@ -113,16 +113,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without near-duplicates of a smaller key; the input's columns. Of rows that repeat a key, one stays."""
-    kept = near_duplicates(docs, key, text).where("id <=> component_id").groupBy(F.col("id").alias("_kept_id")).agg(
-        F.count("*").alias("_kept_rows"))
-    kept = materialize(kept, "simhash-kept")
-    on = docs[key].eqNullSafe(F.col("_kept_id"))
-    out = docs.join(kept, on, "left_semi")
-    if kept.where("_kept_rows > 1").isEmpty():
-        return out
-    single = docs.join(kept.where("_kept_rows = 1"), on, "left_semi")
-    return single.unionByName(docs.join(kept.where("_kept_rows > 1"), on, "left_semi").dropDuplicates([key]))
+    """The documents without near-duplicates of a smaller key; the input's columns.
+
+    Of rows that repeat a key one stays; which one is open if they differ.
+    """
+    kept = materialize(near_duplicates(docs, key, text).groupBy("id").agg(
+        F.count("*").alias("rows"), F.max(F.expr("id <=> component_id")).alias("first")).where("first"), "simhash-kept")
+    among = lambda ids: docs.join(ids, docs[key].eqNullSafe(ids["id"]), "left_semi")
+    repeated = kept.where("rows > 1")
+    if repeated.isEmpty():
+        return among(kept)
+    return among(kept.where("rows = 1")).unionByName(among(repeated).dropDuplicates([key]))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
