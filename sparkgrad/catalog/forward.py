@@ -105,11 +105,12 @@ pred AS (SELECT rid AS id, label, CAST(arg_max(k, p) AS INTEGER) AS prediction
          FROM (SELECT rid, label, k, p FROM p_0 ORDER BY rid, k) GROUP BY rid, label)"""
 
 
-@query("predict_argmax", PREDICTED + " SELECT id, prediction FROM pred")
+@query("predict_argmax", PREDICTED + " SELECT id, prediction FROM pred UNION ALL SELECT -1, NULL")
 def predict_argmax(spark, sf_dir):
+    """Also for an image without features, whose prediction is NULL."""
     images, state = digits(spark, sf_dir)
-    rows = plans.output_rows(plans.score(images, state, "long")).withColumnRenamed("output", "out")
-    return layers.argmax_rows(rows, ["id"])
+    unknown = images.limit(1).selectExpr("-1L AS id", "CAST(NULL AS INT) AS label", "CAST(NULL AS ARRAY<DOUBLE>) AS x")
+    return plans.predict(images.unionByName(unknown), state, "long").select("id", "prediction")
 
 
 @query("array_predict", PREDICTED + " SELECT id, label, prediction FROM pred")
@@ -127,7 +128,19 @@ def accuracy(spark, sf_dir):
 SELECT round(avg(-ln(p)), 6) AS cross_entropy_loss FROM p_0 WHERE k = label""")
 def cross_entropy_loss(spark, sf_dir):
     images, state = digits(spark, sf_dir)
-    return losses.cross_entropy(plans.score(images, state, "array")).selectExpr(*r6("cross_entropy_loss"))
+    return losses.cross_entropy(plans.logits(images, state)).selectExpr(*r6("cross_entropy_loss"))
+
+
+@query("cross_entropy_saturated", sqltext.chain(
+    sqltext.EMBEDDINGS_X.replace("AS DOUBLE) AS v", "AS DOUBLE) * 20000e0 AS v"), sqltext.pattern_params(64, 10, 10), sqltext.forward()) + """,
+lse AS (SELECT rid, max(z) AS top, max(CASE WHEN k = label THEN z END) AS own FROM z2_0 GROUP BY rid)
+SELECT round(avg(top + ln(s) - own) / 1e3, 6) AS cross_entropy_loss
+FROM lse JOIN (SELECT rid, sum(exp(z - top)) AS s FROM z2_0 JOIN lse USING (rid) GROUP BY rid) USING (rid)""")
+def cross_entropy_saturated(spark, sf_dir):
+    """Inputs so large that the share of many labels underflows to 0; their losses count all the same."""
+    images = readers.embedding_images(spark, sf_dir, 20000.0)
+    loss = losses.cross_entropy(plans.logits(images, State.pattern(spark, DIGITS)))
+    return loss.selectExpr("round(cross_entropy_loss / 1e3D, 6) AS cross_entropy_loss")
 
 
 @query("sql_functions", sqltext.chain(sqltext.EMBEDDINGS_X) + """,
@@ -153,6 +166,45 @@ def lineitem_forward(spark, sf_dir):
     return scored.selectExpr("id", "label", f"{C.argmax('p')} AS prediction", "round(array_max(p), 6) AS p")
 
 
+AWKWARD = Network(4, 3, 3)
+_AWKWARD = sqltext.chain(sqltext.LINE_NUMBERED, """
+x AS MATERIALIZED (
+  SELECT rid, l_linenumber AS label, 0 AS i, l_quantity / 50e0 AS v FROM lines WHERE l_linenumber IN (1, 2, 5)
+  UNION ALL SELECT rid, l_linenumber, 1, l_extendedprice / 100000e0 FROM lines WHERE l_linenumber IN (1, 5)
+  UNION ALL SELECT rid, l_linenumber, 2, l_discount * 10e0 FROM lines WHERE l_linenumber IN (1, 2)
+  UNION ALL SELECT rid, l_linenumber, 3, l_tax * 10e0 FROM lines WHERE l_linenumber = 1)""",
+    sqltext.pattern_params(4, 3, 3), sqltext.forward()) + """
+SELECT l_orderkey % 50 AS id, l_linenumber AS label, CAST(arg_max(k, p) AS INTEGER) AS prediction, round(max(p), 6) AS p
+FROM lines LEFT JOIN p_0 USING (rid) WHERE l_linenumber <> 7 GROUP BY rid, l_orderkey, l_linenumber"""
+
+
+def awkward_images(spark, sf_dir):
+    """By line number: full, with NULLs, NULL, empty, short, nothing but NULLs, one feature too many. Ids repeat."""
+    q, p, d, t = "l_quantity / 50D", "l_extendedprice / 100000D", "l_discount * 10D", "l_tax * 10D"
+    none = "CAST(NULL AS DOUBLE)"
+    return readers.read_table(spark, sf_dir, "lineitem").selectExpr("l_orderkey % 50 AS id", "l_linenumber AS label", f"""
+        CASE l_linenumber WHEN 1 THEN array({q}, {p}, {d}, {t}) WHEN 2 THEN array({q}, {none}, {d}, {none})
+        WHEN 4 THEN CAST(array() AS ARRAY<DOUBLE>) WHEN 5 THEN array({q}, {p}) WHEN 6 THEN array({none}, {none}, {none}, {none})
+        WHEN 7 THEN array({q}, {p}, {d}, {t}, {q}) END AS x""")
+
+
+def _forward_awkward(engine):
+    @query(f"forward_awkward_{engine}", _AWKWARD)
+    def forward_awkward(spark, sf_dir):
+        fitting = awkward_images(spark, sf_dir).where("x IS NULL OR size(x) <= 4")
+        scored = plans.score(fitting, State.pattern(spark, AWKWARD), engine)
+        return scored.selectExpr("id", "label", f"{C.argmax('p')} AS prediction", "round(array_max(p), 6) AS p")
+
+
+for _engine in ("columns", "block", "array", "long"):
+    _forward_awkward(_engine)
+
+
+@query("width_violations", "SELECT l_orderkey % 50 AS id, 5 AS n_features FROM lineitem WHERE l_linenumber = 7")
+def width_violations(spark, sf_dir):
+    return reports.width_violations(awkward_images(spark, sf_dir), 4)
+
+
 @query("ratio_to_report", """
 SELECT l_orderkey, l_linenumber, l_returnflag, l_extendedprice,
        max(l_extendedprice) OVER (PARTITION BY l_returnflag) AS max_value,

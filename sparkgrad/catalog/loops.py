@@ -1,18 +1,13 @@
 """Training loops and their trajectories."""
 
-from functools import reduce
-
-from pyspark.sql import functions as F
-
 from sparkgrad.catalog import sqltext
 from sparkgrad.catalog.forward import LINES, digits
 from sparkgrad.catalog.registry import query, r6
 from sparkgrad.catalog.sigmoid import TARGET, pairs, sql_steps
 from sparkgrad.operators import reports
 from sparkgrad.plans import training
-from sparkgrad.plans.forward import unit_values
 from sparkgrad.plans.network import State
-from sparkgrad.plans.training import Options, ParamStore, train
+from sparkgrad.plans.training import Options, ParamStore, TrainLog, train
 from sparkgrad.sources import readers
 
 LR = 0.5
@@ -46,6 +41,37 @@ def train_steps_block(spark, sf_dir):
     return param_rows(train([images] * 2, state, ParamStore(spark), Options(lr=LR), "block"))
 
 
+@query("train_steps_long", steps_sql(*DIGIT_START, 2))
+def train_steps_long(spark, sf_dir):
+    images, state = digits(spark, sf_dir)
+    return param_rows(train([images] * 2, state, ParamStore(spark), Options(lr=LR), "long"))
+
+
+_LOGGED = sqltext.chain(*DIGIT_START, sqltext.forward(0), sqltext.backward(0), sqltext.update(0, LR), sqltext.forward(1)) + """,
+logged AS (SELECT iter, rid AS id, label, CAST(arg_max(k, p) AS INTEGER) AS prediction FROM (
+  SELECT 0 AS iter, rid, label, k, p FROM p_0 UNION ALL SELECT 1, rid, label, k, p FROM p_1 ORDER BY iter, rid, k)
+  GROUP BY iter, rid, label)"""
+
+
+def _logged(spark, sf_dir):
+    images, state = digits(spark, sf_dir)
+    log = TrainLog(spark)
+    train([images] * 2, state, ParamStore(spark), Options(lr=LR), log=log)
+    return log.read()
+
+
+@query("train_log", _LOGGED + " SELECT iter, TRUE AS timed, id, label, prediction FROM logged")
+def train_log(spark, sf_dir):
+    """What two training steps wrote: the predictions that each started from, with the time of the insert."""
+    return _logged(spark, sf_dir).selectExpr("iter", "insert_time <= current_timestamp() AS timed", "id", "label", "prediction")
+
+
+@query("accuracy_from_log", _LOGGED + """
+SELECT iter, avg(CASE WHEN label = prediction THEN 1e0 ELSE 0e0 END) AS pct_right, count(*) AS n_images FROM logged GROUP BY iter""")
+def accuracy_from_log(spark, sf_dir):
+    return reports.accuracy(_logged(spark, sf_dir), "iter")
+
+
 @query("train_minibatches", steps_sql(*DIGIT_START, 4, where=lambda n: f"rid % 4 = {n}"))
 def train_minibatches(spark, sf_dir):
     """One epoch: every image is used once, in four batches."""
@@ -81,11 +107,13 @@ _PAIR_CHAIN = sqltext.chain(sqltext.PAIRS_X, sqltext.SEED_PARAMS, *sql_steps(2,
                             sqltext.forward(2, "sigmoid", "sigmoid"))
 
 
-def _pair_run(spark, sf_dir):
+def _pair_run(spark, sf_dir, log=None):
     examples, state = pairs(spark, sf_dir)
     store = ParamStore(spark)
     opts = Options(lr=LR, clip=1.0, update_bias=False, target=TARGET)
-    train([examples] * 2, state, store, opts)
+    last = train([examples] * 2, state, store, opts, log=log)
+    if log is not None:
+        log.write(examples, last)
     return examples, state.net, store
 
 
@@ -101,13 +129,10 @@ def weight_trajectory(spark, sf_dir):
 
 
 def _mean_by_iteration(spark, sf_dir, column):
-    """(iter, unit, value): mean of an activation array over all examples, per version."""
-    examples, net, store = _pair_run(spark, sf_dir)
-    parts = [
-        unit_values(examples, store.load(net, n)).selectExpr(f"posexplode({column}) AS (unit, value)")
-        .groupBy("unit").agg(F.avg("value").alias("value")).selectExpr(f"{n} AS iter", "unit", "value")
-        for n in range(3)]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    """(iter, unit, value): mean of an activation array over all examples, from the log of the run."""
+    log = TrainLog(spark)
+    _pair_run(spark, sf_dir, log)
+    return log.means(column)
 
 
 _MEAN_H = " UNION ALL ".join(f"SELECT {n} AS iter, j + 1 AS hidden, avg(a) AS v FROM h_{n} GROUP BY j" for n in range(3))

@@ -23,16 +23,15 @@ def ctas_roundtrip(spark, sf_dir):
     return sinks.create_table_as(grouped, path)  # replaces the first table
 
 
-@query("append_log", """
-WITH q AS (SELECT vec_id AS id, label FROM embeddings)
-SELECT 0 AS iter, id, label, CAST(NULL AS INTEGER) AS prediction FROM q
-UNION ALL SELECT 1, id, label, label FROM q""")
+@query("append_log", _PRED + """
+SELECT 0 AS iter, id, label, CAST(NULL AS INTEGER) AS prediction FROM pred
+UNION ALL SELECT 1, id, label, prediction FROM pred""")
 def append_log(spark, sf_dir):
     path = scratch_path(spark, "log")
-    images, _ = digits(spark, sf_dir)
+    images, state = digits(spark, sf_dir)
     sinks.append_log(images.selectExpr("id", "label", "CAST(NULL AS INT) AS prediction"), path, 0)
     for _ in range(2):  # a repeated iteration replaces itself
-        sinks.append_log(images.selectExpr("id", "label", "label AS prediction"), path, 1)
+        sinks.append_log(predict(images, state), path, 1)
     return sinks.read_log(spark, path).select("iter", "id", "label", "prediction")
 
 
@@ -44,8 +43,11 @@ SELECT o_orderkey, coalesce(l_extendedprice, o_totalprice) AS o_totalprice
 FROM orders LEFT JOIN last_line ON o_orderkey = l_orderkey""")
 def update_from(spark, sf_dir):
     orders = readers.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    lines = readers.read_table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
-    last = update.one_per_key(lines, ["o_orderkey"], "l_extendedprice", ["l_shipdate", "l_linenumber", "l_extendedprice"])
+    # line number and price in cents as one number; a price has fewer than 12 digits
+    lines = readers.read_table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS o_orderkey", "l_extendedprice", "l_shipdate",
+        "l_linenumber * 1000000000000L + CAST(round(l_extendedprice * 100D) AS BIGINT) AS place")
+    last = update.one_per_key(lines, ["o_orderkey"], "l_extendedprice", ["l_shipdate", "place"])
     return update.update_from(orders, last, ["o_orderkey"], "o_totalprice", "l_extendedprice")
 
 

@@ -71,9 +71,14 @@ def select_image(spark, sf_dir):
     return long.selectExpr("id", "label", "`in` AS pixel_id", "round(v, 6) AS pixel_value")
 
 
-@query("preview")
+@query("preview", """
+SELECT least(count(*), 10) AS n_rows, least(count(*), 10) AS n_known FROM embeddings""")
 def preview(spark, sf_dir):
-    return readers.read_table(spark, sf_dir, "embeddings").select("vec_id", "label").limit(10)
+    """Which rows come is open: they are counted, and those that are rows of the table."""
+    table = readers.read_table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    rows = reports.preview(table, 10)
+    known = rows.join(table.distinct().withColumn("known", F.lit(1)), ["vec_id", "label"], "left")
+    return known.agg(F.count(F.lit(1)).alias("n_rows"), F.count("known").alias("n_known"))
 
 
 @query("image_grid", f"""
@@ -96,6 +101,26 @@ def unpivot_pixels(spark, sf_dir):
     return reshape.unpivot_pixels(wide, ["l_orderkey", "l_linenumber"])
 
 
+@query("pixel_keys", """
+WITH named AS (
+  SELECT rid, unnest(['id', 'label', 'pixel0', 'pixel1', 'pixel2', 'pixel3']) AS pixel,
+         unnest([CAST(l_orderkey AS DOUBLE), CAST(l_linenumber AS DOUBLE), l_quantity, l_extendedprice, l_discount, l_tax]) AS v
+  FROM (SELECT row_number() OVER () AS rid, * FROM lineitem)),
+w AS (SELECT CAST(i AS INTEGER) AS i, CAST(i + 1 AS DOUBLE) / 10e0 AS w FROM range(4) AS r(i))
+SELECT pixel, i AS pixel_id, count(*) AS n, round(sum(v * w) / 1e3, 3) AS weighted
+FROM named JOIN w ON CAST(ltrim(pixel, 'pixel') AS INTEGER) = i WHERE pixel NOT IN ('id', 'label') GROUP BY pixel, i""")
+def pixel_keys(spark, sf_dir):
+    """Pixel names as data: filtered by value, stripped to a number, and joined with numbered weights."""
+    named = readers.read_table(spark, sf_dir, "lineitem").selectExpr(
+        "CAST(l_orderkey AS DOUBLE) AS id", "CAST(l_linenumber AS DOUBLE) AS label", "l_quantity AS pixel0",
+        "l_extendedprice AS pixel1", "l_discount AS pixel2", "l_tax AS pixel3")
+    rows = reshape.named_values(named, named.columns)
+    weights = init.grid(spark, 1, 4).selectExpr("`in` AS pixel_id", "CAST(`in` + 1 AS DOUBLE) / 10D AS w")
+    joined = reshape.pixels_only(rows, ("id", "label")).join(weights, "pixel_id")
+    return joined.groupBy("pixel", "pixel_id").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("value") * F.col("w")) / 1e3, 3).alias("weighted"))
+
+
 _GRID = """
 shape AS (SELECT max(len(embedding)) AS n_in, max(label) + 1 AS n_out FROM embeddings),
 grid AS (SELECT CAST(j AS INTEGER) AS j, CAST(i AS INTEGER) AS i, n_in
@@ -104,7 +129,9 @@ _DRAW = "CAST('0x' || substr(md5({seed} || ':' || j || ':' || i), 1, 13) AS BIGI
 
 
 def _cells(spark, sf_dir):
-    return init.grid_of(readers.infer_shape(readers.embedding_images(spark, sf_dir)))
+    """The grid of the shape found in the data: two numbers on the driver, the cells from a range."""
+    shape = readers.infer_shape(readers.embedding_images(spark, sf_dir)).first()
+    return init.grid(spark, shape["n_out"], shape["n_in"]).withColumn("fan_in", F.lit(shape["n_in"]))
 
 
 @query("grid", f"WITH {_GRID} SELECT j AS neuron, i AS input_layer FROM grid")

@@ -1,6 +1,7 @@
 """The two-input sigmoid net, seeded from the worked example, over all lineitem rows."""
 
 from sparkgrad.catalog import sqltext
+from sparkgrad.catalog.forward import digits
 from sparkgrad.catalog.registry import query, r6
 from sparkgrad.operators import gradients as G
 from sparkgrad.operators import init, reports
@@ -101,3 +102,26 @@ def variant_sweep(spark, sf_dir):
     variants = spark.createDataFrame(VARIANTS, VARIANT_SCHEMA)
     trained = sweep(examples, state, variants, 2)
     return trained.selectExpr("variant", "layer", "out AS unit", "`in` AS input", "round(w, 6) AS weight")
+
+
+# The digit net's two learning rates. A name is data and may hold any character.
+DIGIT_VARIANTS = [("lr .01 (it's fast)", 0.01, None, None), ("lr .0001", 0.0001, None, None)]
+
+
+def _digit_sweep_sql(steps: int) -> str:
+    parts = []
+    for name, lr, _, _ in DIGIT_VARIANTS:
+        chain = [sqltext.EMBEDDINGS_X, sqltext.pattern_params(64, 10, 10)]
+        for n in range(steps):
+            chain += [sqltext.forward(n), sqltext.backward(n), sqltext.update(n, lr, None, update_bias=False)]
+        quoted = name.replace("'", "''")
+        parts.append(f"SELECT '{quoted}' AS variant, * FROM ({sqltext.chain(*chain)} SELECT * FROM ({sqltext.all_params(steps)}))")
+    return ("SELECT variant, layer, unit, input, round(w, 6) + 0e0 AS weight FROM (" + " UNION ALL ".join(parts) + ")")
+
+
+@query("variant_sweep_digits", _digit_sweep_sql(2))
+def variant_sweep_digits(spark, sf_dir):
+    """The softmax net, with labels and without targets."""
+    images, state = digits(spark, sf_dir)
+    trained = sweep(images, state, spark.createDataFrame(DIGIT_VARIANTS, VARIANT_SCHEMA), 2)
+    return trained.selectExpr("variant", "layer", "out AS unit", "`in` AS input", "round(w, 6) AS weight")

@@ -24,4 +24,4 @@ def stream_train(spark, sf_dir):
     stream = online.embedding_stream(spark, sf_dir)
     query = online.train_stream(stream, State.pattern(spark, DIGITS), store, Options(lr=LR), scratch_path(spark, "train-cp"))
     query.awaitTermination()
-    return param_rows(store.load(DIGITS, query.lastProgress["batchId"] + 1 if query.lastProgress else 0))
+    return param_rows(store.newest(DIGITS))

@@ -53,14 +53,22 @@ def dense(weights: str, bias: str, x: str) -> str:
 
 
 def activation(kind: str, z: str) -> str:
+    """``linear`` leaves the values as they are: the logits of a softmax net."""
     if kind == "softmax":
         return softmax(z)
+    if kind == "linear":
+        return z
     return f"transform({z}, one -> {relu('one') if kind == 'relu' else sigmoid('one')})"
 
 
+def too_wide(n: int) -> str:
+    return f"raise_error('an image has more than the {n} features of the network')"
+
+
 def fit_length(x: str, n: int) -> str:
-    """NULL and missing features count as 0 (SUM skips them); surplus ones are cut."""
-    exact = f"CASE WHEN size({x}) = {n} THEN {x} ELSE slice(concat({x}, array_repeat(0D, {n})), 1, {n}) END"
+    """NULL and missing features count as 0 (a SUM skips them); a surplus one is an error in every form."""
+    exact = (f"CASE WHEN size({x}) = {n} THEN {x} WHEN size({x}) > {n} THEN {too_wide(n)} "
+             f"ELSE concat({x}, array_repeat(0D, {n} - size({x}))) END")
     return f"transform({exact}, one -> coalesce(one, 0D))"
 
 

@@ -17,12 +17,6 @@ def grid(spark: SparkSession, n_out: int, n_in: int) -> DataFrame:
     )
 
 
-def grid_of(shape: DataFrame, n_out: str = "n_out", n_in: str = "n_in") -> DataFrame:
-    """The same grid for a one-row (n_in, n_out) frame found in the data."""
-    outs = shape.select(F.explode(F.sequence(F.lit(0), F.col(n_out) - 1)).alias("out"), F.col(n_in).alias("_n"))
-    return outs.select("out", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("in"), F.col("_n").alias("fan_in"))
-
-
 def uniform_init(cells: DataFrame, seed: int) -> DataFrame:
     """w = U[0, 1)."""
     return cells.withColumn("w", keyed_uniform(seed, "out", "in"))

@@ -22,14 +22,16 @@ def dense_rows(
     join_key: str = "in",
     salts: int = 16,
     broadcast_limit: int = MAX_BROADCAST_PARAMS,
+    n_out: int | None = None,
 ) -> DataFrame:
     """z[key, out] = sum_in w[out, in] * v[key, in] + b[out], one row per output.
 
     ``x`` has (keys, in, v), ``weights`` (out, in, w), ``biases`` (out, b).
     ``n_weights`` is the layer's size; within the limit the weights are broadcast,
-    beyond it both sides are shuffled on (in, salt): an input number is shared by all
-    images, so each one is spread over ``salts`` partitions. Sums start before the
-    shuffle in both cases. A left join keeps keys whose inputs match no weight.
+    beyond it both sides are shuffled on (in, salt) and merged: an input number is shared by all
+    images, so its rows are dealt over ``salts`` partitions row by row, also those of one
+    hot key. The biases (``n_out`` rows) are broadcast if they are within the limit. Sums start before
+    the shuffle in both cases. A left join keeps keys whose inputs match no weight.
     ``join_key="out"`` matches the activation of unit *o* with the weights of output *o*.
     """
     w = weights.withColumn("_match", F.col(join_key)).select("_match", "out", "w")
@@ -37,11 +39,12 @@ def dense_rows(
     if n_weights <= broadcast_limit:
         joined = left.join(F.broadcast(w), "_match", "left")
     else:
-        spread = left.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int"))
+        spread = left.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
         copies = w.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = spread.join(copies, ["_match", "_salt"], "left")
+        joined = spread.join(copies.hint("merge"), ["_match", "_salt"], "left")
     sums = joined.groupBy(*keys, "out").agg(F.sum(F.col("w") * F.col("v")).alias("_s"))
-    b = F.broadcast(biases) if n_weights <= broadcast_limit else biases
+    few = n_weights <= broadcast_limit or n_out is not None and n_out <= MAX_BROADCAST_PARAMS
+    b = F.broadcast(biases) if few else biases
     return sums.join(b, "out", "left").select(*keys, "out", (F.col("_s") + F.col("b")).alias("z"))
 
 
@@ -64,7 +67,8 @@ def dense_packed(
     Wide or oversized layers go through ``dense_rows``.
     """
     if n_out > _WIDE or n_in * n_out > broadcast_limit:
-        z = dense_rows(x, weights, biases, keys=keys, n_weights=n_in * n_out, broadcast_limit=broadcast_limit)
+        z = dense_rows(x, weights, biases, keys=keys, n_weights=n_in * n_out, broadcast_limit=broadcast_limit,
+                       n_out=n_out)
         return rows_to_array(z, keys, "out", "z", n_out, name)
     per_input = rows_to_array(weights, ["in"], "out", "w", n_out, "_w")
     per_layer = rows_to_array(biases.withColumn("_one", F.lit(1)), ["_one"], "out", "b", n_out, "_b").select("_b")
@@ -95,10 +99,9 @@ def softmax_rows(z: DataFrame, keys: list[str], n_out: int) -> DataFrame:
     return rows.selectExpr(*keys, "out", "e", "total", "e / total AS p")
 
 
-def argmax_rows(p: DataFrame, keys: list[str]) -> DataFrame:
-    """Output with the highest share per key; ties go to the lowest output."""
-    best = F.max_by("out", F.struct(F.col("p"), -F.col("out")))
-    return p.groupBy(*keys).agg(best.alias("prediction"))
+def argmax_rows(p: DataFrame, keys: list[str], n_out: int) -> DataFrame:
+    """Output with the highest share per key; ties go to the lowest output, without any share it is NULL."""
+    return rows_to_array(p, keys, "out", "p", n_out, "_p").selectExpr(*keys, f"{C.argmax('_p')} AS prediction")
 
 
 def ratio_to_report(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:

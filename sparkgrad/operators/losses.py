@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkgrad.functions import columns as C
+
 
 def output_delta(scored: DataFrame) -> DataFrame:
     """(id, label, p[]) to rows (id, output, p, squared_error, delta = 2(p - y))."""
@@ -28,6 +30,11 @@ def half_squared_gradient(acts: DataFrame) -> DataFrame:
         (F.col("error") * F.col("relu_grad") * F.col("h")).alias("gradient"))
 
 
-def cross_entropy(scored: DataFrame) -> DataFrame:
-    """Mean of -ln p[label]; one row."""
-    return scored.agg(F.avg(-F.ln(F.element_at("p", F.col("label") + 1))).alias("cross_entropy_loss"))
+def cross_entropy(logits: DataFrame) -> DataFrame:
+    """Mean of -ln p[label] from the inputs ``z`` of the softmax; one row.
+
+    ln(sum(exp(z))) - z[label], shifted by the maximum: finite also where the share of the label underflows
+    to 0. Rows without a label, or with an unknown image, are left out.
+    """
+    total = C.let("array_max(z)", "top", f"top + ln({C.total('transform(z, one -> exp(one - top))')})")
+    return logits.selectExpr(f"{total} - get(z, label) AS loss").agg(F.avg("loss").alias("cross_entropy_loss"))

@@ -11,22 +11,32 @@ def constraint_violations(log: DataFrame, key: str, ranges: dict[str, tuple[int,
 
     NULL passes a range, as it passes a CHECK.
     """
-    repeated = log.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select(
-        F.lit("duplicate").alias("reason"), F.col(key).alias("id"), F.lit(None).cast("double").alias("value"), "n")
-    checks = F.array(*[
+    seen = F.struct(F.lit("duplicate").alias("reason"), F.lit(None).cast("double").alias("value"), F.lit(False).alias("ok"))
+    checks = F.array(seen, *[
         F.struct(F.lit(c).alias("reason"), F.col(c).cast("double").alias("value"), F.col(c).between(low, high).alias("ok"))
         for c, (low, high) in ranges.items()])
-    outside = (
+    # each row marks its key and its values out of range: one scan and one grouped count for both
+    return (
         log.select(F.col(key).alias("id"), F.explode(F.filter(checks, lambda c: ~c["ok"])).alias("_c"))
         .groupBy(F.col("_c.reason").alias("reason"), "id", F.col("_c.value").alias("value"))
-        .agg(F.count(F.lit(1)).alias("n")))
-    return repeated.unionByName(outside)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("reason <> 'duplicate' OR n > 1"))
 
 
-def accuracy(log: DataFrame) -> DataFrame:
-    """Share of rows with label = prediction; a NULL prediction is wrong."""
+def width_violations(images: DataFrame, n_in: int) -> DataFrame:
+    """Rows (id, n_features) of images with more features than the network has inputs; scoring would fail on them."""
+    return images.where(F.size("x") > n_in).select("id", F.size("x").alias("n_features"))
+
+
+def preview(df: DataFrame, n: int) -> DataFrame:
+    """Any ``n`` rows; no order is promised."""
+    return df.limit(n)
+
+
+def accuracy(log: DataFrame, *by: str) -> DataFrame:
+    """Share of rows with label = prediction, per ``by``; a NULL prediction is wrong."""
     right = F.when(F.col("label") == F.col("prediction"), F.lit(1.0)).otherwise(F.lit(0.0))
-    return log.agg(F.avg(right).alias("pct_right"), F.count(F.lit(1)).alias("n_images"))
+    return log.groupBy(*by).agg(F.avg(right).alias("pct_right"), F.count(F.lit(1)).alias("n_images"))
 
 
 def histogram(values: DataFrame, column: str, bins: int) -> DataFrame:

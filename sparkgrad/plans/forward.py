@@ -3,19 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sparkgrad.functions import columns as C
 from sparkgrad.functions.blocks import activate, list_array, to_matrix
 from sparkgrad.operators.layers import dense_packed
-from sparkgrad.operators.reshape import array_to_rows, to_long
+from sparkgrad.operators.reshape import array_to_rows, feature_rows
 from sparkgrad.plans.network import Network, State, activations
 from sparkgrad.plans.unrolled import score_unrolled
 
 
+def logits(images: DataFrame, state: State, engine: str | None = None) -> DataFrame:
+    """(id, label, z): inputs of the softmax for every image."""
+    net = replace(state.net, output="linear")
+    return score(images, State(net, state.params), engine).withColumnRenamed("p", "z")
+
+
 def score(images: DataFrame, state: State, engine: str | None = None) -> DataFrame:
     """(id, label, p ARRAY<DOUBLE>) for every image, in the form that suits the shape."""
     engine = engine or state.net.engine
@@ -38,15 +46,16 @@ def score_long(images: DataFrame, state: State) -> DataFrame:
     """Pixels as rows; both layers are joins with grouped sums.
 
     The shuffle by image after the first layer's partial sums is the only one: the
-    second layer's rows are generated from, and summed in, the same partitions.
+    second layer's rows are generated from, and summed in, the same partitions. Rows are
+    told apart by a number of their own, so ids may repeat.
     """
-    net, keys = state.net, ["id", "label"]
-    x = to_long(images, *keys)
+    net, keys = state.net, ["_row", "id", "label"]
+    x = feature_rows(images.withColumn("_row", F.monotonically_increasing_id()), net.n_in, *keys)
     z1 = dense_packed(x, state.weights(1), state.biases(1), keys=keys, n_in=net.n_in, n_out=net.n_hidden)
     a = z1.selectExpr(*keys, f"{C.activation(net.hidden, 'z')} AS a")
     h = array_to_rows(a, keys, "a", "in", "v")
     z2 = dense_packed(h, state.weights(2), state.biases(2), keys=keys, n_in=net.n_hidden, n_out=net.n_out)
-    return z2.selectExpr(*keys, f"{C.activation(net.output, 'z')} AS p")
+    return z2.selectExpr("id", "label", f"{C.activation(net.output, 'z')} AS p")
 
 
 def score_blocks(images: DataFrame, state: State) -> DataFrame:

@@ -98,12 +98,15 @@ class State:
         if not self.fits_broadcast:
             raise ValueError("parameter set too large for the block form")
         if "arrays" not in self._cache:
-            self._cache["arrays"] = matrices(self.net, self.params.select("layer", "out", "in", "w").toPandas())
+            rows = self.params.select("layer", "out", "in", "w").limit(self.net.n_params + 1)  # one more shows a surplus
+            self._cache["arrays"] = matrices(self.net, rows.toPandas())
         return self._cache["arrays"]
 
 
 def matrices(net: Network, rows) -> dict[str, np.ndarray]:
-    """Parameter rows of one network (a pandas frame) as weight matrices and bias vectors."""
+    """Parameter rows of one network (a pandas frame) as weight matrices and bias vectors. Each key has to be there once."""
+    if len(rows) != net.n_params or rows.duplicated(["layer", "out", "in"]).any():
+        raise ValueError(f"{len(rows)} parameter rows, or repeated keys; the shape needs {net.n_params} different ones")
     filled = {}
     for layer in (1, 2):
         n_in, n_out = net.width(layer)
@@ -122,7 +125,9 @@ def pack_models(params: DataFrame, net: Network, *by: str) -> DataFrame:
         raise ValueError("parameter set too large to pack into one row; use the long form")
     # In key order the values form runs of (bias, weights), one run per output: -1 sorts first.
     ordered = "transform(array_sort(collect_list(struct(layer, out, `in`, w))), s -> s.w)"
-    whole = params.groupBy(*by).agg(F.expr(f"{ordered} AS ws"))
+    exact = f"count(1) = {net.n_params} AND count(DISTINCT layer, out, `in`) = {net.n_params}"
+    wrong = f"raise_error('a parameter set needs {net.n_params} rows with different keys')"
+    whole = params.groupBy(*by).agg(F.expr(f"CASE WHEN {exact} THEN {ordered} ELSE {wrong} END AS ws"))
 
     def part(layer: int, at: str) -> str:
         n_in, n_out = net.width(layer)
@@ -138,10 +143,10 @@ def pack_models(params: DataFrame, net: Network, *by: str) -> DataFrame:
         *by, f"named_struct('w1', w1, 'b1', b1, 'w2', w2, 'b2', b2, 'w2t', {transposed}) AS m")
 
 
-def image_outputs(net: Network, body: str) -> str:
-    """Expression over columns ``x`` and ``m``: binds xs, hs, ps and returns ``body``."""
-    hidden = C.activation(net.hidden, C.dense("m.w1", "m.b1", "xs"))
-    output = C.activation(net.output, C.dense("m.w2", "m.b2", "hs"))
+def image_outputs(net: Network, body: str, m: str = "m") -> str:
+    """Expression over column ``x`` and the model ``m``: binds xs, hs, ps and returns ``body``."""
+    hidden = C.activation(net.hidden, C.dense(f"{m}.w1", f"{m}.b1", "xs"))
+    output = C.activation(net.output, C.dense(f"{m}.w2", f"{m}.b2", "hs"))
     return C.let(C.fit_length("x", net.n_in), "xs", C.let(hidden, "hs", C.let(output, "ps", body)))
 
 

@@ -21,11 +21,14 @@ from sparkgrad.functions import columns as C
 from sparkgrad.functions.blocks import to_matrix
 from sparkgrad.operators.gradients import delta_body, gradient_sums, mean_gradients
 from sparkgrad.operators.update import sgd_update
-from sparkgrad.plans.forward import forward_block
+from sparkgrad.operators.layers import dense_rows, softmax_rows
+from sparkgrad.operators.reshape import feature_rows
+from sparkgrad.plans.forward import forward_block, unit_values
 from sparkgrad.plans.network import Network, State, image_outputs, matrices, pack_models
 from sparkgrad.plans.unrolled import MAX_UNROLLED_PARAMS, unrolled_sums
-from sparkgrad.session import MAX_BROADCAST_PARAMS, scratch_path
+from sparkgrad.session import MAX_BROADCAST_PARAMS, materialize, scratch_path
 from sparkgrad.sources.schemas import BIAS_KEY, INT, PARAMS
+from sparkgrad.sources.sinks import append_log, read_log
 
 
 @dataclass(frozen=True)
@@ -47,6 +50,32 @@ class Options:
     mask_hidden_bias: bool = True
 
 
+class TrainLog:
+    """Predictions of a training run, ``<path>/iter=k`` for the images of the step that starts from version k.
+
+    Rows (iter, insert_time, id, label, prediction, a, p). ``iter`` orders the log: all rows of a step share
+    the time of its insert. A step that runs again replaces its own rows.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | None = None):
+        self.spark, self.path = spark, path or scratch_path(spark, "train-log")
+
+    def write(self, images: DataFrame, state: State, engine: str | None = None) -> None:
+        if not state.fits_broadcast:
+            engine = "long"
+        units = unit_values(images, state, engine)
+        append_log(units.selectExpr("current_timestamp() AS insert_time", "id", "label", f"{C.argmax('p')} AS prediction", "a", "p"),
+                   self.path, state.iteration)
+
+    def read(self) -> DataFrame:
+        return read_log(self.spark, self.path)
+
+    def means(self, units: str) -> DataFrame:
+        """(iter, unit, value): mean of an array column (a or p) per step and unit, from one scan of the log."""
+        rows = self.read().selectExpr("iter", f"posexplode({units}) AS (unit, value)")
+        return rows.groupBy("iter", "unit").agg(F.avg("value").alias("value"))
+
+
 class ParamStore:
     """Parameter versions ``<path>/iter=k``; writing a version again replaces it."""
 
@@ -57,6 +86,19 @@ class ParamStore:
         params.select("layer", "out", "in", "w").write.mode("overwrite").parquet(f"{self.path}/iter={iteration}")
         return self.load(net, iteration)
 
+    def _at(self, iteration: int):
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/iter={iteration}/_SUCCESS")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def has(self, iteration: int) -> bool:
+        """A complete version is there."""
+        files, path = self._at(iteration)
+        return files.exists(path)
+
+    def newest(self, net: Network) -> State:
+        return self.load(net, self.history().agg(F.max("iter")).first()[0])
+
     def load(self, net: Network, iteration: int) -> State:
         return State(net, self.spark.read.schema(PARAMS).parquet(f"{self.path}/iter={iteration}"), iteration,
                      stored=True)
@@ -83,26 +125,85 @@ def deltas(images: DataFrame, state: State, opts: Options, back: State | None =
     return known.selectExpr(*keys, f"{image_outputs(state.net, body)} AS s").select(*keys, "s.*")
 
 
-def gradients(images: DataFrame, state: State, opts: Options, engine: str | None = None) -> DataFrame:
-    """Mean gradient of every parameter: rows (layer, out, in, g)."""
+def gradients(images: DataFrame, state: State, opts: Options, engine: str | None = None, back: State | None = None,
+              shipped: list | None = None) -> DataFrame:
+    """Mean gradient of every parameter: rows (layer, out, in, g).
+
+    ``back``: the state whose output weights carry the error to the hidden layer, if not ``state``. Broadcasts
+    that the result needs are added to ``shipped``, to be destroyed after use.
+    """
     engine = engine or state.net.engine
+    if engine == "columns" and back is not None:
+        engine = "block"
     if engine == "block":
-        return mean_gradients(block_sums(images, state, opts))
+        return mean_gradients(block_sums(images, state, opts, back, shipped))
+    if engine == "long":
+        return long_gradients(images, state, opts, back)
     if engine == "columns":
         targets = {"m": opts.target} if opts.target else None
         return mean_gradients(unrolled_sums(images, state.net, {"m": state.arrays()}, targets, opts.delta,
                                             opts.mask_hidden_bias))
-    return mean_gradients(gradient_sums(deltas(images, state, opts), state.net, None, opts.mask_hidden_bias))
+    return mean_gradients(gradient_sums(deltas(images, state, opts, back), state.net, None, opts.mask_hidden_bias))
+
 
+def long_gradients(images: DataFrame, state: State, opts: Options, back: State | None = None,
+                   broadcast_limit: int = MAX_BROADCAST_PARAMS) -> DataFrame:
+    """The same with rows and joins only: for parameter sets beyond a broadcast.
 
-def block_sums(images: DataFrame, state: State, opts: Options) -> DataFrame:
+    Activations, deltas and errors are rows (_row, unit, value); each layer is ``dense_rows``, backwards with the
+    transposed weights. Features are written once, so that row numbers are the same in every join.
+    """
+    net = state.net
+    sizes = {k: {"n_weights": net.width(k)[0] * net.width(k)[1], "broadcast_limit": broadcast_limit} for k in (1, 2)}
+    known = images.where(C.has_value("x")).withColumn("_row", F.monotonically_increasing_id())
+    x = materialize(feature_rows(known, net.n_in, "_row", "label").where("v IS NOT NULL"), "features")
+    keys = ["_row", "label"]
+
+    def layer(k: int, rows: DataFrame) -> DataFrame:
+        return dense_rows(rows, state.weights(k), state.biases(k), keys=keys, n_out=net.width(k)[1], **sizes[k]).where("out IS NOT NULL")
+
+    a = materialize(layer(1, x).selectExpr(*keys, "out AS `in`", f"{C.relu('z') if net.hidden == 'relu' else C.sigmoid('z')} AS v"), "hidden")
+    z = layer(2, a)
+    if net.output == "softmax":
+        error = "p - CASE WHEN out = label THEN 1D ELSE 0D END"
+        d2 = softmax_rows(z, keys, net.n_out).selectExpr(*keys, "out", f"{'2D * ' if opts.delta == 'sq2' else ''}({error}) AS d")
+    else:
+        target = f"element_at(array({', '.join(f'{float(t)!r}D' for t in opts.target)}), out + 1)"
+        p = z.selectExpr(*keys, "out", f"{C.sigmoid('z')} AS p")
+        d2 = p.selectExpr(*keys, "out", f"(p - {target}) * p * (1D - p) AS d")
+    d2 = materialize(d2, "deltas")
+    turned = (back or state).weights(2).selectExpr("`in` AS out", "out AS `in`", "w")
+    none = state.biases(1).selectExpr("out", "0D AS b")
+    e = dense_rows(d2.selectExpr(*keys, "out AS `in`", "d AS v"), turned, none, keys=keys, n_out=net.n_hidden, **sizes[2])
+    slope = "CASE WHEN v > 0D THEN e ELSE 0D END" if net.hidden == "relu" else "v * (1D - v) * e"
+    d1 = materialize(e.selectExpr("_row", "out AS `in`", "z AS e").join(a.drop("label"), ["_row", "in"]).selectExpr(
+        "_row", "`in` AS out", "e", f"{slope} AS d"), "hidden-deltas")
+    n = x.select(F.countDistinct("_row").alias("n"))
+
+    def products(k: int, d: DataFrame, inputs: DataFrame) -> DataFrame:
+        # a row that a feature is missing from adds nothing to its sum
+        return d.select("_row", "out", "d").join(inputs.select("_row", "in", "v"), "_row").groupBy("out", "in").agg(
+            F.sum(F.col("d") * F.col("v")).alias("g")).selectExpr(f"{k} AS layer", "out", "`in`", "g")
+
+    def bias(k: int, d: DataFrame, column: str) -> DataFrame:
+        return d.groupBy("out").agg(F.sum(column).alias("g")).selectExpr(f"{k} AS layer", "out", f"{BIAS_KEY} AS `in`", "g")
+
+    sums = products(1, d1, x).unionByName(bias(1, d1, "d" if opts.mask_hidden_bias else "e")).unionByName(
+        products(2, d2, a)).unionByName(bias(2, d2, "d"))
+    return sums.withColumn("n", n.scalar()).selectExpr("layer", "out", "`in`", "g / n AS g")
+
+
+def block_sums(images: DataFrame, state: State, opts: Options, back: State | None = None, held: list | None = None) -> DataFrame:
     """Gradient sums from matrix products per Arrow batch.
 
     A task keeps one set of running sums, whatever the number of its images, and emits
     it once; the sets of all tasks are added by a grouped sum over the parameter keys.
     """
     net = state.net
-    shipped = images.sparkSession.sparkContext.broadcast(state.arrays())  # size checked by arrays()
+    arrays = state.arrays() | {"back": (back or state).arrays()["w2"]}
+    shipped = images.sparkSession.sparkContext.broadcast(arrays)  # size checked by arrays()
+    if held is not None:
+        held.append(shipped)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, n = shipped.value, 0
@@ -113,7 +214,7 @@ def block_sums(images: DataFrame, state: State, opts: Options) -> DataFrame:
             label = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False)[known]
             a, p = forward_block(net, m, x)
             d2 = output_deltas(net, opts, p, label)
-            e = d2 @ m["w2"]
+            e = d2 @ m["back"]
             d1 = e * (a > 0) if net.hidden == "relu" else e * a * (1.0 - a)
             total[1] += np.hstack([(d1 if opts.mask_hidden_bias else e).sum(axis=0)[:, None], d1.T @ x])
             total[2] += np.hstack([d2.sum(axis=0)[:, None], d2.T @ a])
@@ -138,28 +239,39 @@ def output_deltas(net: Network, opts: Options, p: np.ndarray, label: np.ndarray)
     return 2.0 * error if opts.delta == "sq2" else error
 
 
-def step(images: DataFrame, state: State, store: ParamStore, opts: Options, engine: str | None = None) -> State:
-    """One gradient step on a batch: one job that writes the next version."""
+def step(images: DataFrame, state: State, store: ParamStore, opts: Options, engine: str | None = None,
+         log: TrainLog | None = None) -> State:
+    """One gradient step on a batch: one job that writes the next version, and one before it for the log, if any."""
+    if log is not None:
+        log.write(images, state, engine)
+    held: list = []
+    try:
+        return _step(images, state, store, opts, engine, held)
+    finally:
+        for shipped in held:  # each leaves a file on the driver
+            shipped.destroy()
+
+
+def _step(images: DataFrame, state: State, store: ParamStore, opts: Options, engine: str | None, held: list) -> State:
     bound = {"clip": opts.clip, "clip_layers": opts.clip_layers, "update_bias": opts.update_bias,
              "small": state.fits_broadcast}
     if opts.hidden_error_weights == "old":
-        g = gradients(images, state, opts, engine)
+        g = gradients(images, state, opts, engine, shipped=held)
         return store.save(state.net, sgd_update(state.params, g, opts.lr, **bound), state.iteration + 1)
     # Output layer first; the hidden error then reads its updated weights.
-    g2 = gradients(images, state, opts, "array").where(F.col("layer") == 2)
+    g2 = gradients(images, state, opts, engine, shipped=held).where(F.col("layer") == 2)
     moved = ParamStore(store.spark).save(state.net, sgd_update(state.params, g2, opts.lr, **bound), state.iteration + 1)
-    late = deltas(images, state, opts, back=moved)
-    g1 = mean_gradients(gradient_sums(late, state.net, None, opts.mask_hidden_bias)).where(F.col("layer") == 1)
+    g1 = gradients(images, state, opts, engine, back=moved, shipped=held).where(F.col("layer") == 1)
     return store.save(state.net, sgd_update(moved.params, g1, opts.lr, **bound), state.iteration + 1)
 
 
 def train(batches: Iterable[DataFrame], state: State, store: ParamStore, opts: Options,
-          engine: str | None = None) -> State:
+          engine: str | None = None, log: TrainLog | None = None) -> State:
     """One step per batch, in order. The loop only submits jobs."""
     if not state.stored:
         state = store.save(state.net, state.params, state.iteration)
     for batch in batches:
-        state = step(batch, state, store, opts, engine)
+        state = step(batch, state, store, opts, engine, log)
     return state
 
 
@@ -168,12 +280,13 @@ def split_batches(images: DataFrame, n_batches: int, path: str | None = None, fi
 
     Rows of a scan are dealt by row number to ``files`` writers per batch (by default
     the session's shuffle partitions shared out), so a batch or an id that holds a
-    third of all rows is still written by many tasks.
+    third of all rows is still written by many tasks. Rows without an id are dealt over all batches.
     """
     spark = images.sparkSession
     path = path or scratch_path(spark, "batches")
     files = files or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // n_batches)
-    dealt = images.withColumn("batch", F.pmod(F.col("id"), F.lit(n_batches)).cast("int")).withColumn(
+    number = F.coalesce(F.col("id"), F.monotonically_increasing_id())
+    dealt = images.withColumn("batch", F.pmod(number, F.lit(n_batches)).cast("int")).withColumn(
         "_file", F.pmod(F.monotonically_increasing_id(), F.lit(files)))
     dealt.repartition("batch", "_file").drop("_file").write.partitionBy("batch").parquet(path)
     whole = spark.read.schema(StructType([*images.schema.fields, StructField("batch", INT)])).parquet(path)
@@ -191,7 +304,7 @@ def sweep_step(images: DataFrame, params: DataFrame, variants: DataFrame, net: N
 
     ``params`` is keyed by variant, ``variants`` has (variant, lr, clip, target). Few
     small models run as columns side by side. Otherwise all models form one row of
-    bounded size, a generator pairs each image with them, and the gradient sums carry
+    bounded size, each image is scored by all of them in place, and the gradient sums carry
     the variant key.
     """
     if models * net.n_params <= MAX_UNROLLED_PARAMS:
@@ -211,18 +324,18 @@ def _unrolled_sweep(images: DataFrame, params: DataFrame, variants: DataFrame, n
     names = {r["variant"]: (f"v{i}", r["target"]) for i, r in enumerate(variants.orderBy("variant").collect())}
     rows = params.toPandas()  # at most MAX_UNROLLED_PARAMS rows
     models = {m: matrices(net, rows[rows["variant"] == name]) for name, (m, _) in names.items()}
-    sums = unrolled_sums(images, net, models, {m: tuple(t) for m, t in names.values()})
-    named = " ".join(f"WHEN '{m}' THEN '{name}'" for name, (m, _) in names.items())
-    return sums.withColumn("variant", F.expr(f"CASE model {named} END")).drop("model")
+    sums = unrolled_sums(images, net, models, {m: tuple(t) for m, t in names.values() if t is not None})
+    named = F.create_map(*[F.lit(v) for name, (m, _) in names.items() for v in (m, name)])
+    return sums.withColumn("variant", named[F.col("model")]).drop("model")
 
 
 def _generated_sweep(images: DataFrame, params: DataFrame, variants: DataFrame, net: Network) -> DataFrame:
     models = pack_models(params, net, "variant").join(variants.select("variant", "target"), "variant")
     packed = models.agg(F.array_sort(F.collect_list(F.struct("variant", "m", "target"))).alias("models"))
-    each = images.where(C.has_value("x")).select("x").withColumn("models", packed.scalar()).selectExpr(
-        "x", "explode(models) AS one").selectExpr("x", "one.variant", "one.m", "one.target")
-    d = each.selectExpr("variant", f"{image_outputs(net, delta_body(net))} AS s").select("variant", "s.*")
-    return gradient_sums(d, net, ["variant"])
+    body = image_outputs(net, delta_body(net, target="one.target", back="one.m.w2t"), "one.m")
+    each = images.where(C.has_value("x")).select("label", "x").withColumn("models", packed.scalar()).selectExpr(
+        f"explode(transform(models, one -> named_struct('variant', one.variant, 's', {body}))) AS one")
+    return gradient_sums(each.select("one.variant", "one.s.*"), net, ["variant"])
 
 
 def sweep(images: DataFrame, state: State, variants: DataFrame, steps: int, path: str | None = None) -> DataFrame:

@@ -30,14 +30,14 @@ def literal(value: float) -> str:
 
 
 def unit_columns(images: DataFrame, net, models: dict[str, dict[str, np.ndarray]]) -> DataFrame:
-    """Columns x0.., and per model prefix m: {m}a0.. and {m}p0... Missing features count as 0."""
+    """Columns x0.., and per model prefix m: {m}a0.. and {m}p0... Missing features count as 0, surplus ones are an error."""
     keys = [c for c in images.columns if c != "x"]
-    df = images.selectExpr(*keys, f"{C.has_value('x')} AS known",
+    known = f"CASE WHEN size(x) > {net.n_in} THEN {C.too_wide(net.n_in)} ELSE {C.has_value('x')} END"
+    df = images.selectExpr(*keys, f"coalesce({known}, false) AS known",
                            *[f"coalesce(get(x, {i}), 0D) AS x{i}" for i in range(net.n_in)])
     df = _add(df, [_unit(net.hidden, w["w1"][j], w["b1"][j], "x", f"{m}a{j}")
                    for m, w in models.items() for j in range(net.n_hidden)])
-    kind = "linear" if net.output == "softmax" else net.output
-    out = "z" if net.output == "softmax" else "p"
+    kind, out = ("linear", "z") if net.output == "softmax" else (net.output, "p")
     df = _add(df, [_unit(kind, w["w2"][k], w["b2"][k], f"{m}a", f"{m}{out}{k}")
                    for m, w in models.items() for k in range(net.n_out)])
     if net.output == "softmax":

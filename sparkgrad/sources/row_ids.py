@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkgrad.session import MAX_BROADCAST_PARAMS
+from sparkgrad.session import MAX_BROADCAST_PARAMS, materialize
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition number above, row below
 
@@ -16,8 +16,10 @@ def assign_row_ids(df: DataFrame, name: str = "id") -> DataFrame:
     One pass counts rows per input split (the scan reads no columns), the split
     offsets are a running sum over as many rows as there are splits, and the rows
     pick up their offset by a join on the split number. No data row is shuffled.
-    ``df`` must be a plain scan, so that both passes see the same splits.
+    ``df`` must be a plain scan, so that both passes see the same splits; a plan with a shuffle is refused.
     """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        raise ValueError("row ids in scan order need a plain scan; write the frame first, or use assign_row_ids_by")
     mid = F.monotonically_increasing_id()
     split = F.shiftright(F.col("_mid"), _LOCAL_BITS)
     counts = (
@@ -36,52 +38,26 @@ def assign_row_ids(df: DataFrame, name: str = "id") -> DataFrame:
     )
 
 
-def assign_row_ids_by(df: DataFrame, key: str, name: str = "id", buckets: int | None = None) -> DataFrame:
-    """Number the rows 1..n in the order of a numeric ``key``.
+def assign_row_ids_by(df: DataFrame, key: str, name: str = "id") -> DataFrame:
+    """Number the rows 1..n in the order of ``key``, NULL first.
 
-    Approximate quantiles only place the bucket borders; ranks are exact: a running
-    sum over bucket sizes plus the row number inside the bucket. A key value that
-    fills several quantiles is a hot key: it spans several borders, and its rows are
-    dealt over all buckets between them, so no bucket holds one hot group.
+    Rows are range-partitioned and sorted by (key, row number of the input), so a hot key spans several
+    partitions. Each row is written with its partition and its place there; one count per partition
+    gives the offsets, and the ids need no further shuffle. Ranks are exact whatever borders Spark samples.
     """
-    spark = df.sparkSession
-    buckets = buckets or min(4096, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    fractions = [i / buckets for i in range(1, buckets)]
-    borders = sorted(df.approxQuantile(key, fractions, 0.25 / buckets)) if fractions else []
-    dealt = df.withColumn("_lo", F.expr(_borders_below(borders, key, "<"))).withColumn("_mid", F.monotonically_increasing_id())
-    if len(set(borders)) < len(borders):  # some value fills several quantiles
-        upto = _borders_below(borders, key, "<=")
-        dealt = dealt.withColumn("_hi", F.expr(f"CASE WHEN get({_array(borders)}, _lo) = `{key}` THEN {upto} ELSE _lo END"))
-    else:
-        dealt = dealt.withColumn("_hi", F.col("_lo"))
-    span = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1))
-    bucket = F.col("_lo") + F.pmod(F.col("_mid"), span).cast("int")
-    before_all = -F.lit(1) - F.pmod(F.col("_mid"), F.lit(buckets)).cast("int")  # NULL keys come first, dealt as well
-    bucketed = dealt.withColumn("_bucket", F.when(F.col(key).isNull(), before_all).otherwise(bucket))
-    counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    inside = Window.partitionBy("_bucket").orderBy(key, "_mid")
+    mid, place = F.monotonically_increasing_id(), F.monotonically_increasing_id()
+    dealt = df.withColumn("_tie", mid).repartitionByRange(F.col(key).asc_nulls_first(), F.col("_tie")).sortWithinPartitions(
+        F.col(key).asc_nulls_first(), "_tie")
+    placed = materialize(dealt.withColumn("_split", F.spark_partition_id()).withColumn(
+        "_at", place.bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))), "row-ids")
+    counts = placed.groupBy("_split").agg(F.count(F.lit(1)).alias("_n"))
     return (
-        bucketed.withColumn("_rn", F.row_number().over(inside))
-        .join(F.broadcast(_offsets(counts, "_bucket")), "_bucket")  # at most 2 * `buckets` rows
-        .withColumn(name, F.col("_before") + F.col("_rn"))
-        .drop("_lo", "_hi", "_mid", "_bucket", "_rn", "_before")
+        placed.join(F.broadcast(_offsets(counts, "_split")), "_split")  # one row per shuffle partition
+        .withColumn(name, F.col("_before") + F.col("_at") + F.lit(1))
+        .drop("_tie", "_split", "_at", "_before")
     )
 
 
-def _array(borders: list[float]) -> str:
-    return f"array({', '.join(f'{float(b)!r}D' for b in borders)})" if borders else "CAST(array() AS ARRAY<DOUBLE>)"
-
-
-def _borders_below(borders: list[float], key: str, less: str) -> str:
-    """How many sorted borders lie below the key: a search by halves, as an expression."""
-    n = len(borders)
-    steps = [1 << i for i in reversed(range(n.bit_length()))]
-    if not steps:
-        return "0"
-    probe = f"at + step <= {n} AND element_at({_array(borders)}, at + step) {less} `{key}`"
-    return f"aggregate(array({', '.join(map(str, steps))}), 0, (at, step) -> CASE WHEN {probe} THEN at + step ELSE at END)"
-
-
 def _offsets(counts: DataFrame, key: str) -> DataFrame:
     # One row per split or bucket, so the running sum is over a short list.
     running = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)

@@ -39,16 +39,29 @@ def score_stream(images: DataFrame, state: State, log_path: str, checkpoint: str
 
 
 def train_stream(images: DataFrame, state: State, store: ParamStore, opts: Options, checkpoint: str) -> StreamingQuery:
-    """One gradient step per micro-batch: version k + 1 comes from version k and batch k."""
-    net = state.net
-    store.save(net, state.params, 0)
+    """One gradient step per micro-batch: version k + 1 comes from version k and batch k, counted from the start state.
+
+    A restarted stream finds its start version in the store and goes on from there; another one under the same
+    number is an error.
+    """
+    net, first = state.net, state.iteration
+    if not store.has(first):
+        store.save(net, state.params, first)
+    elif not _same(store.load(net, first).params, state.params):
+        raise ValueError(f"version {first} in {store.path} is not the given start state")
 
     def learn(batch: DataFrame, batch_id: int) -> None:
-        step(batch, store.load(net, batch_id), store, opts)
+        step(batch, store.load(net, first + batch_id), store, opts)
 
     return _start(images, learn, checkpoint)
 
 
+def _same(left: DataFrame, right: DataFrame) -> bool:
+    keys = ["layer", "out", "in"]
+    both = left.select(*keys, "w").join(right.select(*keys, F.col("w").alias("v")), keys, "full")
+    return both.where("NOT (w <=> v)").isEmpty()
+
+
 def _start(images: DataFrame, each, checkpoint: str) -> StreamingQuery:
     return (
         images.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)

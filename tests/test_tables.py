@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from sparkgrad import catalog
 from sparkgrad.catalog.forward import DIGITS
 from sparkgrad.functions import columns as C
 from sparkgrad.functions.keyed_random import keyed_uniform
@@ -43,12 +44,25 @@ def test_scan_ids_are_dense_over_many_files(spark):
     assert sorted(r["n"] for r in rows.collect()) == list(range(1, 5001))
 
 
-@pytest.mark.parametrize("buckets", [1, 2, 7, 40])
-def test_ordered_ids_with_a_hot_key(spark, buckets):
+@pytest.fixture
+def partitions(spark, request):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_scan_ids_refuse_a_shuffled_frame(spark):
+    with pytest.raises(ValueError):
+        row_ids.assign_row_ids(spark.range(10).repartition(3))
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 7, 40], indirect=True)
+def test_ordered_ids_with_a_hot_key(spark, partitions):
     path = scratch_path(spark, "hot")
     spark.range(6000).selectExpr("CASE WHEN id % 3 = 0 THEN 50 ELSE id % 101 END AS k", "id AS v").repartition(9).write.parquet(path)
     df = spark.read.parquet(path)
-    rows = row_ids.assign_row_ids_by(df, "k", "n", buckets).collect()
+    rows = row_ids.assign_row_ids_by(df, "k", "n").collect()
     assert sorted(r["n"] for r in rows) == list(range(1, 6001))
     keys = [r["k"] for r in sorted(rows, key=lambda r: r["n"])]
     assert keys == sorted(keys)
@@ -58,13 +72,50 @@ def test_ordered_ids_with_a_hot_key(spark, buckets):
 def test_ordered_ids_with_many_null_keys(spark):
     path = scratch_path(spark, "nulls")
     spark.range(900).selectExpr("CASE WHEN id % 3 > 0 THEN id % 7 END AS k").repartition(4).write.parquet(path)
-    rows = row_ids.assign_row_ids_by(spark.read.parquet(path), "k", "n", 8).collect()
+    rows = row_ids.assign_row_ids_by(spark.read.parquet(path), "k", "n").collect()
     assert sorted(r["n"] for r in rows) == list(range(1, 901))
     assert {r["n"] for r in rows if r["k"] is None} == set(range(1, 301))
     keys = [r["k"] for r in sorted(rows, key=lambda r: r["n"])][300:]
     assert keys == sorted(keys)
 
 
+@pytest.mark.parametrize("name", ["latest_weights", "update_from", "update_two_keys"])
+def test_latest_rows_are_hash_aggregates(spark, sf_dir, name):
+    text = plan(catalog.QUERIES[name](spark, sf_dir))
+    assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+def test_latest_row_by_two_columns_with_nulls(spark):
+    log = spark.createDataFrame([("a", 5, None, 1.0), ("a", 5, -3, 2.0), ("a", None, 9, 3.0), ("b", None, None, 4.0), ("c", -7, 1, 5.0), ("c", -8, 9, 6.0)],
+                                "k string, t long, i int, v double")
+    assert {tuple(r) for r in update.latest_per_key(log, ["k"], ["t", "i"], ["v"]).collect()} == {("a", 2.0), ("b", 4.0), ("c", 5.0)}
+    with pytest.raises(ValueError):
+        update.order_key(log, ["v"])
+
+
+def test_wall_times_order_to_the_microsecond(spark):
+    log = spark.sql("SELECT * FROM VALUES (1, TIMESTAMP_NTZ'2024-03-31 02:30:00.000001', 1D), (1, TIMESTAMP_NTZ'2024-03-31 02:30:00', 2D), "
+                    "(2, TIMESTAMP_NTZ'1960-01-01 00:00:00', 3D), (2, TIMESTAMP_NTZ'1959-12-31 23:59:59.5', 4D) AS t(k, ts, v)")
+    assert {tuple(r) for r in update.latest_per_key(log, ["k"], ["ts"], ["v"]).collect()} == {(1, 1.0), (2, 3.0)}
+
+
+def test_argmax_of_rows(spark):
+    rows = [(1, 0, 0.2), (1, 1, 0.5), (1, 2, 0.5), (2, 0, None), (2, 1, None), (3, 70, 0.1)]
+    for width in (71, 200):
+        got = layers.argmax_rows(spark.createDataFrame(rows, "id int, out int, p double"), ["id"], width).collect()
+        assert {(r["id"], r["prediction"]) for r in got} == {(1, 1), (2, None), (3, 70)}
+
+
+def test_violations_need_one_shuffle(spark, sf_dir):
+    text = plan(catalog.QUERIES["constraint_violations"](spark, sf_dir))
+    assert text.count("Exchange") == 1 and text.count("FileScan") == 1
+
+
+def test_unpivot_leaves_other_columns_out(spark):
+    rows = reshape.unpivot_pixels(spark.sql("SELECT 1 AS id, 2D AS pixel0, 3D AS pixel11, 'x' AS note, 4D AS pixels"), ["id"])
+    assert {tuple(r) for r in rows.collect()} == {(1, "pixel0", 2.0, 0), (1, "pixel11", 3.0, 11)}
+
+
 def test_shares_keep_null_groups(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0), (None, 15.0)], "g string, v double")
     rows = layers.ratio_to_report(df, "v", ["g"])
@@ -154,7 +205,7 @@ def test_scoring_plans(spark, sf_dir):
     images, state = readers.embedding_images(spark, sf_dir), State.pattern(spark, DIGITS)
     long = plan(score(images, state, "long"))
     assert "BroadcastHashJoin" in long and "CartesianProduct" not in long and "NestedLoop" not in long
-    assert long.count("Exchange hashpartitioning(id#") == 1  # one shuffle of image rows for both layers
+    assert long.count("Exchange hashpartitioning(_row#") == 1  # one shuffle of image rows for both layers
     for engine in ("array", "block"):
         text = plan(score(images, state, engine)).split("Subquery")[0]
         assert "Exchange" not in text and "Join" not in text

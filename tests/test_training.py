@@ -83,14 +83,82 @@ def test_versions_are_kept_and_replaced(spark, images):
 
 def test_training_lowers_the_loss(spark, images):
     from sparkgrad.operators.losses import cross_entropy
-    from sparkgrad.plans.forward import score
+    from sparkgrad.plans.forward import logits
 
     start = State.pattern(spark, NET)
     end = train([images] * 5, start, ParamStore(spark), Options(lr=0.2))
-    before, after = (cross_entropy(score(images, s)).first()[0] for s in (start, end))
+    before, after = (cross_entropy(logits(images, s)).first()[0] for s in (start, end))
     assert after < before
 
 
+def test_loss_counts_shares_that_underflow(spark):
+    from sparkgrad.operators.losses import cross_entropy
+
+    rows = spark.createDataFrame([(0, [0.0, 1000.0]), (1, [0.0, 0.0]), (None, [1.0, 2.0]), (1, [None, None])], "label int, z array<double>")
+    assert cross_entropy(rows).first()[0] == pytest.approx((1000 + np.log(2)) / 2)
+
+
+@pytest.mark.parametrize("engine", ["array", "block", "columns", "long"])
+def test_log_of_a_run(spark, images, engine):
+    log, start = training.TrainLog(spark), State.pattern(spark, NET)
+    train([images, images.where("id < 7")], start, ParamStore(spark), Options(lr=0.1), engine if engine != "long" else "array", log)
+    rows = log.read().collect()
+    assert sorted((r["iter"], r["id"]) for r in rows) == [(0, i) for i in range(30)] + [(1, i) for i in range(7)]
+    assert all(r["insert_time"] is not None and r["prediction"] == int(np.argmax(r["p"])) for r in rows)
+    means = {(r["iter"], r["unit"]): r["value"] for r in log.means("a").collect()}
+    assert means[0, 1] == pytest.approx(np.mean([r["a"][1] for r in rows if r["iter"] == 0]))
+
+
+@pytest.mark.parametrize("engine", ["array", "block", "long"])
+@pytest.mark.parametrize("mask", [True, False])
+def test_updated_weights_in_every_form(spark, images, engine, mask):
+    opts = Options(lr=0.3, hidden_error_weights="updated", mask_hidden_bias=mask)
+    start = State.pattern(spark, NET)
+    m = start.arrays()
+    xs, y = np.array([r["x"] for r in images.orderBy("id").collect()]), np.arange(30) % 3
+    h = np.maximum(xs @ m["w1"].T + m["b1"], 0)
+    z = h @ m["w2"].T + m["b2"]
+    p = np.exp(z - z.max(1, keepdims=True))
+    d2 = 2 * (p / p.sum(1, keepdims=True) - np.eye(3)[y])
+    w2 = m["w2"] - 0.3 * d2.T @ h / 30
+    e = d2 @ w2
+    d1 = e * (h > 0)
+    want = {"w1": m["w1"] - 0.3 * d1.T @ xs / 30, "b1": m["b1"] - 0.3 * (d1 if mask else e).mean(0), "w2": w2, "b2": m["b2"] - 0.3 * d2.mean(0)}
+    assert params(training.step(images, start, ParamStore(spark), opts, engine)) == pytest.approx(flat(want), abs=1e-12)
+
+
+def test_long_gradients_beyond_a_broadcast(spark, images):
+    start = State.pattern(spark, NET)
+    want = training.gradients(images, start, Options(), "array").orderBy("layer", "out", "in").toPandas()["g"]
+    got = training.long_gradients(images, start, Options(), broadcast_limit=0).orderBy("layer", "out", "in").toPandas()["g"]
+    assert np.abs(want - got).max() < 1e-9
+
+
+def test_rows_without_an_id_are_in_one_batch(spark):
+    rows = spark.createDataFrame([(None, 1, [1.0]), (None, 1, [2.0]), (3, 1, [3.0])], "id long, label int, x array<double>")
+    found = [r["x"][0] for b in training.split_batches(rows, 2) for r in b.collect()]
+    assert sorted(found) == [1.0, 2.0, 3.0]
+
+
+def test_step_leaves_no_broadcast(spark, images, monkeypatch):
+    gone = []
+    kind = type(spark.sparkContext.broadcast(0))
+    monkeypatch.setattr(kind, "destroy", lambda self, blocking=False: gone.append(self))
+    train([images] * 3, State.pattern(spark, NET), ParamStore(spark), Options(lr=0.1), "block")
+    assert len(gone) == 3
+
+
+def test_sweep_of_softmax_and_odd_names(spark, images):
+    variants = spark.createDataFrame([("a'b", 0.1, None, None), ("c", 0.01, None, None)], "variant string, lr double, clip double, target array<double>")
+    small, wide = State.pattern(spark, NET), State.pattern(spark, Network(4, 9, 3))
+    for start in (small, wide):
+        got = training.sweep(images, start, variants, 2)
+        for name, lr in (("a'b", 0.1), ("c", 0.01)):
+            want = train([images] * 2, start, ParamStore(spark), Options(lr=lr, update_bias=False))
+            mine = got.where(got["variant"] == name).orderBy("layer", "out", "in").toPandas()["w"].to_numpy()
+            assert mine == pytest.approx(params(want), abs=1e-9)
+
+
 @pytest.fixture(scope="module")
 def stream_files(spark, images):
     path = scratch_path(spark, "stream-in")
@@ -127,3 +195,18 @@ def test_stream_trains_one_step_per_batch(spark, images, stream_files):
         if np.allclose(params(state), before, atol=1e-12):
             last_ids = part
     assert last_ids is not None
+
+
+def test_stream_stopped_and_resumed_goes_on(spark, images):
+    path, checkpoint, store = scratch_path(spark, "stream-in"), scratch_path(spark, "cp"), ParamStore(spark)
+    first = train([images], State.pattern(spark, NET), store, Options(lr=0.1))  # version 1 is the start
+    for part in range(3):  # each start finds one more file
+        images.where(f"id % 3 = {part}").coalesce(1).write.mode("append").parquet(path)
+        online.train_stream(stream(spark, path), first, store, Options(lr=0.1), checkpoint).awaitTermination()
+    online.train_stream(stream(spark, path), first, store, Options(lr=0.1), checkpoint).awaitTermination()  # nothing new
+    want = train([images.where(f"id % 3 = {part}") for part in range(3)], first, ParamStore(spark), Options(lr=0.1))
+    assert store.newest(NET).iteration == 4
+    assert params(store.newest(NET)) == pytest.approx(params(want), abs=1e-12)
+    assert params(store.load(NET, 1)) == pytest.approx(params(first))
+    with pytest.raises(ValueError):
+        online.train_stream(stream(spark, path), State(NET, want.params, 1), store, Options(lr=0.1), checkpoint)
