@@ -8,12 +8,13 @@ A document of a source with target / size = 1.3 is wanted 1.3 times: once for ce
 more with probability 0.3. The fractions are rounded together, not one by one: two documents
 meet, words move from one to the other until one of the two fractions is 0 or 1, and the other
 goes on to the next meeting. The direction is random and leaves each expectation as it is; the
-sum of expected words is kept exactly. The last fraction of a source goes to the nearer side,
-so a source misses its target by at most half of one document.
+sum of expected words is kept exactly. The last fraction of a source goes to the nearer side, and documents of the last meeting that are small enough
+change sides to close what is missing; so a source misses its target by at most half of one document, and
+mostly by a few words.
 
 Meetings are dealt over a reduction tree: hashed blocks of about ``BLOCK`` units are folded in
-parallel, one unit at most is left of each, and ``BLOCK`` left-overs form a block of the next
-level. A source with a third of all rows is thereby as parallel as any other. Built-in
+parallel; one unit at most is left of each, with one in ``STRIDE`` that wait for the end, and what is left of ``STRIDE``
+blocks forms one of the next level. A source with a third of all rows is thereby as parallel as any other. Built-in
 expressions only; all randomness is a hash of ``seed`` and the keys, so reruns agree.
 
 Defined results: NULL is a source of its own, last in the order; NULL, empty and blank texts
@@ -33,6 +34,7 @@ from sparkgrad.session import materialize
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 BLOCK = 64
+STRIDE = 8
 SEED = 8
 
 
@@ -79,7 +81,7 @@ def meet(r: Column, x: Column, seed: int) -> Column:
 
 
 def fold(units: DataFrame, last: bool, seed: int) -> DataFrame:
-    """Per (source, block): the decided units as an array, and the unit that is left (NULL on the last level)."""
+    """Per (source, block): arrays of the units that are decided and of those (one in STRIDE, and one) that go to the next level."""
     kind = units.schema["u"].dataType.simpleString()
     start = F.struct(F.lit(None).cast(kind).alias("rest"), F.array().cast(f"array<{kind}>").alias("done"))
 
@@ -88,14 +90,37 @@ def fold(units: DataFrame, last: bool, seed: int) -> DataFrame:
             m["rest"].alias("rest"), F.concat(acc["done"], F.array(m["out"])).alias("done")))
         return F.when(acc["rest"].isNull(), F.struct(x.alias("rest"), acc["done"].alias("done"))).otherwise(met)
 
-    folded = units.groupBy("source", "source_size", "target", "block").agg(
-        F.sort_array(F.collect_list("u"), asc=False).alias("units")).withColumn("f", F.aggregate("units", start, step))
-    rest = F.col("f")["rest"]
-    if not last:
-        return folded.select("source", "source_size", "target", "block", F.col("f")["done"].alias("done"), rest.alias("rest"))
-    nearer = F.struct(*[rest[c].alias(c) for c in ("size", "id", "n", "base")], F.round(rest["part"]).alias("part"), rest["mass"].alias("mass"))
-    return folded.select("source", "source_size", "target", "block",
-                         F.concat(F.col("f")["done"], F.array(nearer)).alias("done"), F.lit(None).cast(kind).alias("rest"))
+    grouped = units.groupBy("source", "source_size", "target", "block").agg(F.sort_array(F.collect_list("u"), asc=False).alias("units"))
+    if last:
+        return grouped.withColumn("f", F.aggregate("units", start, step)).select(
+            "source", "source_size", "target", "block", settled(F.col("f")["done"], F.col("f")["rest"]).alias("done"),
+            F.array().cast(f"array<{kind}>").alias("rest"))
+    # some units of each size wait for the last level, where they close the gap
+    waits = lambda i: ((i + 1) % STRIDE == 0) | (i == F.size("units") - 1)
+    core = F.filter("units", lambda u, i: ~waits(i))
+    return grouped.withColumn("f", F.aggregate(core, start, step)).select(
+        "source", "source_size", "target", "block", F.col("f")["done"].alias("done"),
+        F.filter(F.concat(F.array(F.col("f")["rest"]), F.filter("units", lambda u, i: waits(i))), lambda u: u.isNotNull()).alias("rest"))
+
+
+def settled(done: Column, r: Column) -> Column:
+    """The units decided last, from large to small, and the last fraction, which goes to the nearer side.
+
+    What that misses, in words, is closed by decided units that change sides where this brings the sum nearer: a
+    unit that is no larger than the gap is taken instead of left out, or the other way round.
+    """
+    on = lambda u, part: F.struct(*[u[c].alias(c) for c in ("size", "id", "n", "base")], part.alias("part"), u["mass"].alias("mass"))
+    side = F.round(r["part"])
+    kept = lambda gap, units: F.struct(gap.alias("gap"), units.alias("units"))
+
+    def close(acc: Column, u: Column) -> Column:
+        wants = F.when(u["part"] == 0, acc["gap"] >= u["mass"]).otherwise(-acc["gap"] >= u["mass"])
+        moved = F.when(u["part"] == 0, -u["mass"]).otherwise(u["mass"])
+        return let(wants, lambda w: kept(acc["gap"] + F.when(w, moved).otherwise(0.0), F.concat(
+            acc["units"], F.array(on(u, F.when(w, 1 - u["part"]).otherwise(u["part"]))))))
+
+    first = kept((r["part"] - side) * r["mass"], F.array(on(r, side)))
+    return F.aggregate(F.sort_array(done, asc=False), first, close, lambda acc: acc["units"])
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_copies: int = MAX_COPIES, seed: int = SEED,
@@ -124,9 +149,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_copies: int =
         parts.append(folded.select("*", F.explode("done").alias("d")).select(
             "source", F.col("d.id").alias("id"), F.col("d.size").alias("size"), F.col("d.n").alias("n"), "source_size", "target",
             (F.col("d.base") + F.col("d.part")).cast("long").alias("copies")))
-        level = folded.where(F.col("rest").isNotNull()).select(
-            "source", "source_size", "target", F.floor(F.col("block") / BLOCK).alias("block"), F.col("rest").alias("u"))
-        blocks = 0 if blocks == 1 else -(-blocks // BLOCK)
+        level = folded.select(
+            "source", "source_size", "target", F.floor(F.col("block") / STRIDE).alias("block"), F.explode("rest").alias("u"))
+        blocks = 0 if blocks == 1 else -(-blocks // STRIDE)
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)

@@ -141,6 +141,7 @@ def test_mix_meets_its_targets_and_reruns_agree(spark, sf_dir):
 
 def test_mix_of_several_levels_with_a_hot_source(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BLOCK", 4)
+    monkeypatch.setattr(mixing, "STRIDE", 3)
     docs = [(i, "w " * (i % 50 + 1), "hot" if i % 3 else f"s{i % 5}") for i in range(900)]
     check_mix(mixing.mix(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect(), docs)
 
