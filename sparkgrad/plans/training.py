@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -338,21 +339,30 @@ def _generated_sweep(images: DataFrame, params: DataFrame, variants: DataFrame,
     return gradient_sums(each.select("one.variant", "one.s.*"), net, ["variant"])
 
 
-def sweep(images: DataFrame, state: State, variants: DataFrame, steps: int, path: str | None = None) -> DataFrame:
-    """Train all variants from one start; the last parameters, keyed by variant."""
+def sweep(images: DataFrame, state: State, variants: DataFrame, steps: int, path: str | None = None,
+          at_once: int | None = None) -> DataFrame:
+    """Train all variants from one start; the last parameters, keyed by variant.
+
+    Each scan carries as many models as fit the broadcast limit (or ``at_once``); more of them take several runs.
+    """
     spark = images.sparkSession
     path = path or scratch_path(spark, "sweep")
-    names = _names(variants)
+    names = [r[0] for r in variants.select("variant").orderBy("variant").collect()]  # one per model
+    at_once = at_once or max(1, MAX_BROADCAST_PARAMS // state.net.n_params)
+    parts = []
+    for k in range(0, len(names), at_once):
+        some = names[k:k + at_once]
+        parts.append(_sweep(images, state, variants.where(F.col("variant").isin(some)), some, steps, f"{path}/part={k}"))
+    if not parts:
+        return state.params.selectExpr("CAST(NULL AS STRING) AS variant", "layer", "out", "`in`", "w").limit(0)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _sweep(images: DataFrame, state: State, variants: DataFrame, names: list[str], steps: int, path: str) -> DataFrame:
+    spark = images.sparkSession
     params = state.params.withColumn("variant", F.explode(F.lit(names))).select("variant", "layer", "out", "in", "w")
     for k in range(steps):
         out = f"{path}/iter={k + 1}"
         sweep_step(images, params, variants, state.net, len(names)).write.mode("overwrite").parquet(out)
         params = spark.read.schema("variant string, layer int, out int, `in` int, w double").parquet(out)
     return params
-
-
-def _names(variants: DataFrame, limit: int = 10_000) -> list[str]:
-    rows = variants.select("variant").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} variants in one sweep")
-    return [r[0] for r in rows]

@@ -157,6 +157,9 @@ def test_sweep_of_softmax_and_odd_names(spark, images):
             want = train([images] * 2, start, ParamStore(spark), Options(lr=lr, update_bias=False))
             mine = got.where(got["variant"] == name).orderBy("layer", "out", "in").toPandas()["w"].to_numpy()
             assert mine == pytest.approx(params(want), abs=1e-9)
+    apart = training.sweep(images, small, variants, 2, at_once=1)
+    assert apart.exceptAll(training.sweep(images, small, variants, 2)).count() == 0
+    assert training.sweep(images, small, variants.limit(0), 2).count() == 0
 
 
 @pytest.fixture(scope="module")
