@@ -77,9 +77,9 @@ def unwanted(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "").lower()):
         return True
-    if tag in ("html", "body", "article", "main"):
-        return False
     named = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split()
+    if tag in ("html", "body", "article", "main"):  # a part of a name may be a switch of the page: has-sidebar, no-comments
+        return any(name in NEVER_NAMES for name in named)
     # the header of an article is its own headline
     return any(part in NEVER_NAMES and not (in_article and part == "header") for name in named for part in NAME_PARTS.findall(name))
 

@@ -79,6 +79,9 @@ LONG = "The quick fox and the dog are in the house of the king, and it was for t
     (f"<div hidden>{LONG}</div><div style='display: none'>{LONG}</div><div role=banner>{LONG}</div><p>{LONG}", LONG),
     ("<article>a < b and c > d<!-- x <p> --> e</article>", "a < b and c > d e"),
     ("<p>cut off <b", "cut off"),
+    (f"<body class='has-sidebar'><article class='post with-comments'><header><h1>Head</h1></header><p>Text.</p></article>"
+     f"<article class='comment'><p>{LONG}</p></article></body>", "Head\nText."),
+    (f"<article><p>First.</p><section id='comments'><article><p>{LONG}</p></article></section><p>Last.</p></article>", "First.\nLast."),
 ])
 def test_page(page, text):
     assert html_text.main_text(page) == text
