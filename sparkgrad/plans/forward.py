@@ -16,6 +16,7 @@ from sparkgrad.operators.layers import dense_packed
 from sparkgrad.operators.reshape import array_to_rows, feature_rows
 from sparkgrad.plans.network import Network, State, activations
 from sparkgrad.plans.unrolled import score_unrolled
+from sparkgrad.session import materialize
 
 
 def logits(images: DataFrame, state: State, engine: str | None = None) -> DataFrame:
@@ -33,8 +34,10 @@ def score(images: DataFrame, state: State, engine: str | None = None) -> DataFra
 
 
 def unit_values(images: DataFrame, state: State, engine: str | None = None) -> DataFrame:
-    """(id, label, a, p): hidden activations and outputs of every image; map-only."""
+    """(id, label, a, p): hidden activations and outputs of every image; map-only but for the long form."""
     engine = engine or state.net.engine
+    if engine == "long":
+        return values_long(images, state)
     if engine == "columns":
         return score_unrolled(images, state)
     if engine == "block":
@@ -42,6 +45,9 @@ def unit_values(images: DataFrame, state: State, engine: str | None = None) -> D
     return activations(images, state).select("id", "label", "a", "p")
 
 
+_KEYS = ["_row", "id", "label"]
+
+
 def score_long(images: DataFrame, state: State) -> DataFrame:
     """Pixels as rows; both layers are joins with grouped sums.
 
@@ -49,13 +55,27 @@ def score_long(images: DataFrame, state: State) -> DataFrame:
     second layer's rows are generated from, and summed in, the same partitions. Rows are
     told apart by a number of their own, so ids may repeat.
     """
-    net, keys = state.net, ["_row", "id", "label"]
-    x = feature_rows(images.withColumn("_row", F.monotonically_increasing_id()), net.n_in, *keys)
-    z1 = dense_packed(x, state.weights(1), state.biases(1), keys=keys, n_in=net.n_in, n_out=net.n_hidden)
-    a = z1.selectExpr(*keys, f"{C.activation(net.hidden, 'z')} AS a")
-    h = array_to_rows(a, keys, "a", "in", "v")
-    z2 = dense_packed(h, state.weights(2), state.biases(2), keys=keys, n_in=net.n_hidden, n_out=net.n_out)
-    return z2.selectExpr("id", "label", f"{C.activation(net.output, 'z')} AS p")
+    return _output_long(_hidden_long(images, state), state).select("id", "label", "p")
+
+
+def values_long(images: DataFrame, state: State) -> DataFrame:
+    """(id, label, a, p) in the long form; the hidden layer is written once and joined with its outputs."""
+    a = materialize(_hidden_long(images, state), "hidden")
+    return a.join(_output_long(a, state).select("_row", "p"), "_row").select("id", "label", "a", "p")
+
+
+def _hidden_long(images: DataFrame, state: State) -> DataFrame:
+    net = state.net
+    x = feature_rows(images.withColumn("_row", F.monotonically_increasing_id()), net.n_in, *_KEYS)
+    z = dense_packed(x, state.weights(1), state.biases(1), keys=_KEYS, n_in=net.n_in, n_out=net.n_hidden)
+    return z.selectExpr(*_KEYS, f"{C.activation(net.hidden, 'z')} AS a")
+
+
+def _output_long(a: DataFrame, state: State) -> DataFrame:
+    net = state.net
+    h = array_to_rows(a, _KEYS, "a", "in", "v")
+    z = dense_packed(h, state.weights(2), state.biases(2), keys=_KEYS, n_in=net.n_hidden, n_out=net.n_out)
+    return z.selectExpr(*_KEYS, f"{C.activation(net.output, 'z')} AS p")
 
 
 def score_blocks(images: DataFrame, state: State) -> DataFrame:

@@ -62,8 +62,6 @@ class TrainLog:
         self.spark, self.path = spark, path or scratch_path(spark, "train-log")
 
     def write(self, images: DataFrame, state: State, engine: str | None = None) -> None:
-        if not state.fits_broadcast:
-            engine = "long"
         units = unit_values(images, state, engine)
         append_log(units.selectExpr("current_timestamp() AS insert_time", "id", "label", f"{C.argmax('p')} AS prediction", "a", "p"),
                    self.path, state.iteration)

@@ -101,7 +101,7 @@ def test_loss_counts_shares_that_underflow(spark):
 @pytest.mark.parametrize("engine", ["array", "block", "columns", "long"])
 def test_log_of_a_run(spark, images, engine):
     log, start = training.TrainLog(spark), State.pattern(spark, NET)
-    train([images, images.where("id < 7")], start, ParamStore(spark), Options(lr=0.1), engine if engine != "long" else "array", log)
+    train([images, images.where("id < 7")], start, ParamStore(spark), Options(lr=0.1), engine, log)
     rows = log.read().collect()
     assert sorted((r["iter"], r["id"]) for r in rows) == [(0, i) for i in range(30)] + [(1, i) for i in range(7)]
     assert all(r["insert_time"] is not None and r["prediction"] == int(np.argmax(r["p"])) for r in rows)
