@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from sparkgrad.llm.text import read
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE_ENTRIES = 500_000  # twice as many at most are held by a worker
+CACHE_ENTRIES = 250_000  # twice as many at most are held by a worker
 MAX_CACHED = 64
 # str.split() also splits at these four, which the vocabulary's pattern counts as symbols
 SEPARATORS = regex.compile("[\x1c-\x1f]")
