@@ -11,7 +11,8 @@ keeps a two-generation cache of encoded words with a fixed number of entries. Th
 
 Defined results: a NULL or empty text has no tokens and decodes to an empty string; strings of
 special tokens in a text become those tokens; bytes and characters without a symbol in the
-vocabulary are left out, as its file defines no unknown token; rows are handled one by one, so
+vocabulary are left out, as its file defines no unknown token; characters younger than the Unicode
+tables of the interpreter may be cut and lower-cased in another way than the library does; rows are handled one by one, so
 repeated rows, an empty table and further columns need no rule.
 """
 
@@ -105,10 +106,11 @@ class Codec:
         return self.keep(word, found)
 
     def piece(self, piece: str) -> tuple[bytes, str]:
-        found = self.young.get("\0" + piece) or self.old.get("\0" + piece)
+        key = " " + piece  # no word has a space
+        found = self.young.get(key) or self.old.get(key)
         if found is None:
             ids = self.merge(piece.encode("utf-8", "surrogatepass"))
-            found = self.keep("\0" + piece, (struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)))
+            found = self.keep(key, (struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)))
         return found
 
     def keep(self, key: str, found: tuple[bytes, str]) -> tuple[bytes, str]:

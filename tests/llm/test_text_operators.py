@@ -1,7 +1,9 @@
 """BPE against the tokenizers library; HTML extraction on small pages."""
 
 import hashlib
+import random
 import re
+import unicodedata
 from html import unescape
 
 import numpy as np
@@ -51,6 +53,16 @@ def test_cache_generations_do_not_change_results(monkeypatch, library):
         assert (np.frombuffer(ids, "<u4").tolist(), decoded) == expected(library, text)
 
 
+def test_random_characters_match_the_library(library):
+    rng, codec = random.Random(3), bpe.load(PATH)
+    known = [c for c in map(chr, [*range(0x600), *range(0x1E00, 0x2200), *range(0x1F600, 0x1F650)]) if unicodedata.category(c) != "Cn"]
+    parts = ["'s", "'RE", " ", "\n", "don't", "ABC", "1234", "\x00", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|"]
+    texts = ["\x001 a1 1 \x00a a!a"] + ["".join(rng.choice(known if rng.random() < 0.6 else parts) for _ in range(40)) for _ in range(3000)]
+    for text in texts:
+        ids, decoded = codec.encode(text)
+        assert (np.frombuffer(ids, "<u4").tolist(), decoded) == expected(library, text), ascii(text)
+
+
 def test_empty_tables(spark):
     assert bpe.encode(spark.createDataFrame([], SCHEMA), PATH).count() == 0
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
