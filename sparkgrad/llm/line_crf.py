@@ -15,7 +15,7 @@ Scoring is one map over Arrow batches and reads whole texts line by line.
 
 Defined results: a NULL, empty or blank text has no line and gets the share of good documents in
 the sample (0.5 without any labelled row); NULL labels are not learnt from; documents labelled twice
-with different labels count with both; repeated rows are scored alike; further columns are ignored.
+with different labels count with both; of documents that repeat a key one is learnt from; repeated rows are scored alike; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -181,7 +181,9 @@ def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str)
     few = known.where(F.pmod(F.xxhash64(key, F.lit("crf")), F.lit(1 << 30)) < limit).distinct()  # at most about 2 x SAMPLE_DOCS keys
     start = F.pmod(F.xxhash64("t", F.lit("at")), F.greatest(F.length("t") - SAMPLE_CHARS + 1, F.lit(1))).cast("int") + 1
     rows = docs.where(F.col(text).isNotNull()).select(key, F.col(text).cast("string").alias("t")).join(F.broadcast(few), key)
-    found = sorted((r["t"], r["y"]) for r in rows.select("y", F.substring(F.col("t"), start, F.lit(SAMPLE_CHARS)).alias("t")).collect())
+    # one row per key and label, however often the documents repeat a key
+    stretches = rows.select(key, "y", F.substring(F.col("t"), start, F.lit(SAMPLE_CHARS)).alias("t")).groupBy(key, "y").agg(F.min("t").alias("t"))
+    found = sorted((r["t"], r["y"]) for r in stretches.collect())
     return [t for t, _ in found], [y for _, y in found], counts.get(1, 0) / sum(counts.values())
 
 

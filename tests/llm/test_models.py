@@ -83,3 +83,10 @@ def test_crf_defined_results(spark):
     assert line_crf.score(spark.createDataFrame([], SCHEMA), model).count() == 0
     nothing = line_crf.learn(spark.createDataFrame([], SCHEMA), spark.createDataFrame([], "doc_id long, quality int"))
     assert nothing.score("some text") == 0.5
+
+
+def test_sample_has_one_row_per_key(spark):
+    docs = spark.createDataFrame([(1, "hot document"), (1, "other text")] * 50 + [(2, "cold")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)] * 20 + [(2, 0), (3, None)], "doc_id long, quality int")
+    texts, y, share = line_crf.sample(docs, labels, "doc_id", "text", "quality")
+    assert list(zip(texts, y)) == [("cold", 0), ("hot document", 1)] and share == 20 / 21
