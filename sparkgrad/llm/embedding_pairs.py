@@ -165,3 +165,19 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
 
 def op3_embedding_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+# every pair of usable vectors, and all that can be reached over links
+OP3_SQL = f"""
+WITH RECURSIVE usable AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM usable AS a JOIN usable AS b ON a.vec_id <> b.vec_id
+  WHERE CASE WHEN len(a.v) = len(b.v) THEN list_cosine_similarity(a.v, b.v) >= {THRESHOLD} ELSE false END),
+reach(id, root) AS (SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT links.b, reach.root FROM reach JOIN links ON links.a = reach.id),
+classes AS (SELECT id, min(root) AS component_id FROM reach GROUP BY id),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings AS e JOIN classes ON classes.id = e.vec_id LEFT JOIN counts ON counts.a = e.vec_id
+"""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from sparkgrad.llm.bpe import op6_bpe
-from sparkgrad.llm.embedding_pairs import op3_embedding_pairs
+from sparkgrad.llm.embedding_pairs import OP3_SQL, op3_embedding_pairs
 from sparkgrad.llm.html_text import op5_html_blocks
 from sparkgrad.llm.langid import op10_language_id
 from sparkgrad.llm.line_crf import op4_line_crf
@@ -16,4 +16,4 @@ from sparkgrad.llm.suffix_dedup import op9_suffix_dedup
 QUERIES = {q.__name__: q for q in (
     op1_sharding, op2_simhash, op3_embedding_pairs, op4_line_crf, op5_html_blocks, op6_bpe, op7_quality_rules, op8_mixing,
     op9_suffix_dedup, op10_language_id)}
-SQL = {"op7_quality_rules": OP7_SQL}
+SQL = {"op3_embedding_pairs": OP3_SQL, "op7_quality_rules": OP7_SQL}

@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -99,7 +100,7 @@ def brute_pairs(vectors, threshold):
                     yield a, b
 
 
-def test_embeddings_match_brute_force(spark, monkeypatch):
+def test_embeddings_match_brute_force(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(embedding_pairs, "BLOCK", 40)
     monkeypatch.setattr(embedding_pairs, "STEP", 3)
     rng = np.random.default_rng(3)
@@ -113,6 +114,10 @@ def test_embeddings_match_brute_force(spark, monkeypatch):
     root = classes(len(vectors), pairs)
     got = {r["id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embedding_pairs.near_duplicates(rows).collect()}
     assert pairs and got == {i: (links[i], root[i], root[i] == i) for i in range(len(vectors))}
+    rows.write.parquet(f"{tmp_path}/embeddings")
+    database = duckdb.connect()
+    database.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings/*.parquet'")
+    assert {r[0]: r[1:] for r in database.execute(embedding_pairs.OP3_SQL).fetchall()} == got
 
 
 def test_embeddings_empty_table(spark):
