@@ -11,13 +11,13 @@ are equi-joins on (segment, key), whose hot keys Spark can split. Components com
 
 Defined results: a NULL text or one without a word has fingerprint zero and is linked like any other;
 a NULL key is grouped like any other and never is a component's number unless all keys of it are NULL;
-rows that repeat a key are one document; an empty table gives an empty result; further columns are ignored or, in
+rows that repeat a key are grouped by their texts; an empty table gives an empty result; further columns are ignored or, in
 ``one_of_each``, passed through.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain, combinations
 
 import numpy as np
@@ -112,18 +112,35 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
     return prints.join(by_print, "fp").select("id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without near-duplicates of a smaller key; the input's columns.
+def hashed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, text_hash, t), one row per input row."""
+    t = F.col(text).cast("string")
+    return docs.select(F.col(key).alias("id"), F.xxhash64(t).alias("text_hash"), t.alias("t"))
 
-    Of rows that repeat a key one stays; which one is open if they differ.
+
+def fingerprint_groups(rows: DataFrame) -> DataFrame:
+    """(id, text_hash, root), one row per row of (id, text_hash, t); root names the component."""
+    both = materialize(fingerprints(rows.select(F.struct("id", "text_hash").alias("of"), "t"), "of", "t"), "fingerprints")
+    roots = components(links(materialize(both.select("fp").distinct(), "fingerprints-distinct")))
+    return both.join(roots, F.col("fp") == F.col("node"), "left").select("id.id", "id.text_hash", F.coalesce("root", "fp").alias("root"))
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text",
+                groups: Callable[[DataFrame], DataFrame] = fingerprint_groups) -> DataFrame:
+    """One document of each group of near-duplicates, the one of the smallest key (NULL is the last); the input's columns.
+
+    Between rows of one key in one group the text's hash decides; rows equal in key and text are one document. Rows that
+    repeat a key in different groups are different documents.
     """
-    kept = materialize(near_duplicates(docs, key, text).groupBy("id").agg(
-        F.count("*").alias("rows"), F.max(F.expr("id <=> component_id")).alias("first")).where("first"), "simhash-kept")
-    among = lambda ids: docs.join(ids, docs[key].eqNullSafe(ids["id"]), "left_semi")
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "text_hash")
+    kept = materialize(groups(hashed(docs, key, text)).groupBy("root", "id", "text_hash").agg(F.count("*").alias("rows")).groupBy("root").agg(
+        F.min(F.struct(order.alias("order"), "rows")).alias("least")).select("least.order.id", "least.order.text_hash", "least.rows"), "kept")
+    among = lambda ids: docs.join(
+        ids, docs[key].eqNullSafe(ids["id"]) & (F.xxhash64(docs[text].cast("string")) == ids["text_hash"]), "left_semi")
     repeated = kept.where("rows > 1")
     if repeated.isEmpty():
         return among(kept)
-    return among(kept.where("rows = 1")).unionByName(among(repeated).dropDuplicates([key]))
+    return among(kept.where("rows = 1")).unionByName(among(repeated).dropDuplicates([key, text]))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -88,6 +88,21 @@ def test_simhash_awkward_rows(spark):
     assert len(ids) == len(set(ids)) and 100 not in ids
 
 
+def test_one_row_per_group_and_not_per_key(spark):
+    rows = [(1, prose_of(1)), (2, prose_of(1)), (7, prose_of(2)), (7, prose_of(3)), (7, prose_of(3)), (9, prose_of(4)), (9, prose_of(1)),
+            (None, prose_of(5)), (None, prose_of(6)), (None, prose_of(1)), (None, None), (3, "")]
+    want = [(1, prose_of(1)), (3, ""), (7, prose_of(2)), (7, prose_of(3)), (9, prose_of(4)), (None, prose_of(5)), (None, prose_of(6))]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, root int").repartition(3)
+    for kept in (simhash.one_of_each(docs), corpus_pipeline.near_dedup(spark, docs, "")):
+        assert kept.columns == docs.columns
+        assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(map(str, want))
+
+
+def prose_of(seed, n=60):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+
+
 # ---- embeddings ----
 
 def brute_pairs(vectors, threshold):
