@@ -39,6 +39,7 @@ STOPS = frozenset(STOP_WORDS)
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
+TO_THE_END = frozenset("script style textarea title iframe noframes xmp".split())  # an unclosed one takes the rest of the page
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TAGS = frozenset("script style textarea title noscript iframe noframes template xmp svg math object".split())
 NEVER_TAGS = frozenset(
@@ -94,6 +95,7 @@ def blocks_of(page: str) -> Iterator[Block]:
     stack: list[tuple[str, bool, bool, bool]] = []  # tag, unwanted, in article, in link; each holds for what is inside
     parts: list[str] = []
     links = 0
+    unclosed: set[str] = set()
 
     def block() -> Iterator[Block]:
         nonlocal links
@@ -147,8 +149,16 @@ def blocks_of(page: str) -> Iterator[Block]:
         attrs = attributes(found[3]) if found[3].strip(" /\n\t") else {}
         over = stack[-1] if stack else ("", False, False, False)
         if tag in RAW_TAGS:  # their content is no markup
-            close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-            at = close.end() if close else end
+            if tag in ("svg", "math") and found[3].rstrip().endswith("/"):
+                continue
+            if tag not in unclosed:
+                close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+                if close:
+                    at = close.end()
+                    continue
+                unclosed.add(tag)  # no later one is closed either
+            if tag in TO_THE_END:
+                at = end
             continue
         if found[3].rstrip().endswith("/") and tag not in BLOCK_TAGS and tag != "a":
             continue

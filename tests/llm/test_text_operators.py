@@ -99,6 +99,15 @@ def test_page(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("odd", ["<svg class='icon'/>", "<math/>", "<object data=x>", "<noscript>", "<template>", "<svg>", "<svg/><svg><p>no</p></svg>"])
+def test_text_after_a_tag_without_a_close(odd):
+    assert html_text.main_text(f"<p>{LONG}</p>{odd}<p>{LONG}</p>") == f"{LONG}\n{LONG}"
+
+
+def test_an_unclosed_script_takes_the_rest():
+    assert html_text.main_text(f"<p>{LONG}</p><script><p>{LONG}</p>") == LONG
+
+
 def test_ambiguous_blocks_follow_the_nearest():
     assert html_text.second_pass([None, True, None, None, False, None]) == [True, True, True, False, False, False]
     assert html_text.second_pass([True, None, False]) == [True, True, False]
