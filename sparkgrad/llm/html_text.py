@@ -52,6 +52,7 @@ NEVER_NAMES = frozenset(
     "commentlist consent cookie cookies copyright dialog disclaimer disqus footer gdpr header login masthead menu menus modal nav navbar "
     "navigation newsletter notice notices overlay pager pagination popup promo promos promotion recommended related replies respond "
     "responses search share sharing sidebar sidebars signup social sponsor sponsored subscribe subscription tags toolbar widget widgets".split())
+SWITCHES = frozenset("has have no not with without is show hide fixed sticky enabled disabled on off open closed left right".split())
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
                    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S)
@@ -81,8 +82,16 @@ def unwanted(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
     named = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split()
     if tag in ("html", "body", "article", "main"):  # a part of a name may be a switch of the page: has-sidebar, no-comments
         return any(name in NEVER_NAMES for name in named)
+    return any(never_name(name, in_article) for name in named)
+
+
+def never_name(name: str, in_article: bool) -> bool:
+    """True if the name, or its first or last part, is one of NEVER_NAMES and no part makes it a switch."""
+    parts = NAME_PARTS.findall(name)
+    if SWITCHES.intersection(parts):
+        return False
     # the header of an article is its own headline
-    return any(part in NEVER_NAMES and not (in_article and part == "header") for name in named for part in NAME_PARTS.findall(name))
+    return any(x in NEVER_NAMES and not (in_article and x == "header") for x in (name, *parts[:1], *parts[-1:]))
 
 
 def is_article(tag: str, attrs: dict[str, str]) -> bool:

@@ -104,6 +104,12 @@ def test_text_after_a_tag_without_a_close(odd):
     assert html_text.main_text(f"<p>{LONG}</p>{odd}<p>{LONG}</p>") == f"{LONG}\n{LONG}"
 
 
+@pytest.mark.parametrize("names", ["class='content has-sidebar'", "id='page' class='no-comments'", "class='site nav-fixed'", "class='post with-share'"])
+def test_layout_names_keep_the_page(names):
+    assert html_text.main_text(f"<div {names}><article><p>{LONG}</p></article></div>") == LONG
+    assert html_text.main_text(f"<div {names}><p>{LONG}</p><div class='main-nav'>{LONG}</div><div id=comments>{LONG}</div></div>") == LONG
+
+
 def test_an_unclosed_script_takes_the_rest():
     assert html_text.main_text(f"<p>{LONG}</p><script><p>{LONG}</p>") == LONG
 
