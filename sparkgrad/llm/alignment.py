@@ -58,7 +58,7 @@ class Vocabularies:
     def __post_init__(self):
         from sentencepiece import SentencePieceProcessor
 
-        self.a = byte_bpe.Encoder(self.spec, plain=True)
+        self.a = byte_bpe.encoder(self.spec, plain=True)
         self.b = SentencePieceProcessor(model_proto=self.model)
         byte_of = {c: b for b, c in enumerate(byte_characters())}
         size = max(self.a.library.get_vocab(with_added_tokens=True).values()) + 1

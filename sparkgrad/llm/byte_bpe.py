@@ -1,8 +1,10 @@
 """Byte-level BPE ids by the tokenizers library, with a bounded cache of encoded words.
 
-The vocabulary's pattern starts a new piece at every space that a character other than white space follows, and no merge
-crosses a piece. So a text may be cut there, and each different part is encoded by the library once per worker's cache.
-A file with another pre-tokenizer, a normalizer, or special tokens that reach over spaces is encoded text by text.
+The vocabulary's pattern decides where pieces end, and no merge crosses a piece. ``CHUNK`` cuts a text only at such ends: before a
+space that something else than white space follows, and around the other runs of white space as the pattern has them. Each
+different chunk is encoded once while it is in the worker's cache: a plain word or number and the marks behind it go straight to the library's BPE
+model, all other chunks through the whole library. Texts with a special token's string, and files with another
+pre-tokenizer or a normalizer, are encoded whole.
 """
 
 from __future__ import annotations
@@ -10,13 +12,19 @@ from __future__ import annotations
 import json
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHE_ENTRIES = 300_000
-CACHE_CHARS = 8_000_000
-CUT = re.compile(r" (?=\S)")
+CACHE_ENTRIES = 200_000  # twice as many at most are held
+MAX_CACHED = 64
+
+# \s of Python has four characters more than the vocabulary's pattern
+CHUNK = re.compile(r"[^\S\x1c-\x1f]+(?![\S\x1c-\x1f])| ?[\S\x1c-\x1f]+|[^\S\x1c-\x1f]")
+# a word or number and the marks behind it: two pieces in any version of the character tables
+WORD = re.compile(r"( ?(?:[A-Za-zÀ-ÖØ-öø-ɏ]+|[0-9]+))?((?(1)| ?)[!-&(-/:-@\[-`{-~]+)?")
+SPACE = "Ġ"  # the printable character that stands for the space
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -30,11 +38,37 @@ def file_text(path: str) -> str:
         return file.read()
 
 
+def byte_characters() -> list[str]:
+    """The printable character that stands for each byte: itself if printable, else from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
+
+
 def may_cut(spec: dict) -> bool:
-    before = spec["pre_tokenizer"] or {}
+    before, model = spec["pre_tokenizer"] or {}, spec["model"]
     return (before.get("type") == "ByteLevel" and before.get("use_regex") is True and not before.get("add_prefix_space")
-            and not spec["normalizer"] and not (spec["model"].get("dropout"))
-            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in spec["added_tokens"]))
+            and not spec["normalizer"] and not spec["truncation"] and not spec["padding"]
+            and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")))
+
+
+class Words(dict):
+    """Packed ids of each chunk; a full generation becomes the old one."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.old = encode, {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        found = self.old.get(chunk)
+        if found is None:
+            found = self.encode(chunk)
+        if len(chunk) <= MAX_CACHED:
+            if len(self) >= CACHE_ENTRIES:
+                self.old = self.copy()
+                self.clear()
+            self[chunk] = found
+        return found
 
 
 class Encoder:
@@ -43,32 +77,46 @@ class Encoder:
     def __init__(self, spec: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
 
         self.library = Tokenizer.from_str(spec)
         self.library.no_truncation()
         self.library.no_padding()
         self.library.encode_special_tokens = plain
-        self.cuts = may_cut(json.loads(spec))
+        known = json.loads(spec)
         self.kind = np.dtype("<u2" if max(self.library.get_vocab(with_added_tokens=True).values(), default=0) < 1 << 16 else "<u4")
-        self.words: dict[str, bytes] = {}
-        self.chars = 0
-
-    def fresh(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        self.cuts = may_cut(known)
+        if self.cuts:
+            self.special = [] if plain else [t["content"] for t in known["added_tokens"]]
+            merges = [tuple(m if isinstance(m, list) else m.split(" ")) for m in known["model"]["merges"]]
+            self.model = BPE(known["model"]["vocab"], merges, cache_capacity=0)
+            self.shown = dict(enumerate(byte_characters()))
+            self.packed = [i.to_bytes(self.kind.itemsize, "little") for i in range(max(known["model"]["vocab"].values()) + 1)]
+            self.words = Words(self.chunk)
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind).tobytes()
+
+    def chunk(self, chunk: str) -> bytes:
+        found = WORD.fullmatch(chunk)
+        if not found:
+            return self.whole(chunk)
+        word, marks = found.groups()
+        if word and marks:
+            return self.words[word] + self.words[marks]
+        shown = chunk.replace(" ", SPACE) if chunk.isascii() else chunk.encode().decode("latin-1").translate(self.shown)
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.model.tokenize(shown)])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, packed as ``kind``."""
         if not self.cuts:
-            return self.fresh([t or "" for t in texts])
-        parts = [CUT.split(t or "") for t in texts]
-        first = list({p[0] for p in parts})
-        starts = dict(zip(first, self.fresh(first)))
-        wanted = set().union(*[p[1:] for p in parts])
-        missing = wanted.difference(self.words)
-        if len(self.words) + len(missing) > CACHE_ENTRIES or self.chars > CACHE_CHARS:
-            self.words, self.chars, missing = {}, 0, wanted
-        new = list(missing)
-        self.words.update(zip(new, self.fresh([" " + w for w in new])))
-        self.chars += sum(map(len, new))
+            return [self.whole(t or "") for t in texts]
         get = self.words.__getitem__
-        return [starts[p[0]] + b"".join(map(get, p[1:])) for p in parts]
+        return [self.whole(t) if t and any(s in t for s in self.special) else b"".join(map(get, CHUNK.findall(t or ""))) for t in texts]
+
+
+@lru_cache(maxsize=2)
+def encoder(spec: str, plain: bool = False) -> Encoder:
+    """One encoder per worker process: loading it takes longer than most slices, and its cache has a fixed size."""
+    return Encoder(spec, plain)

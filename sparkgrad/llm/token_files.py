@@ -156,7 +156,7 @@ def write(docs: DataFrame, path: str, folder: str, key: str = "doc_id", text: st
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("key", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = byte_bpe.Encoder(held.value)
+        encoder = byte_bpe.encoder(held.value)
         width = encoder.kind.itemsize
         end = np.array([end_id], encoder.kind).tobytes()
         writer = RecordWriter(folder, TaskContext.get().partitionId(), file_bytes)

@@ -23,7 +23,7 @@ from tools.check_queries import compare, connect
 
 PATH = byte_bpe.vocabulary_path()
 PIECES = byte_bpe.vocabulary_path(alignment.PIECES)
-ODD = ["a  b", " lead", "tail ", "\n\n x \t y", "it's 's  's", "a <|endoftext|> b<|endoftext|>", "　wide 　x", "\x85 \x1c x\x1d y", "--- ----", "　", "🎉🎉 é",
+ODD = ["a  b", "a  <|endoftext|>  b", "d'accord! x's' 'tis (it'll) ,,'',, 12.5% $1,000 a1b2 Å.B é'é", "end \n\n", " \n x\n", "x \x1c\x1d y\x1fz \x1e", " lead", "tail ", "\n\n x \t y", "it's 's  's", "a <|endoftext|> b<|endoftext|>", "　wide 　x", "\x85 \x1c x\x1d y", "--- ----", "　", "🎉🎉 é",
        "nul\0inside \0 x", "x" * 300, "ÄÖ ß", "▁ ▁▁a", "<s> <unk> </s> <0x41>", "a​b ​c", "᠎ ᠎x"]
 
 
@@ -66,6 +66,7 @@ def test_cached_words_encode_like_whole_texts(spark, sf_dir, library, monkeypatc
         for plain in (False, True):
             encoder = byte_bpe.Encoder(byte_bpe.file_text(PATH), plain)
             assert encoder.cuts
+            encoder.words.clear(), encoder.words.old.clear()
             library.encode_special_tokens = plain
             for at in range(0, len(texts), 7):
                 some = texts[at:at + 7]
