@@ -32,7 +32,6 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from sparkgrad.llm import byte_bpe
-from sparkgrad.llm.bpe import byte_characters
 from sparkgrad.llm.slices import by_bytes
 from sparkgrad.llm.text import read
 from sparkgrad.session import materialize, scratch_path
@@ -60,7 +59,7 @@ class Vocabularies:
 
         self.a = byte_bpe.encoder(self.spec, plain=True)
         self.b = SentencePieceProcessor(model_proto=self.model)
-        byte_of = {c: b for b, c in enumerate(byte_characters())}
+        byte_of = {c: b for b, c in enumerate(byte_bpe.byte_characters())}
         size = max(self.a.library.get_vocab(with_added_tokens=True).values()) + 1
         self.a_bytes = [b""] * size
         for entry, i in json.loads(self.spec)["model"]["vocab"].items():
@@ -111,7 +110,8 @@ def align(texts: list[str | None], v: Vocabularies, keep_groups: list | None = N
     a, b = np.concatenate([*by_a, np.zeros(0, np.int64)]), np.concatenate([*by_b, np.zeros(0, np.int64)])
     end_a, end_b = np.cumsum(v.a_sizes[a]), np.cumsum(v.b_sizes[b])  # texts end in both, so none reaches into the next
 
-    ends = np.union1d(end_a, end_b)
+    ends = np.sort(np.concatenate([end_a, end_b]), kind="stable")
+    ends = ends[np.diff(ends, prepend=-1) > 0]
     in_a, in_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
     both = (end_a[in_a] == ends) & (end_b[in_b] == ends) if len(ends) else np.zeros(0, bool)
     alone = both & np.concatenate([[True], both[:-1]]) if len(ends) else both

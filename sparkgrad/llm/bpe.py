@@ -5,8 +5,8 @@ priority queue. The best pair is merged in place, its two new neighbour pairs ar
 entries whose symbols have changed meanwhile are skipped when they come up. That is
 O(n log n) for a word of n symbols, however long it is.
 
-Text runs through Arrow batches on the executors, map-only. Most words repeat, so each worker
-keeps a two-generation cache of encoded words with a fixed number of entries. The vocabulary
+Text runs through slices of Arrow batches on the executors, map-only; a slice has a bounded number of bytes. Most words repeat, so each
+task keeps a two-generation cache of encoded words, bounded in entries and in bytes and gone when the task ends. The vocabulary
 (a fixed file, read on the driver from the ``path`` given) is broadcast; its size doesn't depend on the data.
 
 Defined results: a NULL or empty text has no tokens and decodes to an empty string; strings of
@@ -18,34 +18,29 @@ repeated rows, an empty table and further columns need no rule.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import struct
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Sequence
 
-import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from sparkgrad.llm.byte_bpe import byte_characters
+from sparkgrad.llm.slices import map_texts
 from sparkgrad.llm.text import read
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE_ENTRIES = 250_000  # twice as many at most are held by a worker
+CACHE_ENTRIES = 200_000  # twice as many at most are held
+CACHE_BYTES = 16 << 20  # of words, ids and decoded strings in a generation
 MAX_CACHED = 64
 # str.split() also splits at these four, which the vocabulary's pattern counts as symbols
 SEPARATORS = regex.compile("[\x1c-\x1f]")
 SPACE = regex.compile(r"[^\S\x1c-\x1f]+")
 
 
-def byte_characters() -> list[str]:
-    """The printable character that stands for each byte: itself if printable, else from 256 on."""
-    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    spare = iter(range(256, 512))
-    return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
-
-
 class Codec:
     """Encoder and decoder of one vocabulary file (model BPE with a word-end suffix)."""
 
@@ -63,11 +58,16 @@ class Codec:
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pieces = regex.compile(split["pattern"]["Regex"])
         self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.young: dict[str, tuple[bytes, str]] = {}
-        self.old: dict[str, tuple[bytes, str]] = {}
+        self.forget()
 
     def __getstate__(self):
-        return self.__dict__ | {"young": {}, "old": {}}
+        return self.__dict__ | {"young": {}, "old": {}, "held": 0}
+
+    def forget(self) -> None:
+        """Empties the cache."""
+        self.young: dict[str, tuple[bytes, str]] = {}
+        self.old: dict[str, tuple[bytes, str]] = {}
+        self.held = 0
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one piece. Queue entries are rank and place in one number, so the smallest is the next merge."""
@@ -115,9 +115,10 @@ class Codec:
 
     def keep(self, key: str, found: tuple[bytes, str]) -> tuple[bytes, str]:
         if len(key) <= MAX_CACHED:
-            if len(self.young) >= CACHE_ENTRIES:
-                self.old, self.young = self.young, {}
+            if len(self.young) >= CACHE_ENTRIES or self.held >= CACHE_BYTES:
+                self.old, self.young, self.held = self.young, {}, 0
             self.young[key] = found
+            self.held += len(key) + len(found[0]) + len(found[1])
         return found
 
     def plain(self, text: str) -> list[tuple[bytes, str]]:
@@ -150,23 +151,28 @@ def load(path: str) -> Codec:
         return Codec(json.load(file))
 
 
+def _mapped(docs: DataFrame, path: str, text: str, keep: tuple[str, ...], added: str,
+            columns: Callable[[list[tuple[bytes, str]]], Sequence[list]]) -> DataFrame:
+    codec = docs.sparkSession.sparkContext.broadcast(load(path))
+
+    def make():
+        coder = codec.value
+        return lambda texts: columns([coder.encode(t) for t in texts])
+
+    return map_texts(docs, text, keep, added, make, lambda: codec.value.forget())
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
            ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """The columns in ``keep``, packed ids (binary) and decoded text. ``path``: vocabulary file on the driver."""
-    if len({*keep, ids, decoded}) < len(keep) + 2:
-        raise ValueError("the names of the output columns clash")
-    codec = docs.sparkSession.sparkContext.broadcast(load(path))
-    source = docs.select(*keep, F.col(text).cast("string").alias("\0text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]), f"`{ids}` binary", f"`{decoded}` string"])
+    return _mapped(docs, path, text, keep, f"`{ids}` binary, `{decoded}` string", lambda done: ([d[0] for d in done], [d[1] for d in done]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = codec.value
-        for batch in batches:
-            done = [coder.encode(t) for t in batch.column(len(keep)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([d[0] for d in done], pa.binary()),
-                                              pa.array([d[1] for d in done], pa.string())], [*keep, ids, decoded])
 
-    return source.mapInArrow(run, schema)
+def digests(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns in ``keep``, the number of ids, and digests of packed ids and decoded text; these themselves stay in the worker."""
+    digest = lambda value: hashlib.sha256(value).hexdigest()
+    return _mapped(docs, path, text, keep, "n_tokens long, ids_sha256 string, decoded_sha256 string", lambda done: (
+        [len(d[0]) // 4 for d in done], [digest(d[0]) for d in done], [digest(d[1].encode("utf-8", "surrogatepass")) for d in done]))
 
 
 def vocabulary_path() -> str:
@@ -175,10 +181,5 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
-def digests(encoded: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    return encoded.select(*keep, F.expr("CAST(octet_length(ids) / 4 AS BIGINT)").alias("n_tokens"),
-                          F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
-
-
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(encode(read(spark, sf_dir, "documents"), vocabulary_path()))
+    return digests(read(spark, sf_dir, "documents"), vocabulary_path())

@@ -1,17 +1,21 @@
 """Main text of web pages by two-pass block rules.
 
-A tolerant tag scanner cuts a page into blocks, one per run of text between block-level tags. Elements
-that never hold main text (by tag, role, class or id: menus, adverts, forms, scripts, comments ...) are left
-out whole. The first pass decides blocks by link density, length and stop-word density: good, bad, or
-ambiguous. The second pass gives every ambiguous block the label of its nearest decided
-neighbour; between a good and a bad one at equal distance it is good. Where the page marks its article (``article``,
-``main``, or the same as role or item property), blocks outside it are bad, and text inside it is good unless it is mostly links.
+A tolerant tag scanner cuts a page into blocks, one per run of text between block-level tags. Elements that by their tag, role or a
+plain mark never hold main text (menus, forms, scripts, hidden parts ...) are left out whole. The first pass decides blocks by link
+density, length and stop-word density: good, bad, or ambiguous. The second pass gives every ambiguous block the label of its nearest decided
+neighbour; between a good and a bad one at equal distance it is good.
 
-One map over Arrow batches; a page is handled alone, in time linear in its length.
+Two features of a block shift the first pass. A class or id that names an advert, a notice and the like (``NEVER_NAMES``) makes the blocks below
+it bad, unless the element holds most of the page's good text and so is a wrapper; names of ``FIRM_NAMES`` always count. Where the page marks its article
+(``article``, ``main``, or the same as role or item property), length alone or some stop words make the blocks in it good, blocks outside are
+bad, and ambiguous ones look for neighbours on their own side. Marks of teasers (several marks, or one with links, with more good text outside)
+are no such marks.
+
+One map over slices of Arrow batches; a page is handled alone, in time linear in its length.
 
 Defined results: NULL or empty html gives an empty text; unclosed and stray tags are allowed; a
 page cut off in the middle keeps what was read; a page without any decided block keeps its ambiguous ones;
-repeated rows are handled alike, further columns are ignored.
+repeated rows are handled alike, an empty table gives an empty result, further columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,13 +23,13 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkgrad.llm.quality_rules import STOP_WORDS
+from sparkgrad.llm.slices import map_texts
 from sparkgrad.llm.text import read
 
 MAX_LINK_DENSITY = 0.4
@@ -52,19 +56,29 @@ NEVER_NAMES = frozenset(
     "commentlist consent cookie cookies copyright dialog disclaimer disqus footer gdpr header login masthead menu menus modal nav navbar "
     "navigation newsletter notice notices overlay pager pagination popup promo promos promotion recommended related replies respond "
     "responses search share sharing sidebar sidebars signup social sponsor sponsored subscribe subscription tags toolbar widget widgets".split())
+FIRM_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense adbox comment comments commentlist consent cookie cookies disqus footer menu "
+    "menus nav navbar navigation replies respond responses sidebar sidebars".split())
+READER_NAMES = frozenset("comment comments commentlist disqus replies respond responses".split())
 SWITCHES = frozenset("has have no not with without is show hide fixed sticky enabled disabled on off open closed left right".split())
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
                    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 NAME_PARTS = re.compile(r"[a-z]+")
+LETTERS = re.compile(r"[^\W\d_]+")
 
 
 @dataclass
 class Block:
     text: str
     link_chars: int
-    in_article: bool
+    mark: int  # number of the outermost article mark around it, 0 for none
+    named: tuple[int, ...] = ()  # numbers of the elements around it whose names speak against it
+    chars: int = field(init=False)
+
+    def __post_init__(self):
+        self.chars = len(self.text.replace(" ", ""))
 
 
 def attributes(source: str) -> dict[str, str]:
@@ -77,21 +91,28 @@ def unwanted(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
         return True
     if "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or attrs.get("role", "").lower() in NEVER_ROLES:
         return True
-    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "").lower()):
-        return True
-    named = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split()
+    return bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "").lower()))
+
+
+def against(tag: str, attrs: dict[str, str], in_article: bool) -> str:
+    """What the class and id names say: "firm", "vote" or ""."""
+    names = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split()
     if tag in ("html", "body", "article", "main"):  # a part of a name may be a switch of the page: has-sidebar, no-comments
-        return any(name in NEVER_NAMES for name in named)
-    return any(never_name(name, in_article) for name in named)
+        names = [n for n in names if n in NEVER_NAMES]
+    said = [name_says(name, in_article) for name in names]
+    return "firm" if "firm" in said else "vote" if "vote" in said else ""
 
 
-def never_name(name: str, in_article: bool) -> bool:
-    """True if the name, or its first or last part, is one of NEVER_NAMES and no part makes it a switch."""
+def name_says(name: str, in_article: bool) -> str:
+    """A name counts if it, or its first or last part, is one of NEVER_NAMES and no part makes it a switch."""
     parts = NAME_PARTS.findall(name)
     if SWITCHES.intersection(parts):
-        return False
+        return ""
     # the header of an article is its own headline
-    return any(x in NEVER_NAMES and not (in_article and x == "header") for x in (name, *parts[:1], *parts[-1:]))
+    found = [x for x in (name, *parts[:1], *parts[-1:]) if x in NEVER_NAMES and not (in_article and x == "header")]
+    if name in FIRM_NAMES or READER_NAMES.intersection(found):
+        return "firm"
+    return "vote" if found else ""
 
 
 def is_article(tag: str, attrs: dict[str, str]) -> bool:
@@ -101,7 +122,9 @@ def is_article(tag: str, attrs: dict[str, str]) -> bool:
 
 def blocks_of(page: str) -> Iterator[Block]:
     """Blocks of wanted text in page order."""
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, unwanted, in article, in link; each holds for what is inside
+    # tag, unwanted, article mark, in link, elements with names against them; each holds for what is inside
+    stack: list[tuple[str, bool, int, bool, tuple[int, ...]]] = []
+    marks = elements = 0
     parts: list[str] = []
     links = 0
     unclosed: set[str] = set()
@@ -110,7 +133,7 @@ def blocks_of(page: str) -> Iterator[Block]:
         nonlocal links
         text = " ".join("".join(parts).split())
         if text:
-            yield Block(text, links, stack[-1][2] if stack else False)
+            yield Block(text, links, *((stack[-1][2], stack[-1][4]) if stack else (0, ())))
         parts.clear()
         links = 0
 
@@ -156,7 +179,7 @@ def blocks_of(page: str) -> Iterator[Block]:
                 if stack[k][0] in BLOCK_TAGS:
                     break
         attrs = attributes(found[3]) if found[3].strip(" /\n\t") else {}
-        over = stack[-1] if stack else ("", False, False, False)
+        over = stack[-1] if stack else ("", False, 0, False, ())
         if tag in RAW_TAGS:  # their content is no markup
             if tag in ("svg", "math") and found[3].rstrip().endswith("/"):
                 continue
@@ -171,37 +194,66 @@ def blocks_of(page: str) -> Iterator[Block]:
             continue
         if found[3].rstrip().endswith("/") and tag not in BLOCK_TAGS and tag != "a":
             continue
-        inside = over[2] or is_article(tag, attrs)
-        stack.append((tag, over[1] or unwanted(tag, attrs, inside), inside, over[3] or tag == "a"))
+        mark, named, elements = over[2], over[4], elements + 1
+        if not mark and is_article(tag, attrs):
+            mark = marks = marks + 1
+        says = against(tag, attrs, bool(mark))
+        if says == "vote":
+            named += (elements,)
+        stack.append((tag, over[1] or says == "firm" or unwanted(tag, attrs, bool(mark)), mark, over[3] or tag == "a", named))
     yield from block()
 
 
-def first_pass(block: Block, marked: bool) -> bool | None:
-    """True: good, False: bad, None: ambiguous."""
-    chars = max(1, len(block.text.replace(" ", "")))
-    if block.link_chars / chars > MAX_LINK_DENSITY or marked and not block.in_article:
+def by_rules(block: Block, marked: bool) -> bool | None:
+    """Label by link density, length and stop-word density; True: good, False: bad, None: ambiguous. ``marked``: with an article's thresholds."""
+    if block.link_chars > MAX_LINK_DENSITY * max(1, block.chars):
         return False
+    words = LETTERS.findall(block.text.lower())
+    density = sum(w in STOPS for w in words) / max(1, len(words))
     if marked:
+        return True if len(block.text) >= SHORT_CHARS or density >= STOPS_LOW else None
+    if len(block.text) >= SHORT_CHARS and (density >= STOPS_HIGH or len(block.text) >= LONG_CHARS and density >= STOPS_LOW):
         return True
-    words = block.text.lower().split()
-    density = sum(w.strip(".,;:!?\"'()") in STOPS for w in words) / len(words)
-    if len(block.text) < SHORT_CHARS:
-        return False if block.link_chars else None
-    if density >= STOPS_HIGH or len(block.text) >= LONG_CHARS and density >= STOPS_LOW:
-        return True
-    return None if density >= STOPS_LOW or len(block.text) >= LONG_CHARS else False
-
-
-def second_pass(labels: list[bool | None]) -> list[bool]:
-    """Ambiguous labels from the nearest decided neighbour; good wins a tie, and where nothing is decided."""
+    doubtful = len(block.text) < SHORT_CHARS or density < STOPS_LOW and len(block.text) < LONG_CHARS
+    return False if doubtful and block.link_chars else None
+
+
+def first_pass(blocks: list[Block]) -> tuple[list[bool | None], bool]:
+    """Labels, and whether the page marks its article."""
+    plain = [by_rules(b, False) for b in blocks]
+    good = lambda some: sum(b.chars for b, p in zip(blocks, plain) if p and some(b))
+    own = sum(b.chars - b.link_chars for b in blocks if b.mark)
+    teasers = good(lambda b: not b.mark) > own and (len({b.mark for b in blocks if b.mark}) > 1 or any(b.link_chars for b in blocks if b.mark))
+    marked = any(b.mark for b in blocks) and not teasers
+    labels = [by_rules(b, True) if marked and b.mark else p for b, p in zip(blocks, plain)]
+    # a wrapper has most of the good text below it
+    held: dict[int, int] = {}
+    total = 0
+    for b, label in zip(blocks, labels):
+        if label and (b.mark or not marked):
+            total += b.chars
+            for element in b.named:
+                held[element] = held.get(element, 0) + b.chars
+    wrappers = {element for element, n in held.items() if 2 * n > total}
+    return [False if marked and not b.mark or set(b.named) - wrappers else label for b, label in zip(blocks, labels)], marked
+
+
+def second_pass(labels: list[bool | None], sides: list[bool] | None = None) -> list[bool]:
+    """Ambiguous labels from the nearest decided neighbour; good wins a tie, and where nothing is decided.
+
+    ``sides``: blocks of one side take labels of their own side only.
+    """
     n = len(labels)
+    sides = sides or [False] * n
 
     def nearest(order: range) -> list[tuple[int, bool | None]]:
         out: list[tuple[int, bool | None]] = [(n + 1, None)] * n
-        distance, last = n + 1, None
+        last: dict[bool, int] = {}
         for i in order:
-            distance, last = (0, labels[i]) if labels[i] is not None else (distance + 1, last)
-            out[i] = (distance, last)
+            if labels[i] is not None:
+                last[sides[i]] = i
+            if sides[i] in last:
+                out[i] = (abs(i - last[sides[i]]), labels[last[sides[i]]])
         return out
 
     decided = []
@@ -212,26 +264,20 @@ def second_pass(labels: list[bool | None]) -> list[bool]:
     return decided
 
 
-def main_text(page: str | None) -> str:
+def labelled(page: str | None) -> list[tuple[Block, bool]]:
+    """All blocks with their final labels."""
     found = list(blocks_of(page or ""))
-    marked = any(b.in_article for b in found)
-    kept = second_pass([first_pass(b, marked) for b in found])
-    return "\n".join(b.text for b, good in zip(found, kept) if good)
+    labels, marked = first_pass(found)
+    return list(zip(found, second_pass(labels, [marked and b.mark > 0 for b in found])))
 
 
-def extract(pages: DataFrame, source: str = "html", keep: tuple[str, ...] = ("page_id", "url"), text: str = "text") -> DataFrame:
-    """The columns in ``keep`` and the main text."""
-    if text in keep:
-        raise ValueError("the names of the output columns clash")
-    rows = pages.select(*keep, F.col(source).cast("string").alias("\0html"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]), f"`{text}` string"])
+def main_text(page: str | None) -> str:
+    return "\n".join(b.text for b, good in labelled(page) if good)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            done = [main_text(p) for p in batch.column(len(keep)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(done, pa.string())], [*keep, text])
 
-    return rows.mapInArrow(run, schema)
+def extract(pages: DataFrame, source: str = "html", keep: tuple[str, ...] = ("page_id", "url"), text: str = "text") -> DataFrame:
+    """The columns in ``keep`` and the main text."""
+    return map_texts(pages, source, keep, f"`{text}` string", lambda: lambda found: ([main_text(p) for p in found],))
 
 
 def op5_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,8 @@ are multiplied once into a table of one row per hash and a mean of its rows is a
 
 Defined results: a NULL text or one without a letter is ``und`` with score 0; without any
 labelled row every text is; ties go to the first language by name; repeated rows are predicted
-alike; NULL languages are not learnt from; further columns are ignored.
+alike; NULL languages are not learnt from; rows with a NULL key are not learnt from and their ``held_out`` is NULL; more than ``MAX_LANGUAGES``
+different labels are an error; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkgrad.llm.slices import map_texts
 from sparkgrad.llm.text import read
 
 BITS = 16
@@ -33,6 +34,7 @@ DIM = 16
 LENGTHS = (2, 3, 4)
 PER_LANGUAGE = 800
 SAMPLE_CHARS = 1_500
+MAX_LANGUAGES = 500  # 2^BITS numbers each are broadcast
 EPOCHS = 6
 BATCH = 32
 RATE = 4.0
@@ -158,7 +160,9 @@ def sample(docs: DataFrame, learn: Column, text: str, label: str) -> tuple[list[
     """About PER_LANGUAGE texts of each language, chosen by a hash of the text, cut to one stretch each."""
     rows = docs.where(learn & F.col(text).isNotNull() & F.col(label).isNotNull()).select(
         F.col(label).cast("string").alias("y"), F.col(text).alias("t"))
-    counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} different languages: not labels of languages")
     if not counts:
         return [], []
     share = F.create_map(*[F.lit(v) for y, n in counts.items() for v in (y, min(1.0, PER_LANGUAGE / n))])
@@ -173,18 +177,8 @@ def sample(docs: DataFrame, learn: Column, text: str, label: str) -> tuple[list[
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns in ``keep`` with lang_pred, score and rejected."""
     held = docs.sparkSession.sparkContext.broadcast(model)  # 2^BITS rows of one number per language
-    source = docs.select(*keep, F.col(text).cast("string").alias("\0text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]),
-                        "lang_pred string", "score double", "rejected boolean"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            done = [held.value.predict(t) for t in batch.column(len(keep)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([d[0] for d in done], pa.string()),
-                                              pa.array([d[1] for d in done], pa.float64()),
-                                              pa.array([d[2] for d in done], pa.bool_())], [*keep, "lang_pred", "score", "rejected"])
-
-    return source.mapInArrow(run, schema)
+    return map_texts(docs, text, keep, "lang_pred string, score double, rejected boolean",
+                     lambda: lambda found: tuple(zip(*[held.value.predict(t) for t in found])))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

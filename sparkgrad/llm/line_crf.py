@@ -7,15 +7,16 @@ recursion the probability that each line is good; the score of the document is
 their mean weighted with the lines' lengths.
 
 Learning: a bounded sample of labelled documents (``SAMPLE_DOCS`` of each label, chosen by hash;
-of each one stretch of at most ``SAMPLE_CHARS`` characters), each line labelled as its document,
-conditional likelihood with an L2 penalty, full gradients by forward-backward in NumPy, Adam.
+of each one stretch of at most ``SAMPLE_CHARS`` characters and ``SAMPLE_LINES`` lines), each line labelled as its document,
+conditional likelihood with an L2 penalty, full gradients by forward-backward in NumPy, Adam. Chains are packed with others of
+about their length, so a long one doesn't widen the rest; the driver holds at most one feature row per sampled line.
 Transitions learnt this way favour few changes of label, so single odd lines count little.
 
 Scoring is one map over Arrow batches and reads whole texts line by line.
 
 Defined results: a NULL, empty or blank text has no line and gets the share of good documents in
 the sample (0.5 without any labelled row); NULL labels are not learnt from; documents labelled twice
-with different labels count with both; of documents that repeat a key one is learnt from; repeated rows are scored alike; further columns are ignored.
+with different labels count with both; of documents that repeat a key one is learnt from; a NULL key is never learnt from and its ``held_out`` is NULL; repeated rows are scored alike; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,15 +28,16 @@ from dataclasses import dataclass, field
 from operator import eq
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkgrad.llm.quality_rules import STOP_WORDS
+from sparkgrad.llm.slices import map_texts
 from sparkgrad.llm.text import read
 
 SAMPLE_DOCS = 1_500
 SAMPLE_CHARS = 6_000
+SAMPLE_LINES = 300
 STEPS = 150
 RATE = 0.08
 PENALTY = 1e-3
@@ -135,7 +137,7 @@ def chain_gradient(unary: np.ndarray, mask: np.ndarray, y: np.ndarray, table: np
     for t in range(m - 2, -1, -1):
         new = lse(table + (score[:, t + 1] + beta[:, t + 1])[:, None, :], 2)
         beta[:, t] = np.where(mask[:, t + 1, None], new, beta[:, t + 1])
-    log_z = lse(alpha[:, -1], 1)
+    log_z = lse(alpha[:, -1], 1)  # what stands behind a chain's end is carried on
     good = np.exp(np.clip(alpha[:, :, 1] + beta[:, :, 1] - log_z[:, None], -60, 0)) * mask
     pair = np.zeros((2, 2))
     for t in range(1, m):
@@ -148,26 +150,35 @@ def chain_gradient(unary: np.ndarray, mask: np.ndarray, y: np.ndarray, table: np
     return float((reached - log_z).sum()), y[:, None] * mask - good, seen - pair
 
 
+def packs(lengths: np.ndarray) -> list[np.ndarray]:
+    """Chains (their numbers) by length: within a pack the longest has less than twice the lines of the shortest."""
+    kind = np.floor(np.log2(lengths)).astype(int) if len(lengths) else np.zeros(0, int)
+    return [np.flatnonzero(kind == k) for k in np.unique(kind)]
+
+
 def train(texts: list[str], labels: list[int]) -> Crf:
-    found = [(f, y) for t, y in zip(texts, labels) if len(f := features(t)[0])]
+    found = [(f[:SAMPLE_LINES].astype(np.float32), y) for t, y in zip(texts, labels) if len(f := features(t)[0])]
     if not found:
         return Crf()
-    y = np.array([b for _, b in found])
-    m = max(len(f) for f, _ in found)
-    x, mask = np.zeros((len(found), m, 3 * N_OWN)), np.zeros((len(found), m), bool)
-    for i, (f, _) in enumerate(found):
-        x[i, :len(f)], mask[i, :len(f)] = f, True
-    flat, rows = x[mask], np.nonzero(mask)
+    parts = []
+    for chains in packs(np.array([len(f) for f, _ in found])):
+        lengths = np.array([len(found[i][0]) for i in chains])
+        mask = np.arange(lengths.max()) < lengths[:, None]
+        parts.append((np.concatenate([found[i][0] for i in chains]), mask, np.array([found[i][1] for i in chains])))
+    share, lines = float(np.mean([b for _, b in found])), sum(mask.sum() for _, mask, _ in parts)
+    del found
     theta = np.zeros(3 * N_OWN + 4)
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
-        unary = np.zeros(mask.shape)
-        unary[rows] = flat @ theta[:-4]
-        _, by_unary, by_table = chain_gradient(unary, mask, y, theta[-4:].reshape(2, 2))
-        grad = np.concatenate([by_unary[rows] @ flat, by_table.ravel()]) / mask.sum() - PENALTY * theta
+        grad = -PENALTY * theta
+        for flat, mask, y in parts:
+            unary = np.zeros(mask.shape)
+            unary[mask] = flat @ theta[:-4]
+            _, by_unary, by_table = chain_gradient(unary, mask, y, theta[-4:].reshape(2, 2))
+            grad += np.concatenate([by_unary[mask] @ flat, by_table.ravel()]) / lines
         mean, square = 0.9 * mean + 0.1 * grad, 0.999 * square + 0.001 * grad**2
         theta += RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
-    return Crf(theta[:-4], theta[-4:].reshape(2, 2), float(y.mean()))
+    return Crf(theta[:-4], theta[-4:].reshape(2, 2), share)
 
 
 def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> tuple[list[str], list[int], float]:
@@ -196,15 +207,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
 def score(docs: DataFrame, model: Crf, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns in ``keep`` and the score."""
-    source = docs.select(*keep, F.col(text).cast("string").alias("\0text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]), "score double"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            done = [model.score(t) for t in batch.column(len(keep)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(done, pa.float64())], [*keep, "score"])
-
-    return source.mapInArrow(run, schema)
+    return map_texts(docs, text, keep, "score double", lambda: lambda found: ([model.score(t) for t in found],))
 
 
 def op4_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:

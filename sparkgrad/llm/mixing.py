@@ -2,7 +2,7 @@
 
 Targets: all words are shared among the sources by weight; a source takes at most
 ``max_copies`` times its own words, and what it can't take is shared again among the rest.
-That is one water level over the table of sources.
+That is one water level over the table of sources, found by raising it until no further source is capped.
 
 A document of a source with target / size = 1.3 is wanted 1.3 times: once for certain, and once
 more with probability 0.3. The fractions are rounded together, not one by one: two documents
@@ -18,18 +18,19 @@ blocks forms one of the next level. A source with a third of all rows is thereby
 expressions only; all randomness is a hash of ``seed`` and the keys, so reruns agree.
 
 Defined results: NULL is a source of its own, last in the order; NULL, empty and blank texts
-have size 0 and take 0 words; rows equal in source, key and size are one unit and are taken
-equally often; an empty table gives an empty result. The table of sources (a name and a
-few numbers each) is ranked in one task.
+have size 0 and take 0 words; rows equal in source, key, size and text hash are one unit and are taken
+equally often; an empty table gives an empty result. Sources may be many: they are ranked by name with a range partitioning
+and their level is found with sums.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkgrad.llm.text import free_name, let, n_words, read, unit
 from sparkgrad.session import materialize
+from sparkgrad.sources.row_ids import assign_row_ids_by
 
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
@@ -40,20 +41,21 @@ SEED = 8
 
 def targets(units: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
     """Per source: source, source_size, n_units, target. ``units`` has source, size, n."""
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    by_cap = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
     sources = units.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"),
                                           F.count("*").alias("n_units"))
-    ranked = sources.withColumn("weight", F.get(
-        F.array(*[F.lit(float(w)) for w in weights]), (F.row_number().over(by_name) - 1) % len(weights))
-    ).withColumn("cap", (F.col("source_size") * max_copies).cast("double"))
-    # the level at which the caps below are used up; it is highest at the first source that isn't capped
-    spent = F.coalesce(F.sum("cap").over(by_cap.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    left = F.sum("weight").over(by_cap.rowsBetween(0, Window.unboundedFollowing))
-    total = F.sum("source_size").over(Window.partitionBy()).cast("double")
-    level = ranked.withColumn("level", (total - spent) / left)
-    return level.select("source", "source_size", "n_units", F.least(
-        "cap", F.max("level").over(Window.partitionBy()) * F.col("weight")).alias("target"))
+    named = sources.withColumn("name", F.struct(F.col("source").isNull().alias("last"), F.col("source").alias("source")))
+    ranked = materialize(assign_row_ids_by(named, "name", "rank").withColumn("weight", F.get(
+        F.array(*[F.lit(float(w)) for w in weights]), ((F.col("rank") - 1) % len(weights)).cast("int"))
+    ).withColumn("cap", (F.col("source_size") * max_copies).cast("double")), "mix-sources")
+    level, capped = 0.0, None
+    while True:  # a higher level caps more sources, which raises it again
+        full = F.col("cap") < F.lit(level) * F.col("weight")
+        r = ranked.agg(F.sum(F.col("source_size").cast("double")).alias("total"), F.coalesce(F.sum(F.when(full, F.col("cap"))), F.lit(0.0)).alias("spent"),
+                       F.sum(F.when(~full, F.col("weight"))).alias("left"), F.coalesce(F.sum(full.cast("long")), F.lit(0)).alias("n")).first()
+        if r["n"] == capped or not r["left"]:
+            break
+        level, capped = (r["total"] - r["spent"]) / r["left"], r["n"]
+    return ranked.select("source", "source_size", "n_units", F.least("cap", F.lit(level) * F.col("weight")).alias("target"))
 
 
 def meet(r: Column, x: Column, seed: int) -> Column:
@@ -63,12 +65,12 @@ def meet(r: Column, x: Column, seed: int) -> Column:
     sizes = F.struct(F.least(room_r, has_x).alias("up"), F.least(has_r, room_x).alias("down"))
 
     def move(s: Column) -> Column:
-        rises = unit(F.lit(seed), r["id"], r["size"], x["id"], x["size"]) * (s["up"] + s["down"]) < s["down"]
+        rises = unit(F.lit(seed), r["id"], r["size"], r["h"], x["id"], x["size"], x["h"]) * (s["up"] + s["down"]) < s["down"]
 
         def decided(up: Column) -> Column:
             words = F.when(up, s["up"]).otherwise(-s["down"])
             ends = F.when(up, room_r <= has_x).otherwise(has_r <= room_x)
-            one = lambda u, part: F.struct(*[u[c].alias(c) for c in ("size", "id", "n", "base")],
+            one = lambda u, part: F.struct(*[u[c].alias(c) for c in ("size", "id", "h", "n", "base")],
                                            part.alias("part"), u["mass"].alias("mass"))
             clip = lambda p: F.greatest(F.lit(0.0), F.least(F.lit(1.0), p))
             side = up.cast("double")
@@ -109,7 +111,7 @@ def settled(done: Column, r: Column) -> Column:
     What that misses, in words, is closed by decided units that change sides where this brings the sum nearer: a
     unit that is no larger than the gap is taken instead of left out, or the other way round.
     """
-    on = lambda u, part: F.struct(*[u[c].alias(c) for c in ("size", "id", "n", "base")], part.alias("part"), u["mass"].alias("mass"))
+    on = lambda u, part: F.struct(*[u[c].alias(c) for c in ("size", "id", "h", "n", "base")], part.alias("part"), u["mass"].alias("mass"))
     side = F.round(r["part"])
     kept = lambda gap, units: F.struct(gap.alias("gap"), units.alias("units"))
 
@@ -125,29 +127,29 @@ def settled(done: Column, r: Column) -> Column:
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_copies: int = MAX_COPIES, seed: int = SEED,
         key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """Per unit: source, id, size, n (equal rows), source_size, target, copies.
+    """Per unit: source, id, size, h (text hash), n (equal rows), source_size, target, copies.
 
     Writes its intermediates to the shared folder, so the number of levels can be read off.
     """
     spark = docs.sparkSession
-    units = materialize(docs.select(F.col(source).alias("source"), F.col(key).alias("id"), n_words(F.col(text)).alias("size"))
-                        .groupBy("source", "id", "size").agg(F.count("*").alias("n")), "mix-units")
+    units = materialize(docs.select(F.col(source).alias("source"), F.col(key).alias("id"), n_words(F.col(text)).alias("size"),
+                                    F.xxhash64(F.col(text).cast("string")).alias("h")).groupBy("source", "id", "size", "h").agg(F.count("*").alias("n")), "mix-units")
     shares = materialize(targets(units, weights, max_copies), "mix-shares")
     most = shares.agg(F.max("n_units")).first()[0] or 0
     wanted = units.join(shares.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn(
         "ratio", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     wanted = wanted.withColumn("base", F.floor("ratio")).withColumn("part", F.col("ratio") - F.col("base"))
     whole = (F.col("part") == 0) | (F.col("size") == 0)
-    out = ["source", "id", "size", "n", "source_size", "target", "copies"]
+    out = ["source", "id", "size", "h", "n", "source_size", "target", "copies"]
     parts = [wanted.where(whole).withColumn("copies", F.col("base")).select(out)]
     level = wanted.where(~whole).select("source", "source_size", "target", F.pmod(
-        F.xxhash64(F.lit(seed), "id", "size"), F.ceil(F.col("n_units") / BLOCK)).alias("block"), F.struct(
-        "size", "id", "n", "base", "part", (F.col("size") * F.col("n")).cast("double").alias("mass")).alias("u"))
+        F.xxhash64(F.lit(seed), "id", "size", "h"), F.ceil(F.col("n_units") / BLOCK)).alias("block"), F.struct(
+        "size", "id", "h", "n", "base", "part", (F.col("size") * F.col("n")).cast("double").alias("mass")).alias("u"))
     blocks = -(-most // BLOCK)
     while blocks:
         folded = materialize(fold(level, blocks == 1, seed), "mix-level")
         parts.append(folded.select("*", F.explode("done").alias("d")).select(
-            "source", F.col("d.id").alias("id"), F.col("d.size").alias("size"), F.col("d.n").alias("n"), "source_size", "target",
+            "source", F.col("d.id").alias("id"), F.col("d.size").alias("size"), F.col("d.h").alias("h"), F.col("d.n").alias("n"), "source_size", "target",
             (F.col("d.base") + F.col("d.part")).cast("long").alias("copies")))
         level = folded.select(
             "source", "source_size", "target", F.floor(F.col("block") / STRIDE).alias("block"), F.explode("rest").alias("u"))
@@ -161,8 +163,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_copies: int =
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix with the input's columns; one taken three times is there three times."""
     key, text, source = (options.get(c, d) for c, d in (("key", "doc_id"), ("text", "text"), ("source", "source")))
-    taken = mix(docs, **options).where("copies > 0").select("source", "id", "size", F.col("copies").cast("int").alias("copies"))
-    on = (docs[key].eqNullSafe(taken["id"]) & docs[source].eqNullSafe(taken["source"]) & (n_words(docs[text]) == taken["size"]))
+    taken = mix(docs, **options).where("copies > 0").select("source", "id", "h", F.col("copies").cast("int").alias("copies"))
+    on = (docs[key].eqNullSafe(taken["id"]) & docs[source].eqNullSafe(taken["source"]) & (F.xxhash64(docs[text].cast("string")) == taken["h"]))
     copy = free_name(docs.columns, "copy")
     return docs.join(taken, on).select(*[docs[c] for c in docs.columns], F.explode(
         F.sequence(F.lit(1), taken["copies"])).alias(copy)).drop(copy)

@@ -13,15 +13,13 @@ Defined results: words are as in ``simhash``; a text of fewer than five words is
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkgrad.llm.components import components
+from sparkgrad.llm.slices import map_texts
 from sparkgrad.session import materialize
 
 SHINGLE = 5
@@ -62,26 +60,17 @@ def band_keys(found: np.ndarray) -> np.ndarray:
 def sketches(rows: DataFrame) -> DataFrame:
     """(id, text_hash, node, n, keys) of (id, text_hash, t); n is the size of the set."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingle_set(t) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([node_of(s) for s in found], pa.int64()),
-                 pa.array([len(s) for s in found], pa.int64()), pa.array([band_keys(s) for s in found], pa.list_(pa.int64()))],
-                ["id", "text_hash", "node", "n", "keys"])
+    def work(texts):
+        found = [shingle_set(t) for t in texts]
+        return [node_of(s) for s in found], [len(s) for s in found], [band_keys(s) for s in found]
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, text_hash long, node long, n long, keys array<long>")
+    return map_texts(rows, "t", ("id", "text_hash"), "node long, n long, keys array<long>", lambda: work)
 
 
 def sets(texts: DataFrame) -> DataFrame:
     """(node, s) of (node, t)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingle_set(t).view(np.int64) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "s"])
-
-    return texts.select("node", "t").mapInArrow(run, "node long, s array<long>")
+    return map_texts(texts, "t", ("node",), "s array<long>", lambda: lambda found: ([shingle_set(t).view(np.int64) for t in found],))
 
 
 def similar(pairs: DataFrame, known: DataFrame) -> DataFrame:

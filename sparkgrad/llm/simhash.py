@@ -17,16 +17,16 @@ rows that repeat a key are grouped by their texts; an empty table gives an empty
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from itertools import chain, combinations
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkgrad.llm.components import components
+from sparkgrad.llm.slices import map_texts
 from sparkgrad.llm.text import read
 from sparkgrad.session import materialize
 
@@ -54,14 +54,8 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, fp), one row per input row."""
-    source = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("t"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            done = [fingerprint(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(done, pa.int64())], ["id", "fp"])
-
-    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, fp long")
+    source = docs.select(F.col(key).alias("id"), F.col(text).alias("t"))
+    return map_texts(source, "t", ("id",), "fp long", lambda: lambda found: ([fingerprint(t) for t in found],))
 
 
 def balls(radius: int, segments: int) -> list[tuple[int, int, list[int]]]:

@@ -27,11 +27,11 @@ def by_bytes(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> It
 
 
 def map_texts(docs: DataFrame, text: str, keep: Sequence[str], added: str, make: Callable[[], Callable[[list], Sequence]],
-              limit: int = SLICE_BYTES) -> DataFrame:
+              done: Callable[[], None] | None = None, limit: int = SLICE_BYTES) -> DataFrame:
     """The columns in ``keep`` and those of the DDL string ``added``.
 
     ``make`` is called once per task and returns a function from the texts of a slice to the added columns, each a list or
-    an array; what it caches goes with the task.
+    an array; ``done``, if given, is called when the task has no more rows.
     """
     source = docs.select(*keep, F.col(text).cast("string").alias("\0text"))
     new = StructType.fromDDL(added)
@@ -44,8 +44,10 @@ def map_texts(docs: DataFrame, text: str, keep: Sequence[str], added: str, make:
         work = make()
         for batch in batches:
             for part in by_bytes(batch, width, limit):
-                done = work(part.column(width).to_pylist())
+                found = work(part.column(width).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:width], *[pa.array(c, kind) for c, kind in zip(done, kinds, strict=True)]], names)
+                    [*part.columns[:width], *[pa.array(c, kind) for c, kind in zip(found, kinds, strict=True)]], names)
+        if done:
+            done()
 
     return source.mapInArrow(run, StructType([*source.schema.fields[:-1], *new.fields]))

@@ -17,7 +17,10 @@ suffixes are bucketed first, and whole buckets without a repeat never leave thei
    all but its first are repeats.
 4. Repeats meet their document, and the bytes that they cover go.
 
-An anchor with more than ``HOT`` surroundings isn't sorted in one task: its suffixes are split by distance and by a
+Frequent anchors. A phrase of 32 to 99 bytes in every document is one anchor with as many surroundings. Anchors of about ``HOT`` or more
+surroundings are found in a sample of the documents first (at least one in ``SAMPLE_ONE_IN``); the ``HOT_GRAMS`` most frequent are dealt by their
+surroundings in step 2, all others by the anchor, so the largest group has about ``HOT`` rows or one in ``HOT_GRAMS`` of all, whichever is more. The sample only decides how rows
+are dealt; results don't depend on it. In step 3 an anchor with more than ``HOT`` surroundings isn't sorted in one task: its suffixes are split by distance and by a
 longer common string, again and again; strings of full length need no sort but a grouped minimum.
 
 Order: by id, then by a hash of the text (for different texts under one id), then by place. Defined results: a NULL
@@ -29,6 +32,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache, reduce
+from itertools import chain
 from math import isqrt
 
 import numpy as np
@@ -37,6 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkgrad.llm.slices import by_bytes
 from sparkgrad.llm.text import read
 from sparkgrad.session import materialize
 
@@ -45,7 +50,10 @@ GRAM = 32
 PERIOD = 64
 HOT = 20_000
 BUCKET_BYTES = 4 << 20
-MAX_BUCKETS = 1 << 18
+HOT_GRAMS = 1 << 20
+SAMPLE_BYTES = 64 << 20
+SAMPLE_ONE_IN = 1000
+SAMPLE_HITS = 8
 PIECE = 1 << 20
 TOGETHER = 16 << 20
 LAST = (1 << 63) - 1
@@ -151,8 +159,29 @@ def spans_table(ids, ties, owner, start, stop) -> pa.RecordBatch:
 ENTRY = np.dtype([("gram", "<u8"), ("around", "<u8"), ("id", "<i8"), ("tie", "<i8"), ("place", "<i8"), ("left", "<i2"), ("right", "<i2")])
 
 
-def bucketed(texts: DataFrame, length: int, gram: int, buckets: int) -> DataFrame:
-    """Rows of a bucket: anchors as packed columns (block), or a span that is decided already (block NULL)."""
+def hot_grams(texts: DataFrame, length: int, gram: int, total: int) -> np.ndarray:
+    """Hashes of the anchors with about HOT or more surroundings, at most HOT_GRAMS, sorted. ``total``: bytes of all texts."""
+    rate = min(1.0, max(1 / SAMPLE_ONE_IN, SAMPLE_BYTES / max(total, 1)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in by_bytes(batch, 0):
+                found = [anchors(d or b"", length, gram) for d in part.column(0).to_pylist()]
+                pairs = np.unique(np.stack([np.concatenate([f[k] for f in found]) for k in (1, 2)]), axis=1).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["gram", "around"])
+
+    some = texts.where(F.pmod(F.xxhash64("id", "tie", F.lit("hot")), F.lit(1 << 30)) < rate * (1 << 30)).select("data")
+    counts = some.mapInArrow(run, "gram long, around long").distinct().groupBy("gram").agg(F.count("*").alias("n"))
+    found = counts.where(F.col("n") >= max(SAMPLE_HITS, HOT * rate)).orderBy(F.desc("n"), "gram").limit(HOT_GRAMS).collect()
+    return np.sort(np.array([r["gram"] for r in found], np.int64).view(np.uint64))
+
+
+def bucketed(texts: DataFrame, length: int, gram: int, buckets: int, hot: np.ndarray) -> DataFrame:
+    """Rows of a bucket: anchors as packed columns (block), or a span that is decided already (block NULL).
+
+    An anchor's bucket follows from its hash, or from that of its surroundings if it is one of ``hot``.
+    """
+    hot_held = texts.sparkSession.sparkContext.broadcast(hot)  # at most HOT_GRAMS numbers
     schema = pa.schema([("bucket", pa.int32()), ("id", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("block", pa.binary())])
 
     def rows(ids: np.ndarray, ties: np.ndarray, parts: list[tuple[np.ndarray, ...]], owner: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -164,7 +193,7 @@ def bucketed(texts: DataFrame, length: int, gram: int, buckets: int) -> DataFram
             pa.array((who % buckets).astype(np.int32)), pa.array(ids[who]), pa.array(ties[who]), pa.array(start), pa.array(stop),
             pa.nulls(len(who), pa.binary())], schema=schema)
         head = by[~again]
-        bucket = (h[head] % np.uint64(buckets)).astype(np.int32)
+        bucket = (np.where(np.isin(h[head], hot_held.value), around[head], h[head]) % np.uint64(buckets)).astype(np.int32)
         head, bucket = head[np.argsort(bucket, kind="stable")], np.sort(bucket, kind="stable")
         cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
         packed = []
@@ -206,8 +235,9 @@ def unpack(blocks: list[bytes]) -> list[np.ndarray]:
     return [np.concatenate(c) for c in columns]
 
 
-def classes(anchored: DataFrame, length: int) -> DataFrame:
-    """Spans of repeated surroundings (gram NULL), and first occurrences whose anchor has other surroundings too."""
+def classes(anchored: DataFrame, length: int, hot: np.ndarray) -> DataFrame:
+    """Spans of repeated surroundings (gram NULL), and first occurrences whose anchor has other surroundings too, as all ``hot`` ones do."""
+    hot_held = anchored.sparkSession.sparkContext.broadcast(hot)
     schema = pa.schema([("id", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("gram", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
@@ -224,7 +254,7 @@ def classes(anchored: DataFrame, length: int) -> DataFrame:
         owner, start, stop = merged(owner.ravel(), place[whole] - left[whole], place[whole] + right[whole])
         heads = by[~again]  # still sorted by gram
         equal = gram[heads][1:] == gram[heads][:-1]
-        heads = heads[np.r_[False, equal] | np.r_[equal, False]]
+        heads = heads[np.r_[False, equal] | np.r_[equal, False] | np.isin(gram[heads], hot_held.value)]
         copies = pa.table([pa.array(key[0][owner]), pa.array(key[1][owner]), pa.array(start), pa.array(stop),
                            pa.nulls(len(owner), pa.int64())], schema=schema)
         firsts = pa.table([pa.array(ids[heads]), pa.array(ties[heads]), pa.array(place[heads]), pa.nulls(len(heads), pa.int64()),
@@ -339,8 +369,9 @@ def split_hot(rows: DataFrame, length: int, gram: int) -> tuple[DataFrame, DataF
 def repeats(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Repeated spans (id, tie, start, stop); they may touch and overlap. ``texts``: id, tie, data."""
     total = texts.agg(F.sum(F.octet_length("data"))).first()[0] or 0
-    buckets = int(min(max(1, -(-total // BUCKET_BYTES)), MAX_BUCKETS))
-    found = materialize(classes(bucketed(texts, length, gram, buckets), length), "repeats")
+    buckets = int(max(1, -(-total // BUCKET_BYTES)))
+    hot = hot_grams(texts, length, gram, total)
+    found = materialize(classes(bucketed(texts, length, gram, buckets, hot), length, hot), "repeats")
     spans = [found.where("gram IS NULL").select("id", "tie", "start", "stop")]
     open_ = found.where("gram IS NOT NULL").select("id", "tie", "start", "gram")
     rows = surroundings(texts, open_, length, gram).withColumnRenamed("gram", "key").withColumns(
@@ -384,13 +415,13 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
     """One row per input row: row (struct of the other columns), n_bytes, n_removed, n_spans, kept (bytes), kept_text (whole characters)."""
     texts = numbered(docs, key, text)
     listed = repeats(texts.select("id", "tie", "data"), length, gram).groupBy("id", "tie").agg(
-        F.collect_list(F.struct("start", "stop")).alias("spans"))
+        F.collect_set(F.struct("start", "stop")).alias("spans"))  # identical rows send the same spans
     joined = texts.join(listed, ["id", "tie"], "left").select("row", "data", "spans")
     schema = f"row {joined.schema['row'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept binary, kept_text string"
     names = ["row", "n_bytes", "n_removed", "n_spans", "kept", "kept_text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(by_bytes(b, 1) for b in batches):
             out = []
             for k in range(batch.num_rows):
                 data, spans = batch.column(1)[k].as_py(), batch.column(2)[k].as_py()

@@ -6,6 +6,7 @@ import random
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 import corpus_pipeline
@@ -172,6 +173,34 @@ def test_embeddings_match_brute_force(spark, monkeypatch, tmp_path):
     assert {r[0]: r[1:] for r in database.execute(embedding_pairs.OP3_SQL).fetchall()} == got
 
 
+def test_embeddings_without_ids(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(embedding_pairs, "BLOCK", 20)
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(30, 5))
+    rows = [(None if k % 3 == 0 else k % 50, [float(np.float32(x)) for x in base[k % 30] + rng.normal(size=5) * rng.choice([0, 0.1])]) for k in range(120)]
+    rows += [(None, [9.0, 0.0, 0.0, 0.0, 0.5]), (None, [-1.0, 5.0, 0.0, 0.0, 0.0]), (None, [-1.0, 5.0, 0.0, 0.0, 0.0]), (None, None), (7, None), (None, [0.0] * 5),
+             (500, [0.0, 0.0, -3.0, 9.0, 9.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("num", F.lit("x")).withColumn("first", F.lit(1))
+    got = sorted((tuple(r) for r in embedding_pairs.near_duplicates(frame).collect()), key=str)
+    frame.write.parquet(f"{tmp_path}/embeddings")
+    database = duckdb.connect()
+    database.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings/*.parquet'")
+    assert got == sorted(database.execute(embedding_pairs.OP3_SQL).fetchall(), key=str)
+    assert any(r[0] is None and r[1] and r[2] is not None and not r[3] for r in got) and (None, 1, None, True) in got
+
+
+def test_far_cells_never_meet():
+    rng = np.random.default_rng(6)
+    centres = embedding_pairs.unit_rows(rng.normal(size=(40, 16)))
+    x = embedding_pairs.unit_rows(np.repeat(centres, 50, axis=0) + rng.normal(size=(2000, 16)) * 0.02)
+    c = embedding_pairs.centres(x[::3], 32)
+    to = embedding_pairs.angles(x, c)
+    cell, radius = to.argmin(axis=1), np.array([to[to.argmin(axis=1) == k, k].max(initial=-np.inf) for k in range(len(c))])
+    may = embedding_pairs.may_meet(x, c, radius, 0.9)
+    near = np.argwhere(x @ x.T >= 0.9)
+    assert may[near[:, 0], cell[near[:, 1]]].all() and may.mean() < 0.3
+
+
 def test_embeddings_empty_table(spark):
     assert embedding_pairs.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
@@ -221,6 +250,30 @@ def test_cut_in_pieces_and_with_hot_anchors(spark, monkeypatch):
     check_cut(spark, puzzles()[:40] + puzzles()[-12:])
 
 
+def test_a_phrase_in_every_row_is_dealt_by_its_surroundings(spark, monkeypatch):
+    rng = random.Random(11)
+    phrase = "".join(rng.choice("abcdefgh ") for _ in range(95))
+    other = lambda: "".join(rng.choice("klmnop qrst") for _ in range(120))
+    rows = [(i, other() + phrase + other()) for i in range(400)]
+    rows += [(1000 + i, rows[i][1][30:] + other()) for i in range(40)]
+    texts = suffix_dedup.numbered(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").select("id", "tie", "data")
+    total = sum(len(t) for _, t in rows)
+
+    def largest(hot):
+        sizes = suffix_dedup.bucketed(texts, 100, 32, 40, hot).where("block IS NOT NULL").groupBy("bucket").agg(F.sum(F.octet_length("block")).alias("n"))
+        return max(r["n"] for r in sizes.collect()) / suffix_dedup.ENTRY.itemsize
+
+    none = np.zeros(0, np.uint64)
+    assert len(suffix_dedup.hot_grams(texts, 100, 32, total)) == 0 and largest(none) > 400
+    monkeypatch.setattr(suffix_dedup, "HOT", 50)
+    hot = suffix_dedup.hot_grams(texts, 100, 32, total)
+    assert 0 < len(hot) < 40 and largest(hot) < 200
+    check_cut(spark, rows)
+    monkeypatch.setattr(suffix_dedup, "HOT_GRAMS", 1)
+    assert len(suffix_dedup.hot_grams(texts, 100, 32, total)) == 1
+    check_cut(spark, rows)
+
+
 def test_anchors_of_pieces_are_those_of_the_whole(monkeypatch):
     data = "".join(t or "" for t in TEXTS).encode()
     whole = suffix_dedup.anchors(data, 100, 32)

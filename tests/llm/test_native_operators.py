@@ -1,10 +1,13 @@
 """Sharding, quality rules, mixing: against plain Python on small awkward tables."""
 
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import pytest
+import xxhash
 
 from sparkgrad.llm import mixing, quality_rules, sharding
 from tests.llm.rows import AWKWARD, SCHEMA, frame, sf_documents
@@ -53,6 +56,34 @@ def test_weights_shift_the_shares(spark):
         sharding.shard(frame(spark), [1.0, 0.0])
 
 
+def spark_hash(*parts):
+    """XXH64 over the parts, each with the hash before it as seed; NULLs are skipped. Parts: text, or (number, bytes)."""
+    h = 42
+    for part in parts:
+        if part is None or isinstance(part, tuple) and part[0] is None:
+            continue
+        h = xxhash.xxh64_intdigest(part.encode() if isinstance(part, str) else int(part[0]).to_bytes(part[1], "little", signed=True), h)
+    return h
+
+
+def plain_unit(*parts):
+    return ((spark_hash(*parts) >> 12) + 0.5) / (1 << 52)
+
+
+@pytest.mark.parametrize("weights", [[1.0] * 7, [3.0, 1.0, 0.5, 2.0]])
+def test_the_winner_is_the_highest_score(spark, weights):
+    for r in sharding.shard(frame(spark), weights, 2.5).collect():
+        scores = [-math.log(plain_unit("shard", (r["doc_id"], 8), (s, 4))) / w for s, w in enumerate([*weights, 2.5])]
+        assert r["shard"] == scores[:-1].index(min(scores[:-1])) and r["grown_shard"] == scores.index(min(scores))
+
+
+def test_slots_of_a_hot_identical_row(spark):
+    rows = sharding.shard(spark.createDataFrame([(7, "same")] * 500 + [(k, "x") for k in range(50)], "doc_id long, text string"), [1.0] * 3).collect()
+    assert len({r["shard"] for r in rows if r["doc_id"] == 7}) == 1
+    for shard in range(3):
+        assert sorted(r["slot"] for r in rows if r["shard"] == shard) == list(range(sum(r["shard"] == shard for r in rows)))
+
+
 # ---- quality rules ----
 
 def plain_counts(text):
@@ -85,6 +116,26 @@ def test_rules_keep_the_columns_and_clean_text(spark):
     assert [r["doc_id"] for r in kept.collect()] == [1]
 
 
+def test_stop_words_of_other_scripts_and_cases(spark):
+    english = "The cat And the dog OF The house is In the garden that was on the hill by a river for years with no end".split()
+    russian = "кошка и собака живут в доме у реки который стоит на высоком холме уже много лет и никто не знает почему так вышло здесь".split()
+    none = "xqz vbn wrt plk mnb sdf xcv qwrt zxq vbnm wrtz plkj mnbv sdfg xcvb qwrtz zxqv vbnw wrtp plkm mnbs".split()
+    rows = [(1, " ".join(w.title() if k % 2 else w for k, w in enumerate(english))), (2, " ".join(russian)), (3, " ".join(none)), (4, " ".join(english).upper())]
+    kept = quality_rules.keep_good(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2]
+    counts = {r["doc_id"]: r["_judged"]["counts"] for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert counts[1]["n_stop_words"] == counts[4]["n_stop_words"] >= 14 and counts[2]["n_latin_words"] == 0
+
+
+def test_op7_sql_on_awkward_rows(spark, tmp_path):
+    rows = [(i, t, "en", "a", 1) for i, t in enumerate([*(a[1] for a in AWKWARD), "ΑΒΓ абв ABC İN Kelvin DAS MÁS für FÜR " * 6, "12 34 " * 20, "日本語 テキスト " * 12])]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").write.parquet(f"{tmp_path}/documents.parquet")
+    database = duckdb.connect()
+    database.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    ok, message = compare(spark, database, "op7_quality_rules", str(tmp_path))
+    assert ok, message
+
+
 def test_op7_against_sql(spark, sf_dir):
     ok, message = compare(spark, connect(sf_dir), "op7_quality_rules", sf_dir)
     assert ok, message
@@ -156,6 +207,85 @@ def test_mix_of_awkward_rows(spark):
     assert out.count() == copies
 
 
+def test_different_texts_without_a_key_are_different_units(spark):
+    docs = [(None, "w " * (10 + k % 7) + str(k), "a") for k in range(300)] + [(k, "w " * 20, "b") for k in range(100)]
+    rows = mixing.mix(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()
+    assert max(r["n"] for r in rows) == 1 and len(rows) == 400
+    check_mix(rows, docs)
+
+
+def plain_mix(docs, weights=(5, 2, 1), times=3, seed=8):
+    """The meetings one by one, as the tree deals them."""
+    units = Counter((s, d, size(t), spark_hash(t) if t is not None else 42) for d, t, s in docs)
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    target = plain_targets(Counter({s: sum(n * k[2] for k, n in units.items() if k[0] == s) for s in {k[0] for k in units}}))
+    copies = {}
+    for source in {k[0] for k in units}:
+        own = [(k[2], k[1], signed(k[3]), n) for k, n in units.items() if k[0] == source]
+        total = sum(u[0] * u[3] for u in own)
+        ratio = target[source] / total if total else 0.0
+        base, part = math.floor(ratio), ratio - math.floor(ratio)
+        level = defaultdict(list)
+        blocks = -(-len(own) // mixing.BLOCK)
+        for u in own:
+            if part == 0 or u[0] == 0:
+                copies[source, *u[:3]] = base
+            else:
+                h = signed(spark_hash((seed, 4), (u[1], 8), (u[0], 8), (u[2], 8)))
+                level[h % blocks].append([*u, part])
+        most = max(-(-sum(1 for k in units if k[0] == s) // mixing.BLOCK) for s in {k[0] for k in units})
+        order = lambda u: (u[0], u[1] is not None, u[1] or 0, u[2], u[3], u[4])
+        mass = lambda u: float(u[0] * u[3])
+
+        def meet(r, x):
+            room_r, room_x, has_r, has_x = (1 - r[4]) * mass(r), (1 - x[4]) * mass(x), r[4] * mass(r), x[4] * mass(x)
+            up, down = min(room_r, has_x), min(has_r, room_x)
+            rises = plain_unit((seed, 4), (r[0 + 1], 8), (r[0], 8), (r[2], 8), (x[1], 8), (x[0], 8), (x[2], 8)) * (up + down) < down
+            words = up if rises else -down
+            clip = lambda p: max(0.0, min(1.0, p))
+            if (room_r <= has_x) if rises else (has_r <= room_x):
+                return [*x[:4], clip(x[4] - words / mass(x))], [*r[:4], float(rises)]
+            return [*r[:4], clip(r[4] + words / mass(r))], [*x[:4], 1 - float(rises)]
+
+        while most:
+            last, following = most == 1, defaultdict(list)
+            for block, found in level.items():
+                found = sorted(found, key=order, reverse=True)
+                waits = [] if last else [u for i, u in enumerate(found) if (i + 1) % mixing.STRIDE == 0 or i == len(found) - 1]
+                rest, done = None, []
+                for u in found:
+                    if any(u is w for w in waits):
+                        continue
+                    if rest is None:
+                        rest = u
+                    else:
+                        rest, out = meet(rest, u)
+                        done.append(out)
+                if last:
+                    side = float(math.floor(rest[4] + 0.5))
+                    gap, closed = (rest[4] - side) * mass(rest), [[*rest[:4], side]]
+                    for u in sorted(done, key=order, reverse=True):
+                        wants = gap >= mass(u) if u[4] == 0 else -gap >= mass(u)
+                        if wants:
+                            gap += -mass(u) if u[4] == 0 else mass(u)
+                        closed.append([*u[:4], 1 - u[4] if wants else u[4]])
+                    done = closed
+                else:
+                    following[block // mixing.STRIDE] += ([rest] if rest else []) + waits
+                for u in done:
+                    copies[source, *u[:3]] = base + int(u[4])
+            level, most = following, 0 if last else -(-most // mixing.STRIDE)
+    return copies
+
+
+def test_meetings_match_a_plain_version(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 6)
+    monkeypatch.setattr(mixing, "STRIDE", 3)
+    docs = [(None if i % 11 == 0 else i // 2, "w " * (i * 7 % 40 + 1) + "x" * (i % 2), ["hot", "hot", "a", "b", None][i % 5]) for i in range(300)]
+    rows = mixing.mix(spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(4)).collect()
+    assert {(r["source"], r["size"], r["id"], r["h"]): r["copies"] for r in rows} == plain_mix(docs)
+
+
 @pytest.mark.parametrize("operator", [
     lambda d: sharding.shard(d, [1.0]), quality_rules.keep_good, mixing.mix, mixing.mixed])
 def test_empty_table(spark, operator):

@@ -38,7 +38,7 @@ def test_encode_and_decode_match_the_library(spark, sf_dir, library):
 
 
 def test_digests(spark, library):
-    for r in bpe.digests(bpe.encode(frame(spark), PATH, keep=("doc_id", "text")), ("doc_id", "text")).collect():
+    for r in bpe.digests(frame(spark), PATH, keep=("doc_id", "text")).collect():
         ids, text = expected(library, r["text"])
         assert r["n_tokens"] == len(ids)
         assert r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
@@ -120,5 +120,93 @@ def test_ambiguous_blocks_follow_the_nearest():
     assert html_text.second_pass([None, None]) == [True, True] and html_text.second_pass([]) == []
 
 
+@pytest.mark.parametrize("names", ["login-page", "page-header", "main header-page", "notice-board", "article-tags", "search-results", "ad-free", "banner-top"])
+def test_a_wrapper_is_kept_whatever_its_name(names):
+    page = f"<div class='{names}'><p>{LONG}</p><p>{LONG}</p><div class='ad'>{LONG}</div><div class='promo-box'>{LONG}</div></div><div class='notice'>{LONG}</div>"
+    assert html_text.main_text(page) == f"{LONG}\n{LONG}"
+
+
+def test_teasers_beside_plain_text():
+    cards = "".join(f"<article><h2><a href=x>Story {k}</a></h2><p>More of it is here.</p></article>" for k in range(3))
+    assert html_text.main_text(f"<div>{cards}</div><div><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div>").split("\n")[-3:] == [LONG, "Short.", LONG]
+    one = "<article><a href=x>Story</a> of the day</article>"
+    assert html_text.main_text(f"<p>{LONG}</p><p>{LONG}</p>{one}").split("\n")[:2] == [LONG, LONG]
+
+
+def plain_two_pass(page):
+    """The rules written down once more, block by block, quadratic."""
+    blocks = list(html_text.blocks_of(page))
+
+    def rule(b, marked):
+        size = len(b.text)
+        words = re.findall(r"[^\W\d_]+", b.text.lower())
+        stops = sum(w in html_text.STOPS for w in words) / len(words) if words else 0
+        if b.link_chars > 0.4 * max(1, len(b.text.replace(" ", ""))):
+            return "bad"
+        if marked:
+            return "good" if size >= 70 or stops >= 0.15 else "?"
+        if size >= 200 and stops >= 0.15 or size >= 70 and stops >= 0.3:
+            return "good"
+        if b.link_chars and (size < 70 or size < 200 and stops < 0.15):
+            return "bad"
+        return "?"
+
+    size = lambda b: len(b.text.replace(" ", ""))
+    outside = sum(size(b) for b in blocks if not b.mark and rule(b, False) == "good")
+    inside = [b for b in blocks if b.mark]
+    teasers = outside > sum(size(b) - b.link_chars for b in inside) and (
+        len({b.mark for b in inside}) > 1 or any(b.link_chars for b in inside))
+    marked = bool(inside) and not teasers
+    labels = [rule(b, marked and b.mark > 0) if b.mark or not marked else "bad" for b in blocks]
+    total = sum(size(b) for b, x in zip(blocks, labels) if x == "good")
+    for i, b in enumerate(blocks):
+        for element in b.named:
+            below = sum(size(c) for c, x in zip(blocks, [rule(c, marked and c.mark > 0) if c.mark or not marked else "bad" for c in blocks])
+                        if x == "good" and element in c.named)
+            if 2 * below <= total:
+                labels[i] = "bad"
+    final = []
+    for i, b in enumerate(blocks):
+        if labels[i] != "?":
+            final.append(labels[i] == "good")
+            continue
+        same = [(abs(i - j), labels[j] != "good") for j, c in enumerate(blocks) if labels[j] != "?" and (not marked or (c.mark > 0) == (b.mark > 0))]
+        final.append(not min(same)[1] if same else True)
+    return "\n".join(b.text for b, good in zip(blocks, final) if good)
+
+
+def strange_pages(n):
+    rng = random.Random(5)
+    parts = [f"<p>{LONG}</p>", "<p>Short.</p>", "<p><a href=x>one</a> two</p>", "<article>", "</article>", "<div class='promo-box'>", "</div>", "<div class=ad>",
+             "<p>zxq vbn wrt plk mnb sdf xcv qwrt zxq vbn wrt plk mnb sdf xcv qwrt zxq</p>", "<nav>", "</nav>", "<h2>Head of it</h2>", f"<p>{LONG} {LONG}</p>",
+             f"<p><a href=x>{LONG}</a> and the rest of it</p>", "<div class='has-ads'>", "<ul><li>a<li>b</ul>", "<main>", "</main>", "<div id=page-header>"]
+    return ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 25))) for _ in range(n)]
+
+
+def test_two_passes_against_a_plain_version(spark, sf_dir):
+    pages = [r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    for page in pages + [p.replace("<article>", "").replace("</article>", "") for p in pages] + strange_pages(800):
+        assert html_text.main_text(page) == plain_two_pass(page), page[:300]
+
+
+def test_articles_without_their_mark(spark):
+    lost = total = 0
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        page = r["html"]
+        want = html_text.main_text(page).split("\n")
+        got = html_text.main_text(page.replace("<article>", "").replace("</article>", "")).split("\n")
+        assert set(got) <= set(want)
+        lost, total = lost + sum(w not in got for w in want), total + len(want)
+    assert lost <= 0.02 * total
+
+
+def test_pages_with_clashing_columns(spark):
+    schema = "page_id long, url string, html string, text string, n_chars int, block string"
+    rows = [(1, "u", f"<p>{LONG}", "x", 1, "b"), (1, "u", f"<p>{LONG}", "x", 1, "b"), (None, None, None, None, None, None)]
+    got = html_text.extract(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r["page_id"] or 0, r["text"]) for r in got) == [(0, ""), (1, LONG), (1, LONG)]
+    assert html_text.extract(spark.createDataFrame([], schema)).collect() == []
+
+
 def test_very_long_page():
     assert len(html_text.main_text("<article>" + f"<p>{LONG}</p>" * 20_000)) == 20_000 * (len(LONG) + 1) - 1
