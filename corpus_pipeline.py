@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkgrad.llm import shingles
-from sparkgrad.llm.bpe import digests, encode, vocabulary_path
+from sparkgrad.llm.bpe import digests, vocabulary_path
 from sparkgrad.llm.mixing import mixed
 from sparkgrad.llm.quality_rules import keep_good
 from sparkgrad.llm.simhash import one_of_each
@@ -43,7 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document: doc_id, n_tokens, and digests of the ids and of the decoded text."""
-    return digests(encode(docs, vocabulary_path()))
+    return digests(docs, vocabulary_path())
 
 
 STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup), ("passage_dedup", passage_dedup),
