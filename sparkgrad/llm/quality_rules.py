@@ -8,8 +8,8 @@ Repeated 8-word windows are found inside the row: hashes of all windows, an exac
 for any repeat by a hash set, and only then a sort that brings equal hashes together.
 
 Defined results: a NULL, empty or blank text has zero counts and fails the base rule
-(fewer than 20 words); repeated rows are judged alike; the stop-word rule, whose list is of four languages in Latin letters, passes
-texts that are mostly in other letters; a text all in capitals fails the rule on them whatever its words; an empty table gives an empty
+(fewer than 20 words); repeated rows are judged alike; the stop-word rule, whose list is of four languages in Latin letters (small, capitalised
+or in capitals), passes texts that are mostly in other letters; a text all in capitals fails the rule on them whatever its words; an empty table gives an empty
 result; other columns of the input pass through ``keep_good`` untouched, whatever their names.
 """
 
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from sparkgrad.llm.text import WHITE, free_name, let, read, words
 
 SYMBOLS = "#*$%&|<>"
-CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZÄÖÜÀÂÇÈÉÊËÎÏÔÙÛÁÍÑÓÚ", "abcdefghijklmnopqrstuvwxyzäöüàâçèéêëîïôùûáíñóú"
 WIDTH = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -37,6 +36,9 @@ STOP_WORDS = (
 ).split()
 
 
+STOP_FORMS = sorted({form for w in STOP_WORDS for form in (w, w.capitalize(), w.upper())})
+
+
 @dataclass(frozen=True)
 class Rule:
     """``low <= top / bottom <= high``, both counts from ``measures``; a zero bottom passes."""
@@ -48,10 +50,11 @@ class Rule:
     high: float
 
 
+LEAST_STOPS = 0.04
 RULES = (
     Rule("mean_word_length", "word_chars", "n_words", 2.0, 14.0),
     Rule("symbols_per_word", "n_symbols", "n_words", 0.0, 0.25),
-    Rule("stop_word_share", "n_stop_words", "n_latin_words", 0.04, 1.0),
+    Rule("stop_word_share", "n_stop_words", "n_latin_words", LEAST_STOPS, 1.0),
     Rule("duplicate_line_share", "n_dup_lines", "n_lines", 0.0, 0.5),
     Rule("upper_case_share", "n_upper", "word_chars", 0.0, 0.3),
 )
@@ -98,7 +101,7 @@ def measures(text: Column) -> Column:
     filled = F.coalesce(text.cast("string"), F.lit(""))
 
     def counts(w: Column) -> Column:
-        stop = F.filter(w, lambda x: F.translate(x, CAPITALS, SMALL).isin(STOP_WORDS))
+        stop = F.filter(w, lambda x: x.isin(STOP_FORMS))
         return F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).cast("long").alias("n_repeat_words"),
                         F.size(stop).cast("long").alias("n_stop_words"))
 
@@ -106,13 +109,15 @@ def measures(text: Column) -> Column:
     lines = F.filter(F.split(filled, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     line_counts = let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"),
                                                 F.size(F.array_distinct(x)).cast("long").alias("d")))
+    # only read where stop words are few
     latin = 2 * F.length(F.regexp_replace(filled, r"\P{IsLatin}+", "")) >= F.length(F.regexp_replace(filled, r"\P{L}+", ""))
     return let(F.struct(let(words(filled), counts).alias("w"), line_counts.alias("l")), lambda m: F.struct(
         m["w"]["n_words"].alias("n_words"),
         F.length(F.regexp_replace(filled, WHITE, "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace(filled, f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
         (m["l"]["n"] - m["l"]["d"]).alias("n_dup_lines"), m["w"]["n_repeat_words"].alias("n_repeat_words"),
-        m["w"]["n_stop_words"].alias("n_stop_words"), F.when(latin, m["w"]["n_words"]).otherwise(0).alias("n_latin_words"),
+        m["w"]["n_stop_words"].alias("n_stop_words"), F.when(
+            m["w"]["n_stop_words"] >= LEAST_STOPS * m["w"]["n_words"], m["w"]["n_words"]).when(latin, m["w"]["n_words"]).otherwise(0).alias("n_latin_words"),
         F.length(F.regexp_replace(filled, r"\P{Lu}+", "")).cast("long").alias("n_upper"),
         m["l"]["n"].alias("n_lines")))
 
@@ -172,8 +177,8 @@ m AS (SELECT d.doc_id, len(w)::BIGINT AS n_words,
     length(regexp_replace(text, '[^{SYMBOLS}]+', '', 'g'))::BIGINT AS n_symbols,
     (len(ln) - len(list_distinct(ln)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
     len(ln)::BIGINT AS n_lines,
-    len(list_filter(w, lambda x: list_contains([{", ".join(f"'{x}'" for x in STOP_WORDS)}], translate(x, '{CAPITALS}', '{SMALL}'))))::BIGINT AS n_stop_words,
-    CASE WHEN 2 * length(regexp_replace(text, '\P{{Latin}}+', '', 'g')) >= length(regexp_replace(text, '\P{{L}}+', '', 'g')) THEN len(w) ELSE 0 END::BIGINT AS n_latin_words,
+    len(list_filter(w, lambda x: list_contains([{", ".join(f"'{x}'" for x in STOP_FORMS)}], x)))::BIGINT AS n_stop_words,
+    CASE WHEN n_stop_words >= {LEAST_STOPS}::DOUBLE * len(w) OR 2 * length(regexp_replace(text, '\P{{Latin}}+', '', 'g')) >= length(regexp_replace(text, '\P{{L}}+', '', 'g')) THEN len(w) ELSE 0 END::BIGINT AS n_latin_words,
     length(regexp_replace(text, '\P{{Lu}}+', '', 'g'))::BIGINT AS n_upper
   FROM d LEFT JOIN rep USING (doc_id)),
 b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m)

@@ -5,8 +5,10 @@ Candidates share at least one of 16 bands of four minima (MinHash): a pair at th
 1 - (1 - 0.8^4)^16 = 0.9998, a more similar one with more. A candidate is linked only after its two sets are compared.
 A fingerprint radius would not do here: at similarity 0.8 about ten of 64 bits differ.
 
-Equal sets are one node from the start. First each member of a band's bucket is compared with the bucket's least and greatest node,
-which is linear in the bucket; only what is not yet in one component then is compared pair by pair, within its bucket.
+Equal sets are one node from the start. First each member of a band's bucket is compared with the bucket's least and greatest node, then, where
+members are still apart, with ``HUBS`` more that a hash picks: both are linear in the bucket. Only what is not yet in one component then is
+compared pair by pair, within its bucket, and of that only nodes that can be similar to any other at all: a partner has to
+share four fifths of a node's shingles, so a node that has more than a fifth to itself among the open ones has none. No pair at the threshold is lost by this.
 
 Defined results: words are as in ``simhash``; a text of fewer than five words is one shingle, and texts without a word are one node.
 """
@@ -15,7 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkgrad.llm.components import components
@@ -26,6 +28,7 @@ SHINGLE = 5
 SEED = 42
 TOP, BOTTOM = 4, 5  # least similarity as a fraction
 BANDS, ROWS = 16, 4
+HUBS = 4
 CHUNK = 1 << 14
 
 _random = np.random.Generator(np.random.PCG64(SEED))
@@ -101,16 +104,42 @@ def groups(rows: DataFrame) -> DataFrame:
 
     named = lambda df, roots: df.join(roots.withColumnRenamed("node", "known"), F.col("node") == F.col("known"), "left").withColumn(
         "root", F.coalesce("root", "node")).drop("known")
-    rooted = materialize(named(members.drop("low", "high"), roots), "shingle-rooted")
-    open_ = rooted.groupBy("band", "at").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 < r2").select("band", "at")
-    left = rooted.join(open_, ["band", "at"])
-    a = left.select("band", "at", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "keys", "root")])
-    b = left.select("band", "at", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "keys", "root")])
-    met = F.array_position(F.zip_with("keys_a", "keys_b", lambda x, y: x == y), True) == F.col("band") + 1  # in no earlier band
-    pairs = a.join(b, ["band", "at"]).where(
-        (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
-        & (BOTTOM * F.least("n_a", "n_b") >= TOP * F.greatest("n_a", "n_b"))).where(met)
-    more = materialize(similar(pairs.select(F.col("node_a").alias("u"), F.col("node_b").alias("v")), known), "shingle-links")
-    if not more.isEmpty():
-        roots = components(links.unionByName(more))
+
+    def apart(roots: DataFrame) -> DataFrame:
+        """Members of the buckets that hold more than one component."""
+        rooted = materialize(named(members.drop("low", "high"), roots), "shingle-rooted")
+        open_ = rooted.groupBy("band", "at").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 < r2").select("band", "at")
+        return materialize(rooted.join(open_, ["band", "at"]), "shingle-apart")
+
+    def met_first(a: str, b: str) -> Column:
+        return F.array_position(F.zip_with(a, b, lambda x, y: x == y), True) == F.col("band") + 1  # in no earlier band
+
+    def alike(a: str, b: str) -> Column:
+        return BOTTOM * F.least(a, b) >= TOP * F.greatest(a, b)
+
+    left = apart(roots)
+    if not left.isEmpty():
+        draw = F.struct(F.xxhash64("node", "band").alias("draw"), "node", "root", "n")
+        hubs = left.groupBy("band", "at", F.pmod(F.xxhash64("node"), F.lit(HUBS)).alias("hub")).agg(F.min(draw).alias("h")).groupBy(
+            "band", "at").agg(F.collect_list("h").alias("hubs"))  # HUBS at most
+        spokes = left.join(hubs, ["band", "at"]).select("node", "root", "n", F.explode("hubs").alias("h")).where(
+            (F.col("root") != F.col("h.root")) & alike("n", "h.n"))
+        links = materialize(links.unionByName(similar(spokes.select(
+            F.least("node", "h.node").alias("u"), F.greatest("node", "h.node").alias("v")).distinct(), known)), "shingle-links")
+        roots = materialize(components(links), "shingle-roots")
+        left = apart(roots)
+    if not left.isEmpty():
+        open_sets = known.join(left.select("node").distinct(), "node")
+        tokens = open_sets.select("node", F.size("s").alias("size"), F.explode("s").alias("token"))
+        shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token")
+        able = tokens.join(shared, "token").groupBy("node", "size").agg(F.count("*").alias("common")).where(
+            BOTTOM * F.col("common") >= TOP * F.col("size")).select(F.col("node").alias("able"))
+        left = materialize(left.join(able, F.col("node") == F.col("able"), "left_semi"), "shingle-able")
+        a = left.select("band", "at", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "keys", "root")])
+        b = left.select("band", "at", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "keys", "root")])
+        pairs = a.join(b, ["band", "at"]).where(
+            (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & alike("n_a", "n_b")).where(met_first("keys_a", "keys_b"))
+        more = materialize(similar(pairs.select(F.col("node_a").alias("u"), F.col("node_b").alias("v")), known), "shingle-links")
+        if not more.isEmpty():
+            roots = components(links.unionByName(more))
     return named(prints.select("id", "text_hash", "node"), roots).select("id", "text_hash", "root")
