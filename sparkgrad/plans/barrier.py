@@ -2,7 +2,8 @@
 
 Every task keeps its share of the images in memory, adds up its gradients, and gathers those of all others; all then make the same update and
 go on. A version is written every ``every`` steps, so a lost executor repeats those at most: Spark starts the whole barrier stage again from
-the version before. For networks and batches of bounded size; ``train`` covers the others.
+the version before. For networks and batches of bounded size; ``train`` covers the others. Images without any known feature teach
+nothing; without any image the parameters stay as they are.
 """
 
 from __future__ import annotations
@@ -61,9 +62,10 @@ def parameter_batch(net: Network, m: dict[str, np.ndarray]) -> pa.RecordBatch:
                                       ["layer", "out", "in", "w"])
 
 
-def steps_in_one_job(images: DataFrame, state: State, opts: Options, steps: int, tasks: int) -> DataFrame:
+def steps_in_one_job(images: DataFrame, state: State, opts: Options, steps: int, tasks: int, held: list) -> DataFrame:
     """(layer, out, in, w) after ``steps`` steps over all images."""
     net, shipped = state.net, images.sparkSession.sparkContext.broadcast(state.arrays())  # size checked by the caller
+    held.append(shipped)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = BarrierTaskContext.get()
@@ -101,7 +103,14 @@ def train_barrier(images: DataFrame, state: State, store: ParamStore, opts: Opti
     if not state.stored:
         state = store.save(state.net, state.params, state.iteration)
     last = state.iteration + steps
+    if images.where(C.has_value("x")).isEmpty():  # Spark drops a stage without input, and with it the parameters that task 0 returns
+        return store.save(state.net, state.params, last)
     while state.iteration < last:
         some = min(every, last - state.iteration)
-        state = store.save(state.net, steps_in_one_job(images, state, opts, some, tasks), state.iteration + some)
+        held: list = []
+        try:
+            state = store.save(state.net, steps_in_one_job(images, state, opts, some, tasks, held), state.iteration + some)
+        finally:
+            for shipped in held:  # each leaves a file on the driver
+                shipped.destroy()
     return state

@@ -25,23 +25,26 @@ def logits(images: DataFrame, state: State, engine: str | None = None) -> DataFr
     return score(images, State(net, state.params), engine).withColumnRenamed("p", "z")
 
 
-def score(images: DataFrame, state: State, engine: str | None = None) -> DataFrame:
+def score(images: DataFrame, state: State, engine: str | None = None, held: list | None = None) -> DataFrame:
     """(id, label, p ARRAY<DOUBLE>) for every image, in the form that suits the shape."""
     engine = engine or state.net.engine
     if engine == "long":
         return score_long(images, state)
-    return unit_values(images, state, engine).select("id", "label", "p")
+    return unit_values(images, state, engine, held).select("id", "label", "p")
 
 
-def unit_values(images: DataFrame, state: State, engine: str | None = None) -> DataFrame:
-    """(id, label, a, p): hidden activations and outputs of every image; map-only but for the long form."""
+def unit_values(images: DataFrame, state: State, engine: str | None = None, held: list | None = None) -> DataFrame:
+    """(id, label, a, p): hidden activations and outputs of every image; map-only but for the long form.
+
+    Broadcasts that the result needs are added to ``held``, to be destroyed after use.
+    """
     engine = engine or state.net.engine
     if engine == "long":
         return values_long(images, state)
     if engine == "columns":
         return score_unrolled(images, state)
     if engine == "block":
-        return score_blocks(images, state)
+        return score_blocks(images, state, held)
     return activations(images, state).select("id", "label", "a", "p")
 
 
@@ -78,10 +81,12 @@ def _output_long(a: DataFrame, state: State) -> DataFrame:
     return z.selectExpr(*_KEYS, f"{C.activation(net.output, 'z')} AS p")
 
 
-def score_blocks(images: DataFrame, state: State) -> DataFrame:
+def score_blocks(images: DataFrame, state: State, held: list | None = None) -> DataFrame:
     """(id, label, a, p) by one pair of matrix products per Arrow batch; map-only."""
     sc = images.sparkSession.sparkContext
     net, shipped = state.net, sc.broadcast(state.arrays())  # size checked by arrays()
+    if held is not None:
+        held.append(shipped)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shipped.value
@@ -105,7 +110,7 @@ def output_rows(scored: DataFrame) -> DataFrame:
     return array_to_rows(scored, ["id"], "p", "output", "p")
 
 
-def predict(images: DataFrame, state: State, engine: str | None = None) -> DataFrame:
+def predict(images: DataFrame, state: State, engine: str | None = None, held: list | None = None) -> DataFrame:
     """(id, label, prediction); map-only in the array and block forms."""
-    scored = score(images, state, engine)
+    scored = score(images, state, engine, held)
     return scored.selectExpr("id", "label", f"{C.argmax('p')} AS prediction")

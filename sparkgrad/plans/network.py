@@ -124,10 +124,12 @@ def pack_models(params: DataFrame, net: Network, *by: str) -> DataFrame:
     if net.n_params > MAX_BROADCAST_PARAMS:
         raise ValueError("parameter set too large to pack into one row; use the long form")
     # In key order the values form runs of (bias, weights), one run per output: -1 sorts first.
-    ordered = "transform(array_sort(collect_list(struct(layer, out, `in`, w))), s -> s.w)"
-    exact = f"count(1) = {net.n_params} AND count(DISTINCT layer, out, `in`) = {net.n_params}"
+    # sorted, so a repeated key stands next to itself
+    repeated = ("exists(sequence(1, size(rows) - 1), i -> rows[i].layer = rows[i - 1].layer AND rows[i].out = rows[i - 1].out "
+                "AND rows[i].`in` = rows[i - 1].`in`)")
     wrong = f"raise_error('a parameter set needs {net.n_params} rows with different keys')"
-    whole = params.groupBy(*by).agg(F.expr(f"CASE WHEN {exact} THEN {ordered} ELSE {wrong} END AS ws"))
+    sorted_rows = params.groupBy(*by).agg(F.expr("array_sort(collect_list(struct(layer, out, `in`, w))) AS rows"))
+    whole = sorted_rows.selectExpr(*by, f"CASE WHEN size(rows) = {net.n_params} AND NOT {repeated} THEN transform(rows, s -> s.w) ELSE {wrong} END AS ws")
 
     def part(layer: int, at: str) -> str:
         n_in, n_out = net.width(layer)

@@ -62,9 +62,14 @@ class TrainLog:
         self.spark, self.path = spark, path or scratch_path(spark, "train-log")
 
     def write(self, images: DataFrame, state: State, engine: str | None = None) -> None:
-        units = unit_values(images, state, engine)
-        append_log(units.selectExpr("current_timestamp() AS insert_time", "id", "label", f"{C.argmax('p')} AS prediction", "a", "p"),
-                   self.path, state.iteration)
+        held: list = []
+        units = unit_values(images, state, engine, held)
+        try:
+            append_log(units.selectExpr("current_timestamp() AS insert_time", "id", "label", f"{C.argmax('p')} AS prediction", "a", "p"),
+                       self.path, state.iteration)
+        finally:
+            for shipped in held:  # each leaves a file on the driver
+                shipped.destroy()
 
     def read(self) -> DataFrame:
         return read_log(self.spark, self.path)

@@ -33,7 +33,12 @@ def embedding_stream(spark: SparkSession, folder: str) -> DataFrame:
 def score_stream(images: DataFrame, state: State, log_path: str, checkpoint: str) -> StreamingQuery:
     """Score arriving images and append (iter, id, label, prediction) to the log."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_log(predict(batch, state), log_path, batch_id)
+        held: list = []
+        try:
+            append_log(predict(batch, state, held=held), log_path, batch_id)
+        finally:
+            for shipped in held:  # a stream would leave one file on the driver per micro-batch
+                shipped.destroy()
 
     return _start(images, write, checkpoint)
 
