@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from sparkgrad.functions import columns as C
-from sparkgrad.functions.blocks import to_matrix
+from sparkgrad.functions.blocks import list_array, to_matrix
 from sparkgrad.operators.gradients import delta_body, gradient_sums, mean_gradients
 from sparkgrad.operators.update import sgd_update
 from sparkgrad.operators.layers import dense_rows, softmax_rows
@@ -29,7 +29,6 @@ from sparkgrad.plans.network import Network, State, image_outputs, matrices, pac
 from sparkgrad.plans.unrolled import MAX_UNROLLED_PARAMS, unrolled_sums
 from sparkgrad.session import MAX_BROADCAST_PARAMS, materialize, scratch_path
 from sparkgrad.sources.schemas import BIAS_KEY, INT, PARAMS
-from sparkgrad.sources.sinks import append_log, read_log
 
 
 @dataclass(frozen=True)
@@ -52,27 +51,41 @@ class Options:
 
 
 class TrainLog:
-    """Predictions of a training run, ``<path>/iter=k`` for the images of the step that starts from version k.
+    """Predictions of a training run, ``<path>/iter=k/part=rows`` for the images of the step that starts from version k.
 
     Rows (iter, insert_time, id, label, prediction, a, p). ``iter`` orders the log: all rows of a step share
-    the time of its insert. A step that runs again replaces its own rows.
+    the time of its insert. A step that runs again replaces its own rows. In the block form a step's gradient sums
+    come from the same scan and lie beside its rows, in ``part=sums``.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark, self.path = spark, path or scratch_path(spark, "train-log")
 
+    def _write(self, tagged: DataFrame, state: State) -> str:
+        at = f"{self.path}/iter={state.iteration}"
+        timed = tagged.selectExpr("*", "current_timestamp() AS insert_time", f"{C.argmax('p')} AS prediction")
+        timed.write.mode("overwrite").partitionBy("part").parquet(at)
+        return at
+
     def write(self, images: DataFrame, state: State, engine: str | None = None) -> None:
         held: list = []
-        units = unit_values(images, state, engine, held)
         try:
-            append_log(units.selectExpr("current_timestamp() AS insert_time", "id", "label", f"{C.argmax('p')} AS prediction", "a", "p"),
-                       self.path, state.iteration)
+            self._write(unit_values(images, state, engine, held).withColumn("part", F.lit("rows")), state)
         finally:
             for shipped in held:  # each leaves a file on the driver
                 shipped.destroy()
 
+    def write_with_sums(self, images: DataFrame, state: State, opts: Options, held: list) -> DataFrame:
+        """The log of a step and its gradient sums (layer, out, in, g_sum, n), from one scan of the batch."""
+        at = self._write(logged_sums(images, state, opts, held), state)
+        sums = self.spark.read.schema("layer int, out int, `in` int, g_sum double, n long, part string").parquet(at)
+        return total_sums(sums.where("part = 'sums'").drop("part"))
+
     def read(self) -> DataFrame:
-        return read_log(self.spark, self.path)
+        """The whole log; filters on ``iter`` prune folders."""
+        rows = "insert_time timestamp, id long, label int, prediction int, a array<double>, p array<double>, iter int, part string"
+        return self.spark.read.schema(rows).parquet(self.path).where("part = 'rows'").select(
+            "iter", "insert_time", "id", "label", "prediction", "a", "p")
 
     def means(self, units: str) -> DataFrame:
         """(iter, unit, value): mean of an array column (a or p) per step and unit, from one scan of the log."""
@@ -210,32 +223,84 @@ def block_sums(images: DataFrame, state: State, opts: Options, back: State | Non
         held.append(shipped)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, n = shipped.value, 0
-        total = {1: np.zeros((net.n_hidden, net.n_in + 1)), 2: np.zeros((net.n_out, net.n_hidden + 1))}
+        m, sums = shipped.value, GradientSums(net, opts)
         for batch in batches:
             x, known = to_matrix(batch.column(1), net.n_in)
             x = x[known]
             label = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False)[known]
-            a, p = forward_block(net, m, x)
-            d2 = output_deltas(net, opts, p, label)
-            e = d2 @ m["back"]
-            d1 = e * (a > 0) if net.hidden == "relu" else e * a * (1.0 - a)
-            total[1] += np.hstack([(d1 if opts.mask_hidden_bias else e).sum(axis=0)[:, None], d1.T @ x])
-            total[2] += np.hstack([d2.sum(axis=0)[:, None], d2.T @ a])
-            n += len(x)
-        if n:
-            for layer, sums in total.items():
-                out, at = np.indices(sums.shape, dtype=np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(sums.size, layer, dtype=np.int32)), pa.array(out.ravel()),
-                     pa.array(at.ravel() + np.int32(BIAS_KEY)), pa.array(sums.ravel()),
-                     pa.array(np.full(sums.size, n, dtype=np.int64))],
-                    names=["layer", "out", "in", "g_sum", "n"])
-
-    partial = images.select("label", "x").mapInArrow(run, "layer int, out int, `in` int, g_sum double, n long")
+            sums.add(x, label, *forward_block(net, m, x), m["back"])
+        if sums.n:
+            yield pa.RecordBatch.from_pydict(sums.columns())
+
+    return total_sums(images.select("label", "x").mapInArrow(run, "layer int, out int, `in` int, g_sum double, n long"))
+
+
+def total_sums(partial: DataFrame) -> DataFrame:
     return partial.groupBy("layer", "out", "in").agg(F.sum("g_sum").alias("g_sum"), F.sum("n").alias("n"))
 
 
+class GradientSums:
+    """Running gradient sums of one task, (out, 1 + in) per layer with the bias in column 0."""
+
+    def __init__(self, net: Network, opts: Options):
+        self.net, self.opts, self.n = net, opts, 0
+        self.total = {1: np.zeros((net.n_hidden, net.n_in + 1)), 2: np.zeros((net.n_out, net.n_hidden + 1))}
+
+    def add(self, x: np.ndarray, label: np.ndarray, a: np.ndarray, p: np.ndarray, back: np.ndarray) -> None:
+        d2 = output_deltas(self.net, self.opts, p, label)
+        e = d2 @ back
+        d1 = e * (a > 0) if self.net.hidden == "relu" else e * a * (1.0 - a)
+        self.total[1] += np.hstack([(d1 if self.opts.mask_hidden_bias else e).sum(axis=0)[:, None], d1.T @ x])
+        self.total[2] += np.hstack([d2.sum(axis=0)[:, None], d2.T @ a])
+        self.n += len(x)
+
+    def columns(self) -> dict[str, pa.Array]:
+        """One row per parameter: layer, out, in, g_sum, n."""
+        at = {layer: np.indices(sums.shape, dtype=np.int32) for layer, sums in self.total.items()}
+        joined = {
+            "layer": [np.full(sums.size, layer, dtype=np.int32) for layer, sums in self.total.items()],
+            "out": [out.ravel() for out, _ in at.values()],
+            "in": [place.ravel() + np.int32(BIAS_KEY) for _, place in at.values()],
+            "g_sum": [sums.ravel() for sums in self.total.values()],
+            "n": [np.full(sums.size, self.n, dtype=np.int64) for sums in self.total.values()],
+        }
+        return {name: pa.array(np.concatenate(parts)) for name, parts in joined.items()}
+
+
+_LOGGED = pa.schema([("part", pa.string()), ("id", pa.int64()), ("label", pa.int32()), ("a", pa.list_(pa.float64())),
+                     ("p", pa.list_(pa.float64())), ("layer", pa.int32()), ("out", pa.int32()), ("in", pa.int32()),
+                     ("g_sum", pa.float64()), ("n", pa.int64())])
+
+
+def logged_sums(images: DataFrame, state: State, opts: Options, held: list) -> DataFrame:
+    """One pass over the batch: rows tagged ``rows`` (id, label, a, p of every image), and after them one set of
+    gradient sums per task tagged ``sums``. Columns of the other tag are NULL."""
+    net = state.net
+    shipped = images.sparkSession.sparkContext.broadcast(state.arrays())  # size checked by arrays()
+    held.append(shipped)
+
+    def tagged(part: str, columns: dict[str, pa.Array]) -> pa.RecordBatch:
+        size = len(next(iter(columns.values())))
+        columns["part"] = pa.array([part] * size)
+        return pa.RecordBatch.from_arrays(
+            [columns[f.name].cast(f.type) if f.name in columns else pa.nulls(size, f.type) for f in _LOGGED], schema=_LOGGED)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, sums = shipped.value, GradientSums(net, opts)
+        for batch in batches:
+            x, known = to_matrix(batch.column(2), net.n_in)
+            a, p = forward_block(net, m, x)
+            label = batch.column(1).fill_null(-1).to_numpy(zero_copy_only=False)
+            sums.add(x[known], label[known], a[known], p[known], m["w2"])
+            yield tagged("rows", {"id": batch.column(0), "label": batch.column(1),
+                                  "a": list_array(a, known), "p": list_array(p, known)})
+        if sums.n:
+            yield tagged("sums", sums.columns())
+
+    return images.select("id", "label", "x").mapInArrow(
+        run, "part string, id long, label int, a array<double>, p array<double>, layer int, out int, `in` int, g_sum double, n long")
+
+
 def output_deltas(net: Network, opts: Options, p: np.ndarray, label: np.ndarray) -> np.ndarray:
     if net.output == "sigmoid":
         return (p - np.asarray(opts.target)) * p * (1.0 - p)
@@ -245,23 +310,36 @@ def output_deltas(net: Network, opts: Options, p: np.ndarray, label: np.ndarray)
 
 def step(images: DataFrame, state: State, store: ParamStore, opts: Options, engine: str | None = None,
          log: TrainLog | None = None) -> State:
-    """One gradient step on a batch: one job that writes the next version, and one before it for the log, if any."""
-    if log is not None:
-        log.write(images, state, engine)
+    """One gradient step on a batch that writes the next version.
+
+    With a log the block form writes both from one scan; the other forms, and the hidden error by updated weights,
+    write the log in a job before it.
+    """
     held: list = []
     try:
+        if log is not None and (engine or state.net.engine) == "block" and opts.hidden_error_weights == "old":
+            return _moved(mean_gradients(log.write_with_sums(images, state, opts, held)), state, store, opts)
+        if log is not None:
+            log.write(images, state, engine)
         return _step(images, state, store, opts, engine, held)
     finally:
         for shipped in held:  # each leaves a file on the driver
             shipped.destroy()
 
 
+def _bounds(state: State, opts: Options) -> dict:
+    return {"clip": opts.clip, "clip_layers": opts.clip_layers, "update_bias": opts.update_bias,
+            "small": state.fits_broadcast}
+
+
+def _moved(g: DataFrame, state: State, store: ParamStore, opts: Options) -> State:
+    return store.save(state.net, sgd_update(state.params, g, opts.lr, **_bounds(state, opts)), state.iteration + 1)
+
+
 def _step(images: DataFrame, state: State, store: ParamStore, opts: Options, engine: str | None, held: list) -> State:
-    bound = {"clip": opts.clip, "clip_layers": opts.clip_layers, "update_bias": opts.update_bias,
-             "small": state.fits_broadcast}
     if opts.hidden_error_weights == "old":
-        g = gradients(images, state, opts, engine, shipped=held)
-        return store.save(state.net, sgd_update(state.params, g, opts.lr, **bound), state.iteration + 1)
+        return _moved(gradients(images, state, opts, engine, shipped=held), state, store, opts)
+    bound = _bounds(state, opts)
     # Output layer first; the hidden error then reads its updated weights.
     g2 = gradients(images, state, opts, engine, shipped=held).where(F.col("layer") == 2)
     moved = ParamStore(store.spark).save(state.net, sgd_update(state.params, g2, opts.lr, **bound), state.iteration + 1)

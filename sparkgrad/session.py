@@ -20,6 +20,8 @@ def build_session(app: str = "sparkgrad", master: str | None = None, **conf) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # a write into a few folders keeps one file open for each, in place of a sort by folder
+        .config("spark.sql.maxConcurrentOutputFileWriters", "8")
     )
     if master:
         builder = builder.master(master)

@@ -213,3 +213,41 @@ def test_stream_stopped_and_resumed_goes_on(spark, images):
     assert params(store.load(NET, 1)) == pytest.approx(params(first))
     with pytest.raises(ValueError):
         online.train_stream(stream(spark, path), State(NET, want.params, 1), store, Options(lr=0.1), checkpoint)
+
+
+def counted(spark, images):
+    """The images, and an accumulator that counts the rows read of them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return images.mapInArrow(touch, images.schema), seen
+
+
+def test_log_and_gradients_come_from_one_scan(spark, images):
+    start, opts = State.pattern(spark, NET), Options(lr=0.1)
+    rows, seen = counted(spark, images)
+    log = training.TrainLog(spark)
+    state = train([rows] * 2, start, ParamStore(spark), opts, "block", log=log)
+    assert seen.value == 2 * images.count()
+    assert params(state) == pytest.approx(params(train([images] * 2, start, ParamStore(spark), opts, "array")), abs=1e-12)
+    apart = training.TrainLog(spark)
+    train([images] * 2, start, ParamStore(spark), opts, "array", log=apart)
+    mine, other = (sorted(x.read().select("iter", "id", "label", "prediction").collect()) for x in (log, apart))
+    assert mine == other and len(mine) == 2 * images.count()
+    assert log.means("p").count() == 6
+
+
+def test_log_of_empty_and_unknown_images(spark, images):
+    start, log = State.pattern(spark, NET), training.TrainLog(spark)
+    odd = spark.createDataFrame([(1, 1, None), (2, None, [1.0, 2.0]), (None, 0, [])], images.schema)
+    for batch in (odd, images.limit(0)):
+        state = training.step(batch, start, ParamStore(spark), Options(lr=0.1), "block", log)
+        want = training.step(batch, start, ParamStore(spark), Options(lr=0.1), "block")
+        assert params(state) == pytest.approx(params(want), abs=1e-12)
+        rows = log.read().collect()  # the second run of version 0 replaces the first
+        assert sorted((r["id"] is None, r["id"] or 0, r["prediction"] is None) for r in rows) == (
+            [(False, 1, True), (False, 2, False), (True, 0, True)] if batch is odd else [])
