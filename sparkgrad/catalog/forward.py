@@ -227,3 +227,13 @@ def ratio_to_total(spark, sf_dir):
     return layers.ratio_to_report(lines, "l_extendedprice").selectExpr(
         "l_orderkey", "l_linenumber", "max_value", "round(ratio * 1e6D, 6) AS ratio_ppm")
 
+
+@query("softmax_mergeable", """
+SELECT l_orderkey, l_linenumber, l_suppkey, round(e / sum(e) OVER (PARTITION BY l_orderkey), 6) AS share
+FROM (SELECT *, exp(l_extendedprice / 1e2 - max(l_extendedprice / 1e2) OVER (PARTITION BY l_orderkey)) AS e FROM lineitem)""")
+def softmax_mergeable(spark, sf_dir):
+    """Shares of an order's lines, with exponents of up to a thousand, as it runs when a key has too many rows for an array."""
+    z = readers.read_table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice / 1e2D AS z")
+    return layers.softmax_rows_mergeable(z, ["l_orderkey"]).selectExpr(
+        "l_orderkey", "l_linenumber", "l_suppkey", "round(p, 6) AS share")

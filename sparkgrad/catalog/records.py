@@ -9,6 +9,8 @@ from sparkgrad.operators import reports, update
 from sparkgrad.plans.forward import predict
 from sparkgrad.session import scratch_path
 from sparkgrad.sources import readers, sinks
+from sparkgrad.sources.latest import LatestTable
+from sparkgrad.sources.sequence import Sequence, append_numbered, read_numbered
 
 
 @query("ctas_roundtrip", """
@@ -106,3 +108,29 @@ def submission_export(spark, sf_dir):
     predicted = predict(*digits(spark, sf_dir)).selectExpr("id AS ImageId", "prediction AS Label")
     sinks.export_csv(predicted, path, "ImageId")
     return spark.read.option("header", True).schema("ImageId BIGINT, Label INT").csv(path)
+
+
+@query("latest_incremental", """
+SELECT user_id, event_type, ts, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")
+def latest_incremental(spark, sf_dir):
+    """A table of newest rows, refreshed after each of two loads of the log."""
+    events = readers.read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    log = scratch_path(spark, "events-log")
+    table = LatestTable(spark, log, scratch_path(spark, "latest"), ["user_id", "event_type"], ["ts", "event_id"], ["ts", "value"])
+    for k, load in enumerate(("event_type <=> 'view'", "NOT event_type <=> 'view'")):
+        sinks.append_log(events.where(load), log, k)
+        newest = table.refresh()
+    return newest
+
+
+@query("assign_row_id_appended", """
+SELECT row_number() OVER (ORDER BY o_orderstatus <> 'F', o_orderkey) AS id, o_orderkey, o_orderstatus FROM orders""")
+def assign_row_id_appended(spark, sf_dir):
+    """Two loads numbered by one stored sequence; the second one runs twice and keeps its numbers."""
+    orders = readers.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    path, numbers = scratch_path(spark, "numbered"), Sequence(spark, scratch_path(spark, "sequence"))
+    append_numbered(orders.where("o_orderstatus = 'F'"), path, numbers, "finished", "o_orderkey")
+    for _ in range(2):
+        append_numbered(orders.where("o_orderstatus <> 'F'"), path, numbers, "others", "o_orderkey")
+    return read_numbered(spark, path).select("id", "o_orderkey", "o_orderstatus")

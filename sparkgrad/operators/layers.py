@@ -99,6 +99,35 @@ def softmax_rows(z: DataFrame, keys: list[str], n_out: int) -> DataFrame:
     return rows.selectExpr(*keys, "out", "e", "total", "e / total AS p")
 
 
+_BAND = 64.0  # exp of a value within its band stays below 1e28
+
+
+def softmax_rows_mergeable(z: DataFrame, keys: list[str]) -> DataFrame:
+    """The softmax of ``softmax_rows`` for layers too wide for an array: no array, no window, rows (keys, out, z, p).
+
+    The denominator is a sum that partial aggregates can merge without knowing the maximum: values are summed as
+    ``exp(z - 64 b)`` per band ``b = floor(z / 64)``, and the bands of a key, a handful, are then scaled to its
+    highest one. Bands far below it vanish, as their shares do in doubles, so no value overflows. A NULL ``z`` has
+    no share, minus infinity has the share 0; other values have to be finite. NULL keys are a group of their own.
+    """
+    band = f"floor(z / {_BAND}D)"
+    bands = z.where("z > double('-infinity')").selectExpr(*keys, f"{band} AS _b", "z").groupBy(*keys, "_b").agg(
+        F.expr(f"sum(exp(z - {_BAND}D * _b))").alias("_s"))
+    # one row per key and band from here to the totals
+    top = bands.groupBy(*keys).agg(F.max("_b").alias("_top"))
+    scaled = _same_keys(bands, top, keys).groupBy(*keys, "_top").agg(
+        F.expr(f"sum(_s * exp({_BAND}D * (_b - _top)))").alias("_total"))
+    return _same_keys(z, scaled, keys).withColumn(
+        "p", F.expr(f"exp(z - {_BAND}D * _top) / _total")).drop("_top", "_total")
+
+
+def _same_keys(rows: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the columns of their key's row, if any; a NULL key equals a NULL key."""
+    named = per_key.withColumnsRenamed({c: f"_key_{c}" for c in keys})
+    same = [rows[c].eqNullSafe(named[f"_key_{c}"]) for c in keys]
+    return rows.join(named, same, "left").drop(*[f"_key_{c}" for c in keys])
+
+
 def argmax_rows(p: DataFrame, keys: list[str], n_out: int) -> DataFrame:
     """Output with the highest share per key; ties go to the lowest output, without any share it is NULL."""
     return rows_to_array(p, keys, "out", "p", n_out, "_p").selectExpr(*keys, f"{C.argmax('_p')} AS prediction")

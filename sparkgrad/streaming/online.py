@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sparkgrad.operators.reports import accuracy
 from sparkgrad.plans.forward import predict
 from sparkgrad.plans.network import State
 from sparkgrad.plans.training import Options, ParamStore, step
@@ -61,14 +62,43 @@ def train_stream(images: DataFrame, state: State, store: ParamStore, opts: Optio
     return _start(images, learn, checkpoint)
 
 
+def distinct_stream(images: DataFrame, time: str, delay: str, keys: tuple[str, ...] = ("id",)) -> DataFrame:
+    """Each key once, for streams that deliver rows late or again.
+
+    A row whose key came before, with event times at most ``delay`` apart, is left out. So is a row older than the
+    watermark, which follows the newest ``time`` of the micro-batches before by ``delay``. State behind the watermark is
+    dropped, so it is bounded by the keys of one ``delay`` and not by the length of the stream. Rows with a NULL among
+    their keys repeat one another only if they are equal in all columns. The watermark starts at 1970; a row without a time is never late.
+    """
+    columns = images.columns
+    lacking = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
+    twin = F.when(lacking, F.sha2(F.to_json(F.struct(*columns)), 256))
+    marked = images.withColumn("_twin", twin).withWatermark(time, delay)
+    return marked.dropDuplicatesWithinWatermark([*keys, "_twin"]).select(*columns)
+
+
+def accuracy_stream(images: DataFrame, state: State, path: str, checkpoint: str, *by: str) -> StreamingQuery:
+    """Running accuracy of arriving images per ``by``: after each micro-batch the groups that changed, as ``iter=<batch>``.
+
+    The state is a sum and a count per group and outlives a restart; a micro-batch that runs again replaces its folder.
+    """
+    running = accuracy(predict(images, state), *by)
+    return _start(running, lambda batch, batch_id: append_log(batch, path, batch_id), checkpoint, "update")
+
+
+def newest_accuracy(log: DataFrame, *by: str) -> DataFrame:
+    """The last row of every group that ``accuracy_stream`` wrote."""
+    return log.groupBy(*by).agg(*[F.max_by(c, "iter").alias(c) for c in ("pct_right", "n_images")])
+
+
 def _same(left: DataFrame, right: DataFrame) -> bool:
     keys = ["layer", "out", "in"]
     both = left.select(*keys, "w").join(right.select(*keys, F.col("w").alias("v")), keys, "full")
     return both.where("NOT (w <=> v)").isEmpty()
 
 
-def _start(images: DataFrame, each, checkpoint: str) -> StreamingQuery:
+def _start(rows: DataFrame, each, checkpoint: str, mode: str = "append") -> StreamingQuery:
     return (
-        images.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+        rows.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )

@@ -1,5 +1,7 @@
 """Readers, row ids, updates, constraints, plans."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from sparkgrad.plans.network import State
 from sparkgrad.plans.training import Options, gradients
 from sparkgrad.session import scratch_path, shared_dir
 from sparkgrad.sources import readers, row_ids, schemas, sinks
+from sparkgrad.sources.latest import LatestTable
+from sparkgrad.sources.sequence import Sequence, append_numbered, read_numbered
 
 
 def plan(df):
@@ -241,3 +245,78 @@ def test_shared_folder_comes_from_the_session():
     assert shared_dir(_Session("local[2]"))
     with pytest.raises(RuntimeError):
         shared_dir(_Session("spark://host:7077"))
+
+
+def test_sequence_goes_on_over_loads_and_retries(spark):
+    path, numbers = scratch_path(spark, "numbered"), Sequence(spark, scratch_path(spark, "sequence"))
+    scan = sinks.create_table_as(spark.range(100).selectExpr("id AS k"), scratch_path(spark, "scan"))
+    append_numbered(scan, path, numbers, "a")
+    append_numbered(scan.where("k < 0"), path, numbers, "empty")
+    append_numbered(scan.selectExpr("-k AS k"), path, numbers, "b", key="k")
+    append_numbered(scan, path, numbers, "a")  # the retry of a load after a later one
+    append_numbered(scan.limit(5), path, numbers, "7", key="k")
+    rows = read_numbered(spark, path).collect()
+    assert sorted(r["id"] for r in rows) == list(range(1, 206))
+    assert {r["load"]: r["id"] for r in rows if r["k"] == -99} == {"b": 101}
+    assert [(c.load, c.first, c.n) for c in numbers.claims()] == [("a", 1, 100), ("empty", 101, 0), ("b", 101, 100), ("7", 201, 5)]
+    with pytest.raises(ValueError, match="100 numbers before"):
+        numbers.claim("a", 99)
+    again = Sequence(spark, numbers.path)  # another session finds the mark
+    assert again.claim("c", 1).first == 206
+
+
+def test_claims_of_two_loaders_and_of_a_dead_one(spark, monkeypatch):
+    numbers = Sequence(spark, scratch_path(spark, "sequence"))
+    numbers.claim("a", 10)
+    before = numbers.claims()
+    numbers.claim("b", 10)
+    late = Sequence(spark, numbers.path)
+    monkeypatch.setattr(late, "claims", lambda: before)  # read before b claimed
+    with pytest.raises(Exception, match="exist"):
+        late.claim("c", 1)
+    dead = numbers._jvm.org.apache.hadoop.fs.Path(f"{numbers.path}/claim-00000002.json")
+    numbers._files.create(dead, False).close()
+    assert numbers.claim("d", 3).first == 21 and numbers.claim("e", 1).first == 24
+
+
+def test_latest_table_reads_new_folders_only(spark):
+    log, path = scratch_path(spark, "log"), scratch_path(spark, "latest")
+    schema = "k string, at long, v double"
+    table = LatestTable(spark, log, path, ["k"], ["at"], ["v"])
+    with pytest.raises(ValueError, match="not been merged"):
+        table.read()
+    loads = [[("a", 1, 1.0), ("b", 5, 2.0), (None, 1, 0.5)], [("a", 2, 3.0), ("b", 4, 9.0)], [], [("c", 0, None), (None, 2, 0.25)]]
+    for k, rows in enumerate(loads):
+        sinks.append_log(spark.createDataFrame(rows, schema), log, k)
+        if k == 2:
+            continue  # two loads are merged at once
+        pending = table.pending()
+        assert [p.rsplit("/", 1)[1] for p in pending] == [f"iter={i}" for i in ([2, 3] if k == 3 else [k])]
+        read = {f.rsplit("/", 2)[1] for f in table.merged(pending).inputFiles()}
+        assert read <= {f"iter={i}" for i in (2, 3, k)} | {f"upto={k - 1}", "upto=1"}
+        got = table.refresh()
+        whole = update.latest_per_key(sinks.read_log(spark, log), ["k"], ["at"], ["v"])
+        assert sorted(got.collect(), key=str) == sorted(whole.collect(), key=str)
+    assert table.refresh().count() == 4 and table.mark() == 3 and table.pending() == []
+    # a refresh that died leaves no mark
+    spark.range(1).write.parquet(f"{path}/upto=9")
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/upto=9/_SUCCESS")
+    done.getFileSystem(spark._jsc.hadoopConfiguration()).delete(done, False)
+    assert table.mark() == 3
+
+
+def test_mergeable_softmax(spark):
+    inf = float("inf")
+    rows = [("a", i, z) for i, z in enumerate([1000.0, 999.0, -5000.0, None])] + [("b", 0, -700.0), ("b", 1, -700.0), ("c", 0, None)] + [
+        (None, 0, 63.9), (None, 1, 64.1), ("d", 0, -inf), ("d", 1, 3.0)] + [("e", i, i * 0.37 - 200) for i in range(500)]
+    got = {(r["k"], r["out"]): r["p"] for r in layers.softmax_rows_mergeable(
+        spark.createDataFrame(rows, "k string, out int, z double"), ["k"]).collect()}
+    assert len(got) == len(rows)
+    for key in {r[0] for r in rows}:
+        z = [(out, v) for k, out, v in rows if k == key and v is not None]
+        top = max((v for _, v in z), default=0.0)
+        total = sum(math.exp(v - top) for _, v in z)
+        for k, out, v in rows:
+            if k == key:
+                want = None if v is None else pytest.approx(math.exp(v - top) / total, rel=1e-12)
+                assert got[k, out] == want

@@ -3,7 +3,9 @@
 import numpy as np
 import pytest
 
+from sparkgrad.operators.reports import accuracy
 from sparkgrad.plans import training
+from sparkgrad.plans.forward import predict
 from sparkgrad.plans.network import Network, State
 from sparkgrad.plans.training import Options, ParamStore, train
 from sparkgrad.session import scratch_path
@@ -215,6 +217,38 @@ def test_stream_stopped_and_resumed_goes_on(spark, images):
         online.train_stream(stream(spark, path), State(NET, want.params, 1), store, Options(lr=0.1), checkpoint)
 
 
+def test_stream_leaves_out_repeated_and_too_late_rows(spark):
+    path, checkpoint, log = (scratch_path(spark, name) for name in ("late-in", "cp", "log"))
+    schema = "id long, label int, x array<double>, time timestamp"
+    at = "timestamp_seconds({} * 60)".format
+    loads = [
+        [(1, 0), (2, 5), (2, 5), (None, 5), (None, 5), (None, 6)],  # repeats within a load
+        [(1, 3), (3, 60), (2, 6)],                                  # 1 and 2 come again, within ten minutes
+        [(4, 20), (5, 55), (3, 61)],                                # 4 is behind the watermark of 50 minutes
+        [(1, 61), (6, None)],                                       # the state of 1 is gone; 6 has no time and is never late
+    ]
+    for rows in loads:
+        batch = spark.createDataFrame(rows, "id long, minute int").selectExpr(
+            "id", "0 AS label", "array(1D) AS x", f"{at('minute')} AS time")
+        batch.coalesce(1).write.mode("append").parquet(path)
+        images = online.distinct_stream(spark.readStream.schema(schema).parquet(path), "time", "10 minutes")
+        query = online._start(images, lambda rows, k: rows.write.mode("overwrite").parquet(f"{log}/iter={k}"), checkpoint)
+        query.awaitTermination()
+    found = [r["id"] for r in read_log(spark, log).collect()]
+    assert sorted(i for i in found if i) == [1, 1, 2, 3, 5, 6] and found.count(None) == 2
+
+
+def test_running_accuracy_goes_on_after_a_restart(spark, images):
+    path, checkpoint, log = (scratch_path(spark, name) for name in ("acc-in", "cp", "log"))
+    start = State.pattern(spark, NET)
+    for part in range(3):
+        images.where(f"id % 3 = {part}").coalesce(1).write.mode("append").parquet(path)
+        online.accuracy_stream(stream(spark, path), start, log, checkpoint, "label").awaitTermination()
+        seen = online.newest_accuracy(read_log(spark, log), "label")
+        want = accuracy(predict(images.where(f"id % 3 <= {part}"), start), "label")
+        assert sorted(seen.collect()) == sorted(want.collect())
+
+
 def counted(spark, images):
     """The images, and an accumulator that counts the rows read of them."""
     seen = spark.sparkContext.accumulator(0)
