@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkgrad.llm import shingles
 from sparkgrad.llm.bpe import digests, vocabulary_path
 from sparkgrad.llm.mixing import mixed
 from sparkgrad.llm.quality_rules import keep_good
@@ -27,8 +26,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id; linked are texts of five-word shingle similarity 0.8 or more."""
-    return one_of_each(docs, groups=shingles.groups)
+    """One document of each group stays, the one with the smallest id; linked are SimHash fingerprints as in ``op2_simhash``."""
+    return one_of_each(docs)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
