@@ -17,7 +17,6 @@ rows that repeat a key are grouped by their texts; an empty table gives an empty
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from itertools import chain, combinations
 
 import numpy as np
@@ -112,22 +111,23 @@ def hashed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     return docs.select(F.col(key).alias("id"), F.xxhash64(t).alias("text_hash"), t.alias("t"))
 
 
-def fingerprint_groups(rows: DataFrame) -> DataFrame:
+def fingerprint_groups(rows: DataFrame, radius: int = RADIUS, segments: int = SEGMENTS) -> DataFrame:
     """(id, text_hash, root), one row per row of (id, text_hash, t); root names the component."""
     both = materialize(fingerprints(rows.select(F.struct("id", "text_hash").alias("of"), "t"), "of", "t"), "fingerprints")
-    roots = components(links(materialize(both.select("fp").distinct(), "fingerprints-distinct")))
+    roots = components(links(materialize(both.select("fp").distinct(), "fingerprints-distinct"), radius, segments))
     return both.join(roots, F.col("fp") == F.col("node"), "left").select("id.id", "id.text_hash", F.coalesce("root", "fp").alias("root"))
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text",
-                groups: Callable[[DataFrame], DataFrame] = fingerprint_groups) -> DataFrame:
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS,
+                segments: int = SEGMENTS) -> DataFrame:
     """One document of each group of near-duplicates, the one of the smallest key (NULL is the last); the input's columns.
 
     Between rows of one key in one group the text's hash decides; rows equal in key and text are one document. Rows that
     repeat a key in different groups are different documents.
     """
     order = F.struct(F.col("id").isNull().alias("last"), "id", "text_hash")
-    kept = materialize(groups(hashed(docs, key, text)).groupBy("root", "id", "text_hash").agg(F.count("*").alias("rows")).groupBy("root").agg(
+    groups = fingerprint_groups(hashed(docs, key, text), radius, segments)
+    kept = materialize(groups.groupBy("root", "id", "text_hash").agg(F.count("*").alias("rows")).groupBy("root").agg(
         F.min(F.struct(order.alias("order"), "rows")).alias("least")).select("least.order.id", "least.order.text_hash", "least.rows"), "kept")
     among = lambda ids: docs.join(
         ids, docs[key].eqNullSafe(ids["id"]) & (F.xxhash64(docs[text].cast("string")) == ids["text_hash"]), "left_semi")

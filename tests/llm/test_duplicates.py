@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import xxhash
 
 import corpus_pipeline
-from sparkgrad.llm import embedding_pairs, shingles, simhash, suffix_dedup
+from sparkgrad.llm import embedding_pairs, simhash, suffix_dedup
 from sparkgrad.llm.components import components
 from tests.llm.rows import AWKWARD, SCHEMA, TEXTS, frame, sf_documents
 
@@ -99,41 +99,32 @@ def test_one_row_per_group_and_not_per_key(spark):
         assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(map(str, want))
 
 
-def plain_shingles(text):
-    words = (text or "").encode().lower().split()
-    return {b" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-
-def check_groups(spark, texts):
-    found = [plain_shingles(t) for t in texts]
-    root = classes(len(texts), [(a, b) for a in range(len(texts)) for b in range(a)
-                                if found[a] == found[b] or 5 * len(found[a] & found[b]) >= 4 * len(found[a] | found[b])])
+def check_stage(spark, texts):
+    """The stage keeps the smallest id of each group of fingerprints linked at two bits, found here pair by pair."""
+    prints = [plain_fingerprint(t) for t in texts]
+    root = classes(len(texts), [(a, b) for a in range(len(texts)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 2])
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    got = {r["id"]: r["root"] for r in shingles.groups(simhash.hashed(docs)).collect()}
-    assert len(got) == len(texts)
-    first = {}
-    assert [first.setdefault(got[i], i) for i in range(len(texts))] == root
-    return root, docs
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(spark, docs, "").collect()]
+    assert sorted(kept) == [(i, texts[i]) for i in sorted(set(root))]
+    return root
 
 
-def test_groups_match_brute_force_similarity(spark):
+def test_near_dedup_stage_matches_brute_force(spark):
     rng, texts = random.Random(11), []
-    for seed, n in ((1, 30), (2, 120), (3, 400), (4, 150)):
+    for seed, n in ((1, 30), (2, 120), (3, 400), (4, 1500)):
         words = prose_of(seed, n).split()
-        for _ in range(25):  # 1 to n / 20 words differ: similarities on both sides of the threshold
+        for _ in range(25):  # a few words differ: distances on both sides of the radius
             copy = list(words)
-            for k in rng.sample(range(n), rng.randrange(1, max(2, n // 20))):
+            for k in rng.sample(range(n), rng.randrange(1, 4)):
                 copy[k] = copy[k].upper() if rng.random() < 0.2 else "z" + copy[k]
             texts.append(" ".join(copy))
     texts += [None, "", " \n", "one", "One", "one two", "a b c d e", "a b c d", texts[0] + "  ", *TEXTS]
-    root, docs = check_groups(spark, texts)
-    assert len(set(root)) < len(texts) - 20
-    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
-    assert kept == set(root)
+    root = check_stage(spark, texts)
+    assert 20 < len(set(root)) < len(texts) - 20
 
 
-def test_groups_of_the_documents_match_brute_force(spark, sf_dir):
-    check_groups(spark, [r["text"] for r in sf_documents(spark, sf_dir).orderBy("doc_id").collect()])
+def test_near_dedup_stage_of_the_documents(spark, sf_dir):
+    check_stage(spark, [r["text"] for r in sf_documents(spark, sf_dir).orderBy("doc_id").collect()])
 
 
 def prose_of(seed, n=60):
