@@ -1,12 +1,13 @@
 """Sources, row ids, reshaping, grids and initial parameters."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sparkgrad.catalog.registry import query, r6
 from sparkgrad.functions.keyed_random import keyed_uniform
 from sparkgrad.operators import init, reports, reshape
 from sparkgrad.session import scratch_path
-from sparkgrad.sources import readers, row_ids, schemas
+from sparkgrad.sources import dialect, readers, row_ids, schemas
 
 _LONG = """
 SELECT vec_id AS id, label, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pixel_id,
@@ -37,6 +38,22 @@ def csv_scan_inferred(spark, sf_dir):
         "CAST(size(x) AS BIGINT) AS n_pixels")
 
 
+@query("csv_rejects", """
+SELECT event_id, user_id, event_type, CAST(NULL AS VARCHAR) AS line FROM events WHERE event_type <> 'error'
+UNION ALL
+SELECT NULL, NULL, NULL, event_id || ';n/a;error' FROM events WHERE event_type = 'error'""")
+def csv_rejects(spark, sf_dir):
+    """The events as CSV whose errors have no user: found dialect, typed rows, and the lines that don't fit."""
+    path = scratch_path(spark, "events-csv")
+    user = F.expr("CASE WHEN event_type = 'error' THEN 'n/a' ELSE CAST(user_id AS STRING) END").alias("user_id")
+    readers.read_table(spark, sf_dir, "events").select("event_id", user, "event_type").write.option(
+        "header", True).option("sep", ";").csv(path)
+    schema = StructType().add("event_id", "long").add("user_id", "long").add("event_type", "string")
+    rows, rejects = dialect.load_csv(spark, path, schema, scratch_path(spark, "events-loaded"))
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return rows.withColumn("line", F.lit(None).cast("string")).unionByName(rejects.select(*none, "line"))
+
+
 @query("assign_row_id", "SELECT row_number() OVER (ORDER BY o_orderkey) AS id, o_orderkey, o_custkey FROM orders")
 def assign_row_id(spark, sf_dir):
     orders = readers.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")

@@ -15,6 +15,7 @@ from sparkgrad.plans.network import State
 from sparkgrad.plans.training import Options, gradients
 from sparkgrad.session import scratch_path, shared_dir
 from sparkgrad.sources import readers, row_ids, schemas, sinks
+from sparkgrad.sources.dialect import Dialect, detect_dialect, load_csv
 from sparkgrad.sources.latest import LatestTable
 from sparkgrad.sources.sequence import Sequence, append_numbered, read_numbered
 
@@ -320,3 +321,21 @@ def test_mergeable_softmax(spark):
             if k == key:
                 want = None if v is None else pytest.approx(math.exp(v - top) / total, rel=1e-12)
                 assert got[k, out] == want
+
+
+@pytest.mark.parametrize("text, want", [
+    ("a,b\n1,2\n", Dialect(",", True)), ("1;2,5\n2;3,5\n", Dialect(";", False)), ("x\ty\n1\t'a,b'\n", Dialect("\t", True)),
+    ('a|b\n"1|2"|3\n4|5\n', Dialect("|", True)), ("one\ntwo\n", Dialect(",", False)), ("", Dialect(",", False))])
+def test_dialects(spark, tmp_path, text, want):
+    (tmp_path / "one.csv").write_text(text)
+    assert detect_dialect(spark, str(tmp_path)) == want
+
+
+def test_every_line_is_a_row_or_a_reject(spark, tmp_path):
+    lines = ["id;label;v", "1;2;0.5", "2;;", "3;x;1", "4;1", "5;1;2;3", '6;1;"7"', "", "7;1;1e3"]
+    (tmp_path / "in.csv").write_text("\n".join(lines) + "\n")
+    schema = schemas.T.StructType().add("id", "long").add("label", "integer").add("v", "double")
+    rows, rejects = load_csv(spark, str(tmp_path / "in.csv"), schema, scratch_path(spark, "loaded"))
+    assert sorted(map(tuple, rows.collect()), key=str) == [(1, 2, 0.5), (2, None, None), (6, 1, 7.0), (7, 1, 1000.0)]
+    found = rejects.collect()
+    assert sorted(r["line"] for r in found) == ["3;x;1", "4;1", "5;1;2;3"] and all(r["file"].endswith("in.csv") for r in found)
