@@ -79,6 +79,17 @@ def train_minibatches(spark, sf_dir):
     return param_rows(train(training.split_batches(images, 4), state, ParamStore(spark), Options(lr=LR)))
 
 
+ONE_BY_ONE = (7, 3, 42)
+
+
+@query("train_one_by_one", steps_sql(*DIGIT_START, 3, where=lambda n: f"rid = {ONE_BY_ONE[n]}"))
+def train_one_by_one(spark, sf_dir):
+    """Steps of one image each, looked up in a layout of the whole table by id."""
+    images, state = digits(spark, sf_dir)
+    batches = training.one_by_one(training.ImageStore(images), ONE_BY_ONE)
+    return param_rows(train(batches, state, ParamStore(spark), Options(lr=LR)))
+
+
 def _as_written_sql():
     early = ("late AS MATERIALIZED (SELECT k, j, w - 0.5e0 * g AS w FROM w2_0 JOIN "
              "(SELECT k, j, avg(d * a) AS g FROM dd JOIN h_0 USING (rid) GROUP BY k, j) USING (k, j))")

@@ -6,7 +6,7 @@ from pyspark.sql.types import StructType
 from sparkgrad.catalog.registry import query, r6
 from sparkgrad.functions.keyed_random import keyed_uniform
 from sparkgrad.operators import init, reports, reshape
-from sparkgrad.session import scratch_path
+from sparkgrad.session import materialize, scratch_path
 from sparkgrad.sources import dialect, readers, row_ids, schemas
 
 _LONG = """
@@ -93,8 +93,9 @@ SELECT least(count(*), 10) AS n_rows, least(count(*), 10) AS n_known FROM embedd
 def preview(spark, sf_dir):
     """Which rows come is open: they are counted, and those that are rows of the table."""
     table = readers.read_table(spark, sf_dir, "embeddings").select("vec_id", "label")
-    rows = reports.preview(table, 10)
-    known = rows.join(table.distinct().withColumn("known", F.lit(1)), ["vec_id", "label"], "left")
+    rows = materialize(reports.preview(table, 10), "preview")  # the same rows on both sides
+    found = table.join(F.broadcast(rows), ["vec_id", "label"], "left_semi").distinct().withColumn("known", F.lit(1))
+    known = rows.join(F.broadcast(found), ["vec_id", "label"], "left")  # at most 10 rows each
     return known.agg(F.count(F.lit(1)).alias("n_rows"), F.count("known").alias("n_known"))
 
 

@@ -11,16 +11,20 @@ def constraint_violations(log: DataFrame, key: str, ranges: dict[str, tuple[int,
 
     NULL passes a range, as it passes a CHECK.
     """
-    seen = F.struct(F.lit("duplicate").alias("reason"), F.lit(None).cast("double").alias("value"), F.lit(False).alias("ok"))
-    checks = F.array(seen, *[
-        F.struct(F.lit(c).alias("reason"), F.col(c).cast("double").alias("value"), F.col(c).between(low, high).alias("ok"))
-        for c, (low, high) in ranges.items()])
-    # each row marks its key and its values out of range: one scan and one grouped count for both
-    return (
+    def mark(code: int, value: Column, ok: Column) -> Column:
+        return F.struct(F.lit(code).alias("code"), value.alias("value"), ok.alias("ok"))
+
+    names = ["duplicate", *ranges]
+    checks = F.array(mark(0, F.lit(None).cast("double"), F.lit(False)), *[
+        mark(i, F.col(c).cast("double"), F.col(c).between(*ranges[c])) for i, c in enumerate(ranges, 1)])
+    # each row marks its key and its values out of range: one scan and one grouped count for both, by a number in place of
+    # the reason, so that the groups have keys of fixed width
+    counted = (
         log.select(F.col(key).alias("id"), F.explode(F.filter(checks, lambda c: ~c["ok"])).alias("_c"))
-        .groupBy(F.col("_c.reason").alias("reason"), "id", F.col("_c.value").alias("value"))
+        .groupBy(F.col("_c.code").alias("code"), "id", F.col("_c.value").alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .where("reason <> 'duplicate' OR n > 1"))
+        .where("code <> 0 OR n > 1"))
+    return counted.select(F.get(F.lit(names), F.col("code")).alias("reason"), "id", "value", "n")
 
 
 def width_violations(images: DataFrame, n_in: int) -> DataFrame:

@@ -25,10 +25,11 @@ from sparkgrad.operators.update import sgd_update
 from sparkgrad.operators.layers import dense_rows, softmax_rows
 from sparkgrad.operators.reshape import feature_rows
 from sparkgrad.plans.forward import forward_block, unit_values
-from sparkgrad.plans.network import Network, State, image_outputs, matrices, pack_models
+from sparkgrad.plans.network import Network, State, image_outputs, matrices
+from sparkgrad.plans.stacked import stacked_sums
 from sparkgrad.plans.unrolled import MAX_UNROLLED_PARAMS, unrolled_sums
 from sparkgrad.session import MAX_BROADCAST_PARAMS, materialize, scratch_path
-from sparkgrad.sources.schemas import BIAS_KEY, INT, PARAMS
+from sparkgrad.sources.schemas import BIAS_KEY, INT, LONG, PARAMS
 
 
 @dataclass(frozen=True)
@@ -113,17 +114,26 @@ class ParamStore:
         files, path = self._at(iteration)
         return files.exists(path)
 
+    def versions(self) -> list[int]:
+        """Numbers of the complete versions, from the names of their folders."""
+        files, path = self._at(0)
+        root = path.getParent().getParent()
+        found = [f.getPath().getName() for f in files.listStatus(root)] if files.exists(root) else []
+        numbers = sorted(int(name[5:]) for name in found if name.startswith("iter=") and name[5:].isdigit())
+        return [k for k in numbers if self.has(k)]
+
     def newest(self, net: Network) -> State:
-        return self.load(net, self.history().agg(F.max("iter")).first()[0])
+        return self.load(net, max(self.versions()))
 
     def load(self, net: Network, iteration: int) -> State:
         return State(net, self.spark.read.schema(PARAMS).parquet(f"{self.path}/iter={iteration}"), iteration,
                      stored=True)
 
     def history(self) -> DataFrame:
-        """All versions as (iter, layer, out, in, w)."""
+        """All complete versions as (iter, layer, out, in, w)."""
         versioned = StructType([*PARAMS.fields, StructField("iter", INT)])
-        df = self.spark.read.option("basePath", self.path).schema(versioned).parquet(self.path)
+        folders = [f"{self.path}/iter={k}" for k in self.versions()]
+        df = self.spark.read.option("basePath", self.path).schema(versioned).parquet(*folders)
         return df.select("iter", "layer", "out", "in", "w")
 
 
@@ -375,51 +385,69 @@ def split_batches(images: DataFrame, n_batches: int, path: str | None = None, fi
     return [whole.where(F.col("batch") == k).drop("batch") for k in range(n_batches)]
 
 
-def one_by_one(images: DataFrame, ids: Iterable[int]) -> Iterator[DataFrame]:
-    """Batches of one image each, in id order; the filter reaches the Parquet scan."""
+class ImageStore:
+    """Images laid out for steps of one image each: folders ``range=k`` of neighbouring ids, rows sorted by id.
+
+    A step opens the folder of its id alone, and of its files only the row groups whose least and greatest id enclose it.
+    Rows are range-partitioned by (id, row number), so an id that holds a third of all rows is written by many tasks.
+    Rows without an id are never asked for and are left out. ``folders`` bounds the number of folders.
+    """
+
+    def __init__(self, images: DataFrame, path: str | None = None, folders: int = 1000, group_bytes: int = 8 << 20):
+        spark = images.sparkSession
+        path = path or scratch_path(spark, "images")
+        low, high = images.agg(F.min("id"), F.max("id")).first()
+        self.low, self.width = low or 0, max(1, -(-((high or 0) - (low or 0) + 1) // folders))
+        known = images.where("id IS NOT NULL").withColumn("_tie", F.monotonically_increasing_id())
+        sorted_rows = known.repartitionByRange("id", "_tie").sortWithinPartitions("id").drop("_tie")
+        ranged = sorted_rows.withColumn("range", F.floor((F.col("id") - self.low) / self.width).cast("long"))
+        ranged.write.option("parquet.block.size", group_bytes).partitionBy("range").parquet(path)
+        self.images = spark.read.schema(StructType([*images.schema.fields, StructField("range", LONG)])).parquet(path)
+
+    def one(self, i: int) -> DataFrame:
+        """The rows of one id."""
+        return self.images.where((F.col("range") == (i - self.low) // self.width) & (F.col("id") == i)).drop("range")
+
+
+def one_by_one(images: DataFrame | ImageStore, ids: Iterable[int]) -> Iterator[DataFrame]:
+    """Batches of one image each, in the order of ``ids``; the filter reaches the Parquet scan.
+
+    Of a plain table a step opens every file; an ``ImageStore`` opens the files of one folder.
+    """
     for i in ids:
-        yield images.where(F.col("id") == i)
+        yield images.one(i) if isinstance(images, ImageStore) else images.where(F.col("id") == i)
 
 
-def sweep_step(images: DataFrame, params: DataFrame, variants: DataFrame, net: Network, models: int) -> DataFrame:
+def sweep_step(images: DataFrame, params: DataFrame, variants: DataFrame, chosen: list, net: Network, held: list) -> DataFrame:
     """One step of all variants in one scan: next parameters (variant, layer, out, in, w).
 
-    ``params`` is keyed by variant, ``variants`` has (variant, lr, clip, target). Few
-    small models run as columns side by side. Otherwise all models form one row of
-    bounded size, each image is scored by all of them in place, and the gradient sums carry
-    the variant key.
+    ``params`` is keyed by variant; ``variants`` has (variant, lr, clip, target), ``chosen`` its rows in order. Few small
+    models run as columns side by side, others as one network with a wide first layer and a block-diagonal second.
+    Broadcasts are added to ``held``, to be destroyed when the result is written.
     """
-    if models * net.n_params <= MAX_UNROLLED_PARAMS:
-        sums = _unrolled_sweep(images, params, variants, net)
-    elif models * net.n_params <= MAX_BROADCAST_PARAMS:
-        sums = _generated_sweep(images, params, variants, net)
-    else:
+    if len(chosen) * net.n_params > MAX_BROADCAST_PARAMS:
         raise ValueError("sweep too large for one scan; split the variants")
-    g = mean_gradients(sums, ["variant"])
-    rated = params.join(F.broadcast(variants.select("variant", "lr", "clip")), "variant")  # one row per variant
+    targets = [r["target"] for r in chosen]
+    if net.output == "sigmoid" and any(t is None or len(t) != net.n_out for t in targets):
+        raise ValueError(f"a sigmoid output needs a target of {net.n_out} values for every variant")
+    rows = dict(list(params.limit(len(chosen) * net.n_params + 1).toPandas().groupby("variant")))  # one more shows a surplus
+    if len(rows) != len(chosen):
+        raise ValueError(f"parameters of {len(rows)} models for {len(chosen)} variants")
+    models = [matrices(net, rows[r["variant"]]) for r in chosen]
+    if len(chosen) * net.n_params <= MAX_UNROLLED_PARAMS:
+        goals = {f"v{i}": tuple(t) for i, t in enumerate(targets) if t is not None}
+        sums = unrolled_sums(images, net, {f"v{i}": m for i, m in enumerate(models)}, goals)
+        sums = sums.withColumn("model", F.substring("model", 2, 10).cast("int"))
+    else:
+        sums = stacked_sums(images, net, models, targets if net.output == "sigmoid" else None, held)
+    named = images.sparkSession.createDataFrame([(i, r["variant"]) for i, r in enumerate(chosen)], "model int, variant string")
+    g = mean_gradients(sums.join(F.broadcast(named), "model"), ["variant"])  # one row per model, bounded above
+    rated = params.join(F.broadcast(variants.select("variant", "lr", "clip")), "variant")
     moved = sgd_update(rated, g, "lr", by=["variant"], clip="clip", clip_layers=(2,), update_bias=False,
                        small=True)
     return moved.select("variant", "layer", "out", "in", "w")
 
 
-def _unrolled_sweep(images: DataFrame, params: DataFrame, variants: DataFrame, net: Network) -> DataFrame:
-    names = {r["variant"]: (f"v{i}", r["target"]) for i, r in enumerate(variants.orderBy("variant").collect())}
-    rows = params.toPandas()  # at most MAX_UNROLLED_PARAMS rows
-    models = {m: matrices(net, rows[rows["variant"] == name]) for name, (m, _) in names.items()}
-    sums = unrolled_sums(images, net, models, {m: tuple(t) for m, t in names.values() if t is not None})
-    named = F.create_map(*[F.lit(v) for name, (m, _) in names.items() for v in (m, name)])
-    return sums.withColumn("variant", named[F.col("model")]).drop("model")
-
-
-def _generated_sweep(images: DataFrame, params: DataFrame, variants: DataFrame, net: Network) -> DataFrame:
-    models = pack_models(params, net, "variant").join(variants.select("variant", "target"), "variant")
-    packed = models.agg(F.array_sort(F.collect_list(F.struct("variant", "m", "target"))).alias("models"))
-    body = image_outputs(net, delta_body(net, target="one.target", back="one.m.w2t"), "one.m")
-    each = images.where(C.has_value("x")).select("label", "x").withColumn("models", packed.scalar()).selectExpr(
-        f"explode(transform(models, one -> named_struct('variant', one.variant, 's', {body}))) AS one")
-    return gradient_sums(each.select("one.variant", "one.s.*"), net, ["variant"])
-
-
 def sweep(images: DataFrame, state: State, variants: DataFrame, steps: int, path: str | None = None,
           at_once: int | None = None) -> DataFrame:
     """Train all variants from one start; the last parameters, keyed by variant.
@@ -428,22 +456,25 @@ def sweep(images: DataFrame, state: State, variants: DataFrame, steps: int, path
     """
     spark = images.sparkSession
     path = path or scratch_path(spark, "sweep")
-    names = [r[0] for r in variants.select("variant").orderBy("variant").collect()]  # one per model
+    rows = variants.select("variant", "lr", "clip", "target").orderBy("variant").collect()  # one per model
     at_once = at_once or max(1, MAX_BROADCAST_PARAMS // state.net.n_params)
-    parts = []
-    for k in range(0, len(names), at_once):
-        some = names[k:k + at_once]
-        parts.append(_sweep(images, state, variants.where(F.col("variant").isin(some)), some, steps, f"{path}/part={k}"))
+    parts = [_sweep(images, state, rows[k:k + at_once], steps, f"{path}/part={k}") for k in range(0, len(rows), at_once)]
     if not parts:
         return state.params.selectExpr("CAST(NULL AS STRING) AS variant", "layer", "out", "`in`", "w").limit(0)
     return reduce(DataFrame.unionByName, parts)
 
 
-def _sweep(images: DataFrame, state: State, variants: DataFrame, names: list[str], steps: int, path: str) -> DataFrame:
+def _sweep(images: DataFrame, state: State, chosen: list, steps: int, path: str) -> DataFrame:
     spark = images.sparkSession
+    variants = spark.createDataFrame(chosen, "variant string, lr double, clip double, target array<double>")
+    names = [r["variant"] for r in chosen]
     params = state.params.withColumn("variant", F.explode(F.lit(names))).select("variant", "layer", "out", "in", "w")
     for k in range(steps):
-        out = f"{path}/iter={k + 1}"
-        sweep_step(images, params, variants, state.net, len(names)).write.mode("overwrite").parquet(out)
+        out, held = f"{path}/iter={k + 1}", []
+        try:
+            sweep_step(images, params, variants, chosen, state.net, held).write.mode("overwrite").parquet(out)
+        finally:
+            for shipped in held:  # each leaves a file on the driver
+                shipped.destroy()
         params = spark.read.schema("variant string, layer int, out int, `in` int, w double").parquet(out)
     return params

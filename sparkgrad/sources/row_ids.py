@@ -16,9 +16,10 @@ def assign_row_ids(df: DataFrame, name: str = "id") -> DataFrame:
     One pass counts rows per input split (the scan reads no columns), the split
     offsets are a running sum over as many rows as there are splits, and the rows
     pick up their offset by a join on the split number. No data row is shuffled.
-    ``df`` must be a plain scan, so that both passes see the same splits; a plan with a shuffle is refused.
+    ``df`` must be a plain scan, so that both passes see the same splits; a plan with anything but projections and
+    filters over one scan is refused.
     """
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+    if not _plain_scan(df._jdf.queryExecution().optimizedPlan()):
         raise ValueError("row ids in scan order need a plain scan; write the frame first, or use assign_row_ids_by")
     mid = F.monotonically_increasing_id()
     split = F.shiftright(F.col("_mid"), _LOCAL_BITS)
@@ -38,6 +39,14 @@ def assign_row_ids(df: DataFrame, name: str = "id") -> DataFrame:
     )
 
 
+def _plain_scan(node) -> bool:
+    """Projections and filters by fixed expressions over one relation."""
+    below = node.children()
+    if below.size() == 0:
+        return node.nodeName().startswith(("Relation", "LogicalRelation", "DataSourceV2", "Range", "LogicalRDD", "LocalRelation"))
+    return below.size() == 1 and node.nodeName() in ("Project", "Filter") and node.deterministic() and _plain_scan(below.apply(0))
+
+
 def assign_row_ids_by(df: DataFrame, key: str, name: str = "id") -> DataFrame:
     """Number the rows 1..n in the order of ``key``, NULL first.
 

@@ -62,6 +62,18 @@ def test_scan_ids_refuse_a_shuffled_frame(spark):
         row_ids.assign_row_ids(spark.range(10).repartition(3))
 
 
+def test_scan_ids_take_projections_and_filters_only(spark):
+    path = scratch_path(spark, "files")
+    spark.range(1000).repartition(4).write.parquet(path)
+    files = spark.read.parquet(path)
+    kept = row_ids.assign_row_ids(files.where("id % 3 = 0").selectExpr("id + 1 AS k"), "n")
+    assert sorted(r["n"] for r in kept.collect()) == list(range(1, 335))
+    for odd in (files.limit(5), files.sample(0.5), files.where("rand() < 0.5"), files.union(files), files.coalesce(1),
+                files.selectExpr("explode(array(id, id)) AS id"), files.distinct()):
+        with pytest.raises(ValueError):
+            row_ids.assign_row_ids(odd)
+
+
 @pytest.mark.parametrize("partitions", [1, 2, 7, 40], indirect=True)
 def test_ordered_ids_with_a_hot_key(spark, partitions):
     path = scratch_path(spark, "hot")

@@ -2,11 +2,13 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sparkgrad.operators.reports import accuracy
 from sparkgrad.plans import training
 from sparkgrad.plans.forward import predict
 from sparkgrad.plans.network import Network, State
+from sparkgrad.plans.stacked import stacked_sums
 from sparkgrad.plans.training import Options, ParamStore, train
 from sparkgrad.session import scratch_path
 from sparkgrad.sources.sinks import read_log
@@ -285,3 +287,82 @@ def test_log_of_empty_and_unknown_images(spark, images):
         rows = log.read().collect()  # the second run of version 0 replaces the first
         assert sorted((r["id"] is None, r["id"] or 0, r["prediction"] is None) for r in rows) == (
             [(False, 1, True), (False, 2, False), (True, 0, True)] if batch is odd else [])
+
+
+def test_many_models_in_one_scan(spark, images):
+    """Every model of a stacked sweep moves as if it were alone, also on unlabelled, short and unknown images."""
+    odd = [(30, None, [0.5, -1.0, 2.0, 0.1]), (31, 1, [1.0]), (32, 2, None), (33, 0, [None, 2.0, None, 1.0])]
+    rows = images.unionByName(spark.createDataFrame(odd, images.schema)).repartition(3)
+    rates = [(f"m{k:02d}", 0.01 * (k + 1), 0.05 if k % 2 else None, None) for k in range(64)]
+    start = State.pattern(spark, Network(4, 3, 3))
+    got = training.sweep(rows, start, spark.createDataFrame(
+        rates, "variant string, lr double, clip double, target array<double>"), 2).toPandas()
+    for name, lr, clip, _ in rates[::9]:
+        want = train([rows] * 2, start, ParamStore(spark), Options(lr=lr, clip=clip, update_bias=False), "block")
+        mine = got[got["variant"] == name].sort_values(["layer", "out", "in"])["w"].to_numpy()
+        assert mine == pytest.approx(params(want), abs=1e-12)
+
+
+def test_stacked_sums_copy_no_row_and_leave_no_broadcast(spark, images, monkeypatch):
+    start, held = State.pattern(spark, Network(4, 3, 3)), []
+    sums = stacked_sums(images, start.net, [start.arrays()] * 40, None, held)
+    text = sums._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in text and text.count("Exchange") == 1 and len(held) == 1
+    gone = []
+    monkeypatch.setattr(type(held[0]), "destroy", lambda self, blocking=False: gone.append(self))
+    variants = spark.createDataFrame([(str(k), 0.1, None, None) for k in range(3)], "variant string, lr double, clip double, target array<double>")
+    training.sweep(images, start, variants, 2)
+    assert len(gone) == 2
+
+
+def test_stacked_sigmoid_needs_its_targets(spark, images):
+    start = State.pattern(spark, Network(4, 3, 3, "sigmoid", "sigmoid"))
+    kind = "variant string, lr double, clip double, target array<double>"
+    rates = [("a", 0.1, None, [0.1, 0.2, 0.9]), ("b", 0.5, 0.01, [0.9, 0.1, 0.3]), ("c", 0.2, None, [0.5, 0.5, 0.5])]
+    got = training.sweep(images, start, spark.createDataFrame(rates, kind), 2).toPandas()
+    for name, lr, clip, target in rates:
+        opts = Options(lr=lr, clip=clip, target=tuple(target), update_bias=False)
+        mine = got[got["variant"] == name].sort_values(["layer", "out", "in"])["w"].to_numpy()
+        assert mine == pytest.approx(params(train([images] * 2, start, ParamStore(spark), opts, "block")), abs=1e-12)
+    with pytest.raises(ValueError):
+        training.sweep(images, start, spark.createDataFrame([("a", 0.1, None, None)], kind), 1)
+
+
+def test_sweep_of_images_without_values_changes_nothing(spark, images):
+    start = State.pattern(spark, Network(4, 3, 3))
+    variants = spark.createDataFrame([(str(k), 0.1, None, None) for k in range(3)], "variant string, lr double, clip double, target array<double>")
+    for rows in (images.limit(0), images.withColumn("x", F.lit(None).cast("array<double>"))):
+        got = training.sweep(rows, start, variants, 1)
+        assert got.drop("variant").distinct().exceptAll(start.params).count() == 0 and got.count() == 3 * start.net.n_params
+
+
+def scanned(df):
+    """(files, rows) that the scan of a collected frame has read."""
+    df.collect()
+    node = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    return tuple(int(node.metrics().apply(name).value()) for name in ("numFiles", "numOutputRows"))
+
+
+def test_one_image_is_looked_up_in_its_folder(spark):
+    many = spark.range(200000).repartition(8).selectExpr(
+        "id", "CAST(id % 3 AS INT) AS label", "transform(sequence(0, 3), i -> rand(1)) AS x")
+    hot = spark.range(50000).selectExpr("77777L AS id", "1 AS label", "array(0D, 1D, 2D, 3D) AS x")
+    none = spark.range(10).selectExpr("CAST(NULL AS BIGINT) AS id", "1 AS label", "array(0D, 1D, 2D, 3D) AS x")
+    store = training.ImageStore(many.unionByName(hot).unionByName(none), folders=20, group_bytes=1 << 17)
+    assert store.images.count() == 250000
+    files, rows = scanned(store.one(150123))
+    assert files <= 2 and rows <= 10000 and store.one(150123).count() == 1
+    assert store.one(77777).count() == 50001 and store.one(0).count() == 1
+    assert store.one(-5).count() == 0 and store.one(10**12).count() == 0
+    empty = training.ImageStore(many.limit(0))
+    assert empty.one(3).count() == 0 and empty.images.count() == 0
+
+
+def test_incomplete_versions_are_left_out(spark, images):
+    store = ParamStore(spark)
+    end = train([images] * 2, State.pattern(spark, NET), store, Options(lr=0.5))
+    end.params.where("layer = 1").write.parquet(f"{store.path}/iter=10")
+    files, path = store._at(10)
+    files.delete(path, False)
+    assert store.versions() == [0, 1, 2] and store.newest(NET).iteration == 2
+    assert store.history().where("iter = 10").count() == 0
