@@ -20,7 +20,7 @@ def constraint_violations(log: DataFrame, key: str, ranges: dict[str, tuple[int,
     # each row marks its key and its values out of range: one scan and one grouped count for both, by a number in place of
     # the reason, so that the groups have keys of fixed width
     counted = (
-        log.select(F.col(key).alias("id"), F.explode(F.filter(checks, lambda c: ~c["ok"])).alias("_c"))
+        log.select(F.col(key).alias("id"), F.explode(checks).alias("_c")).where(~F.col("_c.ok"))
         .groupBy(F.col("_c.code").alias("code"), "id", F.col("_c.value").alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
         .where("code <> 0 OR n > 1"))

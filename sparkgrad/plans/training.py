@@ -390,14 +390,14 @@ class ImageStore:
 
     A step opens the folder of its id alone, and of its files only the row groups whose least and greatest id enclose it.
     Rows are range-partitioned by (id, row number), so an id that holds a third of all rows is written by many tasks.
-    Rows without an id are never asked for and are left out. ``folders`` bounds the number of folders.
+    Rows without an id are never asked for and are left out. A folder spans ``least`` ids or more, and there are at most ``folders`` of them.
     """
 
-    def __init__(self, images: DataFrame, path: str | None = None, folders: int = 1000, group_bytes: int = 8 << 20):
+    def __init__(self, images: DataFrame, path: str | None = None, folders: int = 1000, least: int = 4096, group_bytes: int = 8 << 20):
         spark = images.sparkSession
         path = path or scratch_path(spark, "images")
         low, high = images.agg(F.min("id"), F.max("id")).first()
-        self.low, self.width = low or 0, max(1, -(-((high or 0) - (low or 0) + 1) // folders))
+        self.low, self.width = low or 0, max(least, -(-((high or 0) - (low or 0) + 1) // folders))
         known = images.where("id IS NOT NULL").withColumn("_tie", F.monotonically_increasing_id())
         sorted_rows = known.repartitionByRange("id", "_tie").sortWithinPartitions("id").drop("_tie")
         ranged = sorted_rows.withColumn("range", F.floor((F.col("id") - self.low) / self.width).cast("long"))
