@@ -18,12 +18,12 @@ from sparkgrad.sources.sinks import append_log
 
 
 def stream_table(spark: SparkSession, folder: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
-    """A folder's ``name.parquet`` file(s) as a stream, with the table's own schema."""
-    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    """A folder's table ``name.parquet``, one file or a folder of files, as a stream with the table's own schema."""
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("basePath", folder)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    return reader.parquet(f"{path[:-1]}[t]")  # a stream takes a path as a folder, a pattern as files or folders
 
 
 def embedding_stream(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,6 +11,7 @@ from sparkgrad.plans.network import Network, State
 from sparkgrad.plans.stacked import stacked_sums
 from sparkgrad.plans.training import Options, ParamStore, train
 from sparkgrad.session import scratch_path
+from sparkgrad.sources import readers
 from sparkgrad.sources.sinks import read_log
 from sparkgrad.streaming import online
 
@@ -187,6 +188,26 @@ def test_stream_scores_every_image_once(spark, images, stream_files):
     assert {r["iter"] for r in rows} == {0, 1, 2}
 
 
+@pytest.mark.parametrize("layout", ["file", "folder", "partitioned"])
+def test_stream_of_a_table_in_one_file_or_many(spark, images, tmp_path, layout):
+    rows = images.selectExpr("id AS vec_id", "CAST(x AS ARRAY<FLOAT>) AS embedding", "label")
+    table = tmp_path / "embeddings.parquet"
+    if layout == "file":
+        rows.coalesce(1).write.parquet(str(tmp_path / "written"))
+        table.write_bytes(next((tmp_path / "written").glob("part-*")).read_bytes())
+    else:
+        writer = rows.repartition(3).write
+        (writer.partitionBy("label") if layout == "partitioned" else writer).parquet(str(table))
+    rows.write.parquet(str(tmp_path / "other.parquet"))  # no part of the table
+    stream_rows, log = online.embedding_stream(spark, str(tmp_path)), scratch_path(spark, "log")
+    assert stream_rows.isStreaming and stream_rows.schema == readers.embedding_images(spark, str(tmp_path)).schema
+    state = State.pattern(spark, NET)
+    online.score_stream(stream_rows, state, log, scratch_path(spark, "cp")).awaitTermination()
+    got = sorted((r["id"], r["label"], r["prediction"], r["iter"]) for r in read_log(spark, log).collect())
+    assert got == sorted((r["id"], r["label"], r["prediction"], 0) for r in predict(readers.embedding_images(spark, str(tmp_path)), state).collect())
+    assert len(got) == 30
+
+
 def test_stream_trains_one_step_per_batch(spark, images, stream_files):
     store, checkpoint = ParamStore(spark), scratch_path(spark, "cp")
     start = State.pattern(spark, NET)
