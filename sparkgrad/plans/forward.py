@@ -49,14 +49,17 @@ def unit_values(images: DataFrame, state: State, engine: str | None = None, held
 
 
 _KEYS = ["_row", "id", "label"]
+# In the long form, sums of this many images are in a task's memory at once, if images of so few features are dealt out before them.
+_IMAGES, _NARROW = 250_000, 32
 
 
 def score_long(images: DataFrame, state: State) -> DataFrame:
     """Pixels as rows; both layers are joins with grouped sums.
 
-    The shuffle by image after the first layer's partial sums is the only one: the
-    second layer's rows are generated from, and summed in, the same partitions. Rows are
-    told apart by a number of their own, so ids may repeat.
+    There is one shuffle by image: the second layer's rows are generated from, and summed in, the same partitions. A
+    wide image is shuffled as the first layer's partial sums; a narrow one, of which a split of the input holds millions,
+    as its features, into as many tasks as the number of images asks for. Rows are told apart by a number of their own, so
+    ids may repeat.
     """
     return _output_long(_hidden_long(images, state), state).select("id", "label", "p")
 
@@ -69,7 +72,11 @@ def values_long(images: DataFrame, state: State) -> DataFrame:
 
 def _hidden_long(images: DataFrame, state: State) -> DataFrame:
     net = state.net
-    x = feature_rows(images.withColumn("_row", F.monotonically_increasing_id()), net.n_in, *_KEYS)
+    numbered = images.withColumn("_row", F.monotonically_increasing_id())
+    if net.n_in <= _NARROW and not images.isStreaming:
+        tasks = max(images.sparkSession.sparkContext.defaultParallelism, -(-images.count() // _IMAGES))
+        numbered = numbered.repartition(tasks, "_row")
+    x = feature_rows(numbered, net.n_in, *_KEYS)
     z = dense_packed(x, state.weights(1), state.biases(1), keys=_KEYS, n_in=net.n_in, n_out=net.n_hidden)
     return z.selectExpr(*_KEYS, f"{C.activation(net.hidden, 'z')} AS a")
 

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sparkgrad.operators import init, layers, reports, reshape
 from sparkgrad.plans.forward import predict, score
@@ -185,3 +186,15 @@ def test_state_rejects_wrong_parameters(spark, state):
     with pytest.raises(ValueError):
         State.checked(NET, state.params.union(state.params))
     assert State.checked(NET, state.params).net == NET
+
+
+def test_long_form_of_narrow_images_takes_more_tasks_with_more_images(spark, monkeypatch):
+    rows = [(i % 7, i % 3, None if i % 11 == 0 else [float(i % k) for k in (2, 3, 5, 7)][:i % 5]) for i in range(600)]
+    many = spark.createDataFrame(rows, "id long, label int, x array<double>").coalesce(1)
+    start = State.pattern(spark, Network(4, 3, 3))
+    monkeypatch.setattr("sparkgrad.plans.forward._IMAGES", 10)
+    scored = score(many, start, "long")
+    held = [r["count"] for r in scored.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == 600 and max(held) <= 60
+    rounded = lambda df: sorted(str((r["id"], r["label"], r["p"] and [None if v is None else round(v, 9) for v in r["p"]])) for r in df.collect())
+    assert rounded(scored) == rounded(score(many, start, "array"))
