@@ -53,15 +53,17 @@ def crc32c(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     n = len(starts)
     if not n:
         return np.zeros(0, np.uint32)
-    blocks = -(-(ends - starts) // BLOCK)
+    sizes = ends - starts
+    blocks = -(-sizes // BLOCK)
+    stops = np.cumsum(blocks) * BLOCK
     first = np.cumsum(blocks) - blocks
-    owner = np.repeat(np.arange(n), blocks)
-    left = blocks[owner] - (np.arange(len(owner)) - first[owner])  # blocks up to the end
-    place = (ends[owner] - left * BLOCK)[:, None] + np.arange(BLOCK)  # the first block is filled up with zeros in front
-    since = place - starts[owner][:, None]
-    values = np.where(since >= 0, data[np.maximum(place, 0)], 0)
-    values ^= np.where((since >= 0) & (since < 4), np.uint8(255), np.uint8(0))  # the start value
-    sums = np.bitwise_xor.reduce(_PLACE[np.arange(BLOCK), values], axis=1)
+    filled = np.zeros(int(stops[-1]), np.uint8)  # the first block of a range is filled up with zeros in front
+    for a, b, size, stop in zip(starts.tolist(), ends.tolist(), sizes.tolist(), stops.tolist()):
+        filled[stop - size:stop] = data[a:b]
+    filled[(stops - sizes)[:, None] + np.arange(4)] ^= np.uint8(255)  # the start value
+    sums = np.zeros(len(filled) // BLOCK, np.uint32)
+    for table, column in zip(_PLACE, np.ascontiguousarray(filled.reshape(-1, BLOCK).T)):
+        sums ^= table.take(column, mode="clip")  # a byte is always in range; clipping skips the check
 
     order = np.argsort(-blocks, kind="stable")
     state = np.zeros(n, np.uint32)

@@ -38,6 +38,8 @@ from sparkgrad.session import materialize, scratch_path
 
 END_ID = 2
 FILE_BYTES = 64 << 20
+ENCODE_BYTES = 4 << 20  # texts encoded at once; a word that repeats among them is looked up once
+CACHE_ENTRIES = 500_000  # of the encoder; rare words come back in later slices
 LOT = 256
 HEAD, HEAD_BYTES = "<q?B6x", 16
 FRAME = 12  # length and its checksum
@@ -156,13 +158,13 @@ def write(docs: DataFrame, path: str, folder: str, key: str = "doc_id", text: st
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("key", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = byte_bpe.encoder(held.value)
+        encoder = byte_bpe.encoder(held.value, entries=CACHE_ENTRIES)
         width = encoder.kind.itemsize
         end = np.array([end_id], encoder.kind).tobytes()
         writer = RecordWriter(folder, TaskContext.get().partitionId(), file_bytes)
         for batch in batches:
-            for part in by_bytes(batch, 1, min(SLICE_BYTES, file_bytes)):
-                ids = [found + end for found in encoder.encode(part.column(1).to_pylist())]
+            for part in by_bytes(batch, 1, min(ENCODE_BYTES, file_bytes)):
+                ids = [found + end for found in encoder.encode(part.column(1))]
                 writer.add([payload(k, i, width) for k, i in zip(part.column(0).to_pylist(), ids)], sum(map(len, ids)) // width)
         writer.close()
         if writer.closed:

@@ -75,6 +75,28 @@ def test_cached_words_encode_like_whole_texts(spark, sf_dir, library, monkeypatc
     library.encode_special_tokens = False
 
 
+def test_a_word_that_repeats_among_texts_is_looked_up_once(library):
+    encoder = byte_bpe.Encoder(byte_bpe.file_text(PATH))
+    asked, inner = Counter(), encoder.words
+
+    class Counted(dict):
+        def __missing__(self, part):
+            asked[part] += 1
+            return inner[part]
+
+    texts = ["one two, two, three\nfour two", None, "", " two", "two  two", "two \n two", "two ", "é two\u00a0two \x1cx x's <|endoftext|x", "\ttwo two,"] * 20
+    encoder.words = Counted()
+    got = [np.frombuffer(p, encoder.kind).tolist() for p in encoder.encode(pa.array(texts))]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    encoder.words, again = inner, encoder.encode(pa.array(["x"] + texts).slice(1))
+    assert [np.frombuffer(p, encoder.kind).tolist() for p in again] == got
+    plain = ["aa bb cc, bb"] * 50
+    asked.clear()
+    encoder.words = Counted()
+    encoder.encode(plain)
+    assert asked == {"bb": 1, "cc,": 1, "cc": 1}
+
+
 def test_other_vocabularies_are_encoded_whole():
     other = byte_bpe.vocabulary_path("word_bpe_49k.json")
     encoder, whole = byte_bpe.Encoder(byte_bpe.file_text(other)), Tokenizer.from_file(other)
