@@ -1,6 +1,7 @@
 """BPE against the tokenizers library; HTML extraction on small pages."""
 
 import hashlib
+import json
 import random
 import re
 import unicodedata
@@ -63,6 +64,39 @@ def test_random_characters_match_the_library(library):
         assert (np.frombuffer(ids, "<u4").tolist(), decoded) == expected(library, text), ascii(text)
 
 
+def test_words_are_merged_once_for_all_tasks_of_a_worker(spark, monkeypatch):
+    merged, given, merge = [], [], bpe.Codec.merge
+    monkeypatch.setattr(bpe, "map_texts", lambda *args: given.append(args))
+    monkeypatch.setattr(bpe.Codec, "merge", lambda self, piece: merged.append(piece) or merge(self, piece))
+    bpe.digests(frame(spark), PATH)
+    make, *done = given[0][4:]
+    results = []
+    for _ in range(2):  # two tasks
+        results.append(make()(["River, river bank", None, "bank, bank river!"]))
+        for end in done:
+            end()
+    assert results[0] == results[1]
+    assert sorted(merged) == [b"!", b",", b"bank", b"river"]
+
+
+def test_pieces_beside_the_limit_of_short_queue_entries_match_the_library(library):
+    rng, codec = random.Random(4), bpe.load(PATH)
+    for n in (1, 2, 3, (1 << bpe.SHORT) - 1, 1 << bpe.SHORT, (1 << bpe.SHORT) + 1, 50_000):
+        for text in ("".join(rng.choices("etaoinshr", k=n)), "".join(rng.choices("!?.-=", k=n)), "ab" * (n // 2) + "é,"):
+            ids, decoded = codec.encode(text)
+            assert (np.frombuffer(ids, "<u4").tolist(), decoded) == expected(library, text)
+
+
+def test_the_pattern_of_the_file_decides_about_marks():
+    with open(PATH, encoding="utf-8") as file:
+        spec = json.load(file)
+    next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")["pattern"]["Regex"] = r"[\p{L}.]+|[^\s\p{L}]"
+    other, codec = Tokenizer.from_str(json.dumps(spec)), bpe.Codec(spec)
+    for text in ["river.", "river.bank, and!! the... end", "a.b.c"]:
+        ids, decoded = codec.encode(text)
+        assert (np.frombuffer(ids, "<u4").tolist(), decoded) == expected(other, text)
+
+
 def test_empty_tables(spark):
     assert bpe.encode(spark.createDataFrame([], SCHEMA), PATH).count() == 0
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
